@@ -24,15 +24,16 @@ def _key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("unknown"))
 
 
-def expanding_history(trips: DataFrame, target: str, order: Sequence[str]) -> DataFrame:
+def expanding_history(trips: DataFrame, target: str, order: Sequence[str], exact: str = "decimal(18,6)") -> DataFrame:
     """Past-only smoothed means per route, start and end, in the given total order.
 
     The estimate of a row is ``(sum of earlier + 20 * prior) / (earlier rows + 20)``, where the prior is
     the mean of all earlier rows. Each of the four running sums is range-partitioned by its own key and
-    the order, so a key with a third of the rows is spread over tasks.
+    the order, so a key with a third of the rows is spread over tasks. Sums are fixed point: the same
+    digits come out however the rows were spread.
     """
     rows = trips.withColumns({"_start": _key("start_station_id"), "_end": _key("end_station_id")})
-    one = {"sum": F.col(target), "cnt": F.lit(1)}
+    one = {"sum": F.col(target).cast(exact), "cnt": F.lit(1)}
 
     def step(df: DataFrame, keys: Sequence[str], by: Sequence[str], tag: str) -> DataFrame:
         out = running_totals(df, keys, by, one, spread_copies=not keys)
@@ -43,10 +44,10 @@ def expanding_history(trips: DataFrame, target: str, order: Sequence[str]) -> Da
     rows = step(rows, ["_start", "_end"], ["_all_cnt"], "route")
     rows = step(rows, ["_start"], ["_all_cnt"], "start")
     rows = step(rows, ["_end"], ["_all_cnt"], "end")
-    prior = F.when(F.col("_all_cnt") > 0, F.col("_all_sum") / F.col("_all_cnt")).otherwise(F.lit(FIRST_PRIOR))
+    prior = F.when(F.col("_all_cnt") > 0, F.col("_all_sum").cast("double") / F.col("_all_cnt")).otherwise(F.lit(FIRST_PRIOR))
 
     def estimate(tag: str) -> Column:
-        return (F.col(f"_{tag}_sum") + SMOOTHING * prior) / (F.col(f"_{tag}_cnt") + SMOOTHING)
+        return (F.col(f"_{tag}_sum").cast("double") + SMOOTHING * prior) / (F.col(f"_{tag}_cnt") + SMOOTHING)
 
     return rows.withColumns({
         "route_typical_minutes": estimate("route"),

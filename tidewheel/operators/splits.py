@@ -22,6 +22,15 @@ def pick_number(*keys: Column) -> Column:
     return F.pmod(total, F.lit(MODULUS))
 
 
+def mixed_number(*keys: Column) -> Column:
+    """Like ``pick_number`` but squared twice modulo the prime. Resampling needs this: a linear number
+    walks through consecutive keys in even steps, which looks far less random than a real draw."""
+    x = pick_number(*keys)
+    for _ in range(2):
+        x = F.pmod(F.pmod(x * x, F.lit(MODULUS)) * F.lit(48271) + x, F.lit(MODULUS))
+    return x
+
+
 def last_week_label(ts: Column) -> Column:
     """The last seven days of every month are test."""
     return F.when(F.dayofmonth(ts) > F.dayofmonth(F.last_day(ts)) - 7, "test").otherwise("train")
@@ -83,7 +92,7 @@ def stratified_split(df: DataFrame, label: str, draw: Column, ties: Sequence[str
     pick, so_far = None, 0.0
     for name in names[:-1]:
         so_far += shares[name]
-        test = F.col("_rank") < F.round(F.col("_class_n") * F.lit(round(so_far, 10)))
+        test = F.col("_rank") < F.floor(F.col("_class_n") * F.lit(round(so_far, 10)) + 0.5)
         pick = F.when(test, name) if pick is None else pick.when(test, name)
     return out.withColumn("split", pick.otherwise(names[-1])).drop("_rank", "_class_n")
 
@@ -102,7 +111,7 @@ def group_folds(df: DataFrame, group: Column, k: int) -> DataFrame:
     sizes = df.groupBy(group.alias("grp")).agg(F.count(F.lit(1)).alias("n"))
     state = "struct<load:array<bigint>,placed:array<struct<grp:int,fold:int>>>"
     listed = sizes.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("neg"), F.col("grp").cast("int").alias("grp")))).alias("g"))
-    start = F.from_json(F.lit('{"load":[' + ",".join("0" * 1 for _ in range(k)) + '],"placed":[]}'), state)
+    start = F.from_json(F.lit('{"load":[' + ",".join("0" for _ in range(k)) + '],"placed":[]}'), state)
 
     def place(acc: Column, item: Column) -> Column:
         at = F.array_position(acc["load"], F.array_min(acc["load"])).cast("int") - 1

@@ -108,10 +108,10 @@ def _past(keys: str) -> str:
 
 
 @add("expanding_history", "trips_li", f"""
-    WITH p AS (SELECT *, coalesce(avg(duration_minutes) OVER {_past('')}, 10.0) AS prior,
-        coalesce(sum(duration_minutes) OVER {_past('start_station_id, end_station_id')}, 0) AS rs, count(*) OVER {_past('start_station_id, end_station_id')} AS rc,
-        coalesce(sum(duration_minutes) OVER {_past('start_station_id')}, 0) AS ss, count(*) OVER {_past('start_station_id')} AS sc,
-        coalesce(sum(duration_minutes) OVER {_past('end_station_id')}, 0) AS es, count(*) OVER {_past('end_station_id')} AS ec FROM trips_li)
+    WITH p AS (SELECT *, coalesce(CAST(sum(dm) OVER {_past('')} AS DOUBLE) / count(*) OVER {_past('')}, 10.0) AS prior,
+        CAST(coalesce(sum(dm) OVER {_past('start_station_id, end_station_id')}, 0) AS DOUBLE) AS rs, count(*) OVER {_past('start_station_id, end_station_id')} AS rc,
+        CAST(coalesce(sum(dm) OVER {_past('start_station_id')}, 0) AS DOUBLE) AS ss, count(*) OVER {_past('start_station_id')} AS sc,
+        CAST(coalesce(sum(dm) OVER {_past('end_station_id')}, 0) AS DOUBLE) AS es, count(*) OVER {_past('end_station_id')} AS ec FROM (SELECT *, CAST(duration_minutes AS DECIMAL(18, 6)) AS dm FROM trips_li))
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {r6("(rs + 20.0 * prior) / (rc + 20.0)")} AS route_typical_minutes, {r6("ln(1.0 + rc)")} AS route_history_log_count,
         {r6("(ss + 20.0 * prior) / (sc + 20.0)")} AS start_typical_minutes, {r6("(es + 20.0 * prior) / (ec + 20.0)")} AS end_typical_minutes FROM p""")
 def expanding_history(spark, sf):

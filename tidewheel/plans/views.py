@@ -281,6 +281,8 @@ def with_views(names: str | tuple[str, ...], body: str) -> str:
     head = ",\n".join(f"{n} AS ({SQL_VIEWS[n][1]})" for n in wanted)
     if not head:
         return body
+    if body.lstrip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head},\n{body.lstrip()[15:]}"
     if body.lstrip().upper().startswith("WITH "):
         return f"WITH {head},\n{body.lstrip()[5:]}"
     return f"WITH {head}\n{body}"
