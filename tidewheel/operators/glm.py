@@ -13,6 +13,8 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.session import stage
+
 Z95 = 1.959963984540054
 
 
@@ -28,7 +30,9 @@ class Fit:
 
 def fit(df: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[str]) -> Fit:
     """Log-link Poisson regression; every category is a set of dummies with one level left out. Numeric
-    columns come first in the feature vector."""
+    columns come first in the feature vector. The rows are staged first: the fit passes over them several
+    times and must not evaluate the plan behind them again."""
+    df = stage(df, "glm")
     stages = []
     if categories:
         stages.append(StringIndexer(inputCols=list(categories), outputCols=[f"_i_{c}" for c in categories], stringOrderType="alphabetAsc"))

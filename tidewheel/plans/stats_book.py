@@ -204,9 +204,9 @@ def morning_share_by_day(spark, sf):
 
 
 @add("paired_block_bootstrap", "preds", f"""WITH d AS (SELECT date_trunc('day', time) AS day, sum(abs(trips - pred_a)) AS sa, sum(abs(trips - pred_b)) AS sb, count(*) AS n FROM preds GROUP BY 1),
-    p AS (SELECT row_number() OVER (ORDER BY day) - 1 AS at, count(*) OVER () AS k, sa, sb, n FROM d),
-    g AS (SELECT rep, ({mixed_sql("slot", "rep")}) % (SELECT max(k) FROM p) AS at FROM range(2000) r(rep), range((SELECT max(k) FROM p)) s(slot)),
-    x AS (SELECT rep, sum(sb) / sum(n) - sum(sa) / sum(n) AS d FROM g JOIN p USING (at) GROUP BY 1)
+    p AS (SELECT row_number() OVER (ORDER BY day) - 1 AS pos, count(*) OVER () AS k, sa, sb, n FROM d),
+    g AS (SELECT rep, ({mixed_sql("slot", "rep")}) % (SELECT max(k) FROM p) AS pos FROM range(2000) r(rep), range((SELECT max(k) FROM p)) s(slot)),
+    x AS (SELECT rep, sum(sb) / sum(n) - sum(sa) / sum(n) AS d FROM g JOIN p USING (pos) GROUP BY 1)
     SELECT {r6("avg(d)")} AS gain, {r6("quantile_cont(d, 0.025)")} AS ci_low, {r6("quantile_cont(d, 0.975)")} AS ci_high, {r6("avg((d > 0)::INTEGER)")} AS p_better FROM x""")
 def paired_block_bootstrap(spark, sf):
     errors = demand.predictions(spark, sf).select("time", F.abs(F.col("trips") - F.col("pred_a")).alias("a"), F.abs(F.col("trips") - F.col("pred_b")).alias("b"))
