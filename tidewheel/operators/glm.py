@@ -38,7 +38,7 @@ def fit(df: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[
         stages.append(StringIndexer(inputCols=list(categories), outputCols=[f"_i_{c}" for c in categories], stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=[f"_i_{c}" for c in categories], outputCols=[f"_o_{c}" for c in categories]))
     stages.append(VectorAssembler(inputCols=[*numbers, *[f"_o_{c}" for c in categories]], outputCol="features"))
-    prepared = Pipeline(stages=stages).fit(df).transform(df)
+    prepared = Pipeline(stages=stages).fit(df).transform(df).persist()
     learner = GeneralizedLinearRegression(family="poisson", link="log", labelCol=label, featuresCol="features", predictionCol="mu", maxIter=50)
     model = learner.fit(prepared)
     return Fit(model, model.transform(prepared), {c: i for i, c in enumerate(numbers)}, label)

@@ -139,10 +139,12 @@ def hundredth(score: Column) -> Column:
     return F.when(k / F.lit(100.0) > score, k - 1).otherwise(k)
 
 
-def threshold_sweep(df: DataFrame, score: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
+def threshold_sweep(df: DataFrame, score: str, y: str, keys: Sequence[str] = (), counted: tuple[str, str] | None = None) -> DataFrame:
     """Counts and rates for every threshold 0.05, 0.06, ... 0.95 in one pass: a histogram of hundredths
-    (about a hundred rows per key) and its sums from above."""
-    bins = df.groupBy(*keys, hundredth(F.col(score)).alias("_k")).agg(F.sum(F.col(y)).alias("_p"), F.sum(1 - F.col(y)).alias("_n"))
+    (about a hundred rows per key) and its sums from above. ``counted`` names columns that already hold
+    the number of positives and negatives of a row."""
+    positive, negative = (F.col(y), 1 - F.col(y)) if counted is None else (F.col(counted[0]), F.col(counted[1]))
+    bins = df.groupBy(*keys, hundredth(F.col(score)).alias("_k")).agg(F.sum(positive).alias("_p"), F.sum(negative).alias("_n"))
     lists = bins.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_p", "_n")).alias("_b"))
     rows = lists.withColumn("k", F.explode(F.sequence(F.lit(GRID[0]), F.lit(GRID[1]))))
 
