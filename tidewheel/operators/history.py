@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.order import running_totals
+from tidewheel.session import stage
 
 # Weight of the prior in trips, prior of the very first trip in minutes.
 SMOOTHING = 20.0
@@ -24,30 +25,34 @@ def _key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("unknown"))
 
 
-def expanding_history(trips: DataFrame, target: str, order: Sequence[str], exact: str = "decimal(18,6)") -> DataFrame:
+def expanding_history(
+    trips: DataFrame, target: str, order: Sequence[str], digits: int = 6, largest_window: int = 2_000_000
+) -> DataFrame:
     """Past-only smoothed means per route, start and end, in the given total order.
 
     The estimate of a row is ``(sum of earlier + 20 * prior) / (earlier rows + 20)``, where the prior is
-    the mean of all earlier rows. Each of the four running sums is range-partitioned by its own key and
-    the order, so a key with a third of the rows is spread over tasks. Sums are fixed point: the same
-    digits come out however the rows were spread.
+    the mean of all earlier rows. Sums are whole numbers of ``10 ** -digits`` minutes: the same digits
+    come out however the rows were spread. A key with more than ``largest_window`` rows is spread over
+    tasks, smaller ones take a window per key.
     """
     rows = trips.withColumns({"_start": _key("start_station_id"), "_end": _key("end_station_id")})
-    one = {"sum": F.col(target).cast(exact), "cnt": F.lit(1)}
+    one = {"sum": F.floor(F.col(target) * 10**digits + 0.5), "cnt": F.lit(1)}
 
-    def step(df: DataFrame, keys: Sequence[str], by: Sequence[str], tag: str) -> DataFrame:
-        out = running_totals(df, keys, by, one, spread_copies=not keys)
-        return out.withColumnsRenamed({"sum_before": f"_{tag}_sum", "cnt_before": f"_{tag}_cnt"}).drop("sum_total", "cnt_total")
+    def named(df: DataFrame, tag: str) -> DataFrame:
+        return df.withColumnsRenamed({"sum_before": f"_{tag}_sum", "cnt_before": f"_{tag}_cnt"}).drop("sum_total", "cnt_total")
 
-    rows = step(rows, [], order, "all")
+    rows = stage(named(running_totals(rows, [], order, one, spread_copies=True), "all"), "history")
     # the number of earlier rows is the row's position: from here on one column orders everything
-    rows = step(rows, ["_start", "_end"], ["_all_cnt"], "route")
-    rows = step(rows, ["_start"], ["_all_cnt"], "start")
-    rows = step(rows, ["_end"], ["_all_cnt"], "end")
-    prior = F.when(F.col("_all_cnt") > 0, F.col("_all_sum").cast("double") / F.col("_all_cnt")).otherwise(F.lit(FIRST_PRIOR))
+    for tag, keys in (("route", ["_start", "_end"]), ("start", ["_start"]), ("end", ["_end"])):
+        rows = named(running_totals(rows, keys, ["_all_cnt"], one, largest_window=largest_window), tag)
+
+    def minutes(tag: str) -> Column:
+        return F.col(f"_{tag}_sum") / F.lit(float(10**digits))
+
+    prior = F.when(F.col("_all_cnt") > 0, minutes("all") / F.col("_all_cnt")).otherwise(F.lit(FIRST_PRIOR))
 
     def estimate(tag: str) -> Column:
-        return (F.col(f"_{tag}_sum").cast("double") + SMOOTHING * prior) / (F.col(f"_{tag}_cnt") + SMOOTHING)
+        return (minutes(tag) + SMOOTHING * prior) / (F.col(f"_{tag}_cnt") + SMOOTHING)
 
     return rows.withColumns({
         "route_typical_minutes": estimate("route"),
@@ -70,13 +75,14 @@ def fit_history(trips: DataFrame, target: str) -> Mapping[str, DataFrame]:
     return fitted
 
 
-def apply_history(rows: DataFrame, fitted: Mapping[str, DataFrame] | None) -> DataFrame:
+def apply_history(rows: DataFrame, fitted: Mapping[str, DataFrame | float] | None) -> DataFrame:
     """Smoothed estimates from fitted tables; an unseen key falls back to the global mean."""
     from tidewheel.functions.features import HISTORY_FEATURES
 
     if fitted is None:
         return rows.withColumns({c: F.lit(None).cast("double") for c in HISTORY_FEATURES})
-    overall = fitted["global"].scalar()
+    overall = fitted["global"]
+    overall = F.lit(overall) if isinstance(overall, float) else overall.scalar()
     out = rows.withColumns({"start_station_id": _key("start_station_id"), "end_station_id": _key("end_station_id")})
     for tag, keys in KEYS.items():
         out = out.join(fitted[tag], keys, "left")

@@ -68,17 +68,17 @@ def error_groups(df: DataFrame, y: str, pred: str, keys: Sequence[str], at_least
 def score_cells(df: DataFrame, score: str, y: str, keys: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
     """One row per distinct score (and key): positives and negatives at the score, at or above it, and in all."""
     w = F.lit(1) if weight is None else weight
-    cells = df.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(F.sum(w * F.col(y)).alias("p"), F.sum(w * (1 - F.col(y))).alias("n"))
-    out = running_totals(cells, keys, [score], {"p": "p", "n": "n"})
-    return out.withColumns({"tp": F.col("p_total") - F.col("p_before"), "fp": F.col("n_total") - F.col("n_before")})
+    cells = df.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(F.sum(w * F.col(y)).alias("pos"), F.sum(w * (1 - F.col(y))).alias("neg"))
+    out = running_totals(cells, keys, [score], {"pos": "pos", "neg": "neg"})
+    return out.withColumns({"tp": F.col("pos_total") - F.col("pos_before"), "fp": F.col("neg_total") - F.col("neg_before")})
 
 
 def _auc(keys: Sequence[str], cells: DataFrame) -> DataFrame:
     # a positive outranks the negatives below it and half of those at its own score
-    won = F.col("p").cast("double") * (F.col("n_before") + F.col("n") / F.lit(2.0))
+    won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     return cells.groupBy(*keys).agg(
-        F.max("p_total").alias("positives"), F.max("n_total").alias("negatives"),
-        F.try_divide(F.sum(won), F.max(F.col("p_total").cast("double") * F.col("n_total"))).alias("auc"),
+        F.max("pos_total").alias("positives"), F.max("neg_total").alias("negatives"),
+        F.try_divide(F.sum(won), F.max(F.col("pos_total").cast("double") * F.col("neg_total"))).alias("auc"),
     )
 
 
@@ -89,12 +89,12 @@ def roc_auc(df: DataFrame, score: str, y: str, keys: Sequence[str] = ()) -> Data
 def roc_curve(df: DataFrame, score: str, y: str) -> DataFrame:
     """A point per distinct score, and the start at (0, 0)."""
     points = score_cells(df, score, y).select(
-        F.col(score).cast("double").alias("threshold"), (F.col("fp") / F.col("n_total")).alias("fpr"), (F.col("tp") / F.col("p_total")).alias("tpr"))
+        F.col(score).cast("double").alias("threshold"), (F.col("fp") / F.col("neg_total")).alias("fpr"), (F.col("tp") / F.col("pos_total")).alias("tpr"))
     return points.unionByName(df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], points.schema))
 
 
 def average_precision(df: DataFrame, score: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
-    step = F.col("p") / F.col("p_total") * F.col("tp") / (F.col("tp") + F.col("fp"))
+    step = F.col("pos") / F.col("pos_total") * F.col("tp") / (F.col("tp") + F.col("fp"))
     return score_cells(df, score, y, keys).groupBy(*keys).agg(F.sum(step).alias("average_precision"))
 
 
@@ -102,11 +102,11 @@ def weighted_scores(df: DataFrame, keys: Sequence[str], score: str, y: str, weig
     """AUC, and recall and specificity at a cut, from weighted rows."""
     cells = score_cells(df, score, y, keys, F.col(weight))
     over = F.col(score) >= cut
-    won = F.col("p") * (F.col("n_before") + F.col("n") / F.lit(2.0))
+    won = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     return cells.groupBy(*keys).agg(
-        (F.sum(won) / (F.sum("p") * F.sum("n"))).alias("auc"),
-        (F.sum(F.when(over, F.col("p")).otherwise(0)) / F.sum("p")).alias("recall"),
-        (F.sum(F.when(~over, F.col("n")).otherwise(0)) / F.sum("n")).alias("specificity"),
+        (F.sum(won) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+        (F.sum(F.when(over, F.col("pos")).otherwise(0)) / F.sum("pos")).alias("recall"),
+        (F.sum(F.when(~over, F.col("neg")).otherwise(0)) / F.sum("neg")).alias("specificity"),
     )
 
 
@@ -145,31 +145,35 @@ def threshold_sweep(df: DataFrame, score: str, y: str, keys: Sequence[str] = (),
     the number of positives and negatives of a row."""
     positive, negative = (F.col(y), 1 - F.col(y)) if counted is None else (F.col(counted[0]), F.col(counted[1]))
     bins = df.groupBy(*keys, hundredth(F.col(score)).alias("_k")).agg(F.sum(positive).alias("_p"), F.sum(negative).alias("_n"))
-    lists = bins.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_p", "_n")).alias("_b"))
-    rows = lists.withColumn("k", F.explode(F.sequence(F.lit(GRID[0]), F.lit(GRID[1]))))
-
-    def total(field: str, over: bool) -> Column:
-        pick = F.filter("_b", lambda e: (e["_k"] >= F.col("k")) if over else (e["_k"] < F.col("k")))
-        return F.aggregate(pick, F.lit(0).cast("long"), lambda s, e: s + e[field])
-
-    counts = rows.select(
-        *keys, (F.col("k") / F.lit(100.0)).alias("threshold"), total("_n", False).alias("tn"), total("_n", True).alias("fp"),
-        total("_p", False).alias("fn"), total("_p", True).alias("tp"))
+    # thresholds join the bins as rows that count nothing; a threshold then adds up everything from above
+    totals = bins.groupBy(*keys).agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
+    grid = totals.withColumn("_k", F.explode(F.sequence(F.lit(GRID[0]), F.lit(GRID[1]))))
+    both = bins.select(*keys, "_k", "_p", "_n", F.lit(None).cast("long").alias("_tp"), F.lit(None).cast("long").alias("_tn")).unionByName(
+        grid.select(*keys, "_k", F.lit(0).cast("long").alias("_p"), F.lit(0).cast("long").alias("_n"), "_tp", "_tn"))
+    above = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+    above = above.orderBy(F.desc("_k")).rangeBetween(Window.unboundedPreceding, 0)
+    summed = both.withColumns({"tp": F.sum("_p").over(above), "fp": F.sum("_n").over(above)}).where("_tp is not null")
+    counts = summed.select(
+        *keys, (F.col("_k") / F.lit(100.0)).alias("threshold"), (F.col("_tn") - F.col("fp")).alias("tn"), "fp", (F.col("_tp") - F.col("tp")).alias("fn"), "tp")
     return add_rates(counts)
 
 
-def best_threshold(sweep: DataFrame, min_recall: float) -> DataFrame:
+def best_threshold(sweep: DataFrame, min_recall: float, ties: Sequence[str] = ()) -> DataFrame:
     """Most accurate threshold overall, and most accurate with enough recall; ties by the stated order,
-    then by the higher threshold."""
-    free = sweep.orderBy(F.desc("accuracy"), F.desc("balanced_accuracy"), F.desc("f2"), F.desc("threshold")).limit(1)
-    safe = sweep.where(F.col("recall") >= min_recall).orderBy(F.desc("accuracy"), F.desc("precision"), F.desc("f2"), F.desc("threshold")).limit(1)
-    return free.withColumn("choice", F.lit("best accuracy")).unionByName(safe.withColumn("choice", F.lit("enough recall")))
+    then by the higher threshold, then by the smaller tie columns. Both in one aggregate."""
+    tail = [F.col("f2"), F.col("threshold"), *[-F.col(c) for c in ties]]
+    row = F.struct(*sweep.columns)
+    free = F.max_by(row, F.struct(F.col("accuracy"), F.col("balanced_accuracy"), *tail))
+    safe = F.max_by(row, F.when(F.col("recall") >= min_recall, F.struct(F.col("accuracy"), F.col("precision"), *tail)))
+    picked = sweep.agg(free.alias("a"), safe.alias("b"))
+    both = F.array(F.struct(F.lit("best accuracy").alias("choice"), F.col("a").alias("r")), F.struct(F.lit("enough recall").alias("choice"), F.col("b").alias("r")))
+    return picked.select(F.explode(both).alias("e")).select("e.choice", "e.r.*").where("threshold is not null")
 
 
 def recall_threshold(df: DataFrame, score: str, y: str, targets: Sequence[float]) -> DataFrame:
     """Highest score cut that reaches each recall target, floored to a thousandth."""
     cells = score_cells(df, score, y).withColumn("_t", F.explode(F.array(*[F.lit(float(t)) for t in targets])))
-    reached = F.when(F.col("tp") >= F.col("_t") * F.col("p_total"), F.col(score))
+    reached = F.when(F.col("tp") >= F.col("_t") * F.col("pos_total"), F.col(score))
     cut = F.max(reached)
     return cells.groupBy(F.col("_t").alias("target")).agg(
         F.when(cut.isNull(), F.raise_error(F.lit("the recall is not reachable")).cast("double")).otherwise(F.floor(cut * 1000) / 1000.0).alias("threshold"))
@@ -205,7 +209,7 @@ def corrected_auc(auc: Column, eps: Column, q: Column) -> dict[str, Column]:
 def noise_threshold(df: DataFrame, score: str, y: str, eps: float, target: float) -> DataFrame:
     """Highest score cut whose true recall reaches the target, floored to a thousandth."""
     cells = score_cells(df, score, y)
-    p, n = F.col("p_total"), F.col("n_total")
+    p, n = F.col("pos_total"), F.col("neg_total")
     q = p / (p + n)
     rates = corrected_rates(F.col("tp") / p, F.col("fp") / n, F.lit(eps), q)
     cut = F.max(F.when(rates["recall"] >= target, F.col(score)))

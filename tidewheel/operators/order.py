@@ -65,13 +65,22 @@ def running_totals(
     order: Sequence[str | Column],
     sums: Mapping[str, str | Column],
     spread_copies: bool = False,
+    largest_window: int = 0,
 ) -> DataFrame:
     """For each ``name -> column`` add ``<name>_before`` (sum over earlier rows of the same keys) and
     ``<name>_total`` (sum over all rows of the same keys).
 
     ``keys`` must not be null. No task ever holds more than one range partition, whatever the size
     of a key.
+
+    ``largest_window`` allows the cheaper plain window per key, but only after the rows of the largest key
+    have been counted and found not to exceed it. Worth it where ``df`` is a staged table, because the
+    count reads the keys once more.
     """
+    if keys and largest_window:
+        biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if biggest <= largest_window:
+            return _keyed_totals(df, keys, order, sums)
     source = df.withColumn("_scan", F.monotonically_increasing_id()) if spread_copies else df
     tail = ["_scan"] if spread_copies else []
     for name, item in sums.items():
@@ -102,6 +111,17 @@ def running_totals(
     return out.drop("_part", "_mid", *drop, *tail)
 
 
+def _keyed_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], sums: Mapping[str, str | Column]) -> DataFrame:
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(*[_col(c) for c in order]).rowsBetween(_FIRST, -1)
+    out = df.withColumns({f"_s_{n}": _col(c) for n, c in sums.items()})
+    out = out.withColumns({
+        **{f"{n}_before": F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)) for n in sums},
+        **{f"{n}_total": F.sum(f"_s_{n}").over(whole) for n in sums},
+    })
+    return out.drop(*[f"_s_{n}" for n in sums])
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, **counted: Column) -> DataFrame:
     """Collapse rows to distinct values with counts before anything is ordered."""
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(c.cast("long")).alias(k) for k, c in counted.items()]

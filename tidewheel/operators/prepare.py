@@ -107,8 +107,8 @@ def blend_sweep(rows: DataFrame, scores: Sequence[str], y: str, units: int = 20)
 
     a, b, c = scores
     cells = rows.groupBy(a, b, c).agg(F.sum(y).alias("_p"), F.sum(1 - F.col(y)).alias("_n"))
-    triples = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(units)), lambda i: F.transform(
-        F.sequence(F.lit(0), F.lit(units) - i), lambda j: F.struct(i.alias("wa"), j.alias("wb"), (F.lit(units) - i - j).alias("wc")))))
+    triples = F.array(*[F.struct(F.lit(i).alias("wa"), F.lit(j).alias("wb"), F.lit(units - i - j).alias("wc"))
+                        for i in range(units + 1) for j in range(units + 1 - i)])
     spread = cells.withColumn("w", F.explode(triples)).select(a, b, c, "_p", "_n", "w.wa", "w.wb", "w.wc")
     u = float(units)
     blended = (F.col("wa") / u) * F.col(a) + (F.col("wb") / u) * F.col(b) + (F.col("wc") / u) * F.col(c)

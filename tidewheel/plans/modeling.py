@@ -97,19 +97,25 @@ def risk_scores(model: PipelineModel, rows: DataFrame, name: str = "p") -> DataF
     return positive_score(model.transform(rows), name).select(*keep, name)
 
 
-def out_of_fold(rows: DataFrame, make: Mapping[str, tuple[list, Estimator]], folds: Sequence[int], fold: str = "fold") -> DataFrame:
-    """Scores of each model for rows it was not fitted on, staged."""
+def out_of_fold(rows: DataFrame, stages: list, learners: Mapping[str, Estimator], folds: Sequence[int], fold: str = "fold") -> DataFrame:
+    """Scores of each model for rows it was not fitted on, staged. The preparation of a fold is fitted
+    once and shared by its models."""
     out = None
     for k in folds:
-        train, held = rows.where(F.col(fold) != k), rows.where(F.col(fold) == k)
-        for name, (stages, learner) in make.items():
-            held = risk_scores(fit(train, stages, learner), held, f"p_{name}")
-        out = held if out is None else out.unionByName(held)
+        prepare = Pipeline(stages=stages).fit(rows.where(F.col(fold) != k))
+        train = prepare.transform(rows.where(F.col(fold) != k)).persist()
+        held = prepare.transform(rows.where(F.col(fold) == k))
+        keep = list(rows.columns)
+        for name, learner in learners.items():
+            held = positive_score(learner.fit(train).transform(held), f"p_{name}").select(*keep, "features", f"p_{name}")
+            keep.append(f"p_{name}")
+        train.unpersist()
+        out = held.drop("features") if out is None else out.unionByName(held.drop("features"))
     return stage(out, "oof")
 
 
 def logistic(weight: str | None = None) -> LogisticRegression:
-    learner = LogisticRegression(labelCol="y", featuresCol="features", regParam=0.001, maxIter=50)
+    learner = LogisticRegression(labelCol="y", featuresCol="features", regParam=0.001, maxIter=20)
     return learner.setWeightCol(weight) if weight else learner
 
 

@@ -117,10 +117,7 @@ BLEND = f"""cells AS (SELECT p_a, p_b, p_c, sum(y) AS p, sum(1 - y) AS n FROM sc
 def blend_search(spark, sf):
     """All 231 weight triples and 91 thresholds; best overall and best with enough recall."""
     swept = rounded(prepare.blend_sweep(v.scores_li(spark, sf), ["p_a", "p_b", "p_c"], "y"), *RATE_NAMES)
-    tail = [F.desc("f2"), F.desc("threshold"), F.asc("wa"), F.asc("wb")]
-    free = swept.orderBy(F.desc("accuracy"), F.desc("balanced_accuracy"), *tail).limit(1)
-    safe = swept.where("recall >= 0.85").orderBy(F.desc("accuracy"), F.desc("precision"), *tail).limit(1)
-    return free.withColumn("choice", F.lit("best accuracy")).unionByName(safe.withColumn("choice", F.lit("enough recall")))
+    return metrics.best_threshold(swept, 0.85, ["wa", "wb"])
 
 
 @add("drop_suspicious_labels", "scores_li", """SELECT fold, y, CAST(count(*) FILTER (WHERE (y = 1 AND p_a < 0.35) OR (y = 0 AND p_a > 1 - 0.35::DOUBLE)) AS BIGINT) AS dropped,
@@ -284,16 +281,18 @@ def fit_boosting(spark, sf):
     return stacked(parts)
 
 
-def risk_models():
-    linear = modeling.linear_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS)
-    tree = modeling.tree_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS)
-    return {"logistic": (linear, modeling.logistic()), "tree": (tree, DecisionTreeClassifier(labelCol="y", maxDepth=5, seed=42))}
+def risk_stages():
+    return modeling.linear_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS)
+
+
+def risk_learners():
+    return {"logistic": modeling.logistic(), "tree": DecisionTreeClassifier(labelCol="y", maxDepth=5, seed=42)}
 
 
 @add("cross_validate")
 def cross_validate(spark, sf):
     """Scores per fold from out-of-fold predictions of two models."""
-    oof = modeling.out_of_fold(modeling.risk_frame(spark, sf), risk_models(), range(5))
+    oof = modeling.out_of_fold(modeling.risk_frame(spark, sf), risk_stages(), risk_learners(), range(5))
     long = oof.unpivot(["fold", "y"], ["p_logistic", "p_tree"], "model", "p")
     auc = metrics.roc_auc(long, "p", "y", ["model", "fold"])
     ap = metrics.average_precision(long, "p", "y", ["model", "fold"])
@@ -317,7 +316,7 @@ def hyperparameter_search(spark, sf):
 @add("stack_models")
 def stack_models(spark, sf):
     """A logistic regression on the out-of-fold scores of two models, judged on folds 3 and 4."""
-    oof = modeling.out_of_fold(modeling.risk_frame(spark, sf), risk_models(), range(5))
+    oof = modeling.out_of_fold(modeling.risk_frame(spark, sf), risk_stages(), risk_learners(), range(5))
     ready = VectorAssembler(inputCols=["p_logistic", "p_tree"], outputCol="features").transform(oof.select("fold", "y", "p_logistic", "p_tree"))
     meta = modeling.logistic().fit(ready.where("fold < 3"))
     scored = modeling.positive_score(meta.transform(ready.where("fold >= 3")), "p_stacked")
@@ -332,15 +331,14 @@ def cascade_specialist(spark, sf):
     """A second model fitted only on doubtful rows. Doubt is decided out of fold on the training side, so
     the comparison on the held-out doubtful rows is fair."""
     rows = modeling.risk_frame(spark, sf)
-    first = {"first": (modeling.linear_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS), modeling.logistic())}
     special = (modeling.tree_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS), GBTClassifier(labelCol="y", maxIter=5, maxDepth=4, seed=42))
     in_doubt = F.col("p_first").between(LOW, HIGH)
     out = None
     for held in (0, 1):
         train = rows.where(F.col("fold") != held)
         inner = [k for k in range(5) if k != held][:2]
-        doubtful = modeling.out_of_fold(train.where(F.col("fold").isin(inner)), first, inner).where(in_doubt).drop("p_first")
-        judged = modeling.risk_scores(modeling.fit(train, *first["first"]), rows.where(F.col("fold") == held), "p_first").where(in_doubt)
+        doubtful = modeling.out_of_fold(train.where(F.col("fold").isin(inner)), risk_stages(), {"first": modeling.logistic()}, inner).where(in_doubt).drop("p_first")
+        judged = modeling.risk_scores(modeling.fit(train, risk_stages(), modeling.logistic()), rows.where(F.col("fold") == held), "p_first").where(in_doubt)
         judged = modeling.risk_scores(modeling.fit(doubtful, *special), judged, "p_special")
         out = judged if out is None else out.unionByName(judged)
     return metrics.roc_auc(stage(out, "cascade").unpivot(["y"], ["p_first", "p_special"], "model", "p"), "p", "y", ["model"])

@@ -1,2 +1,67 @@
+"""Streaming forms of the batch rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewheel.functions import features
+from tidewheel.operators import joins
+from tidewheel.plans import modeling
+from tidewheel.plans import views as v
 from tidewheel.plans.views import Book
+from tidewheel.session import stage
+from tidewheel.streaming import streams
+
 BOOK = Book()
+add = BOOK.add
+
+
+class _Streamed:
+    """Hands the view functions a stream instead of a table: ``read.parquet(<dir>/<name>.parquet)``."""
+
+    def __init__(self, spark):
+        self.spark, self.read = spark, self
+
+    def parquet(self, path):
+        folder, name = path.rsplit("/", 1)
+        return streams.open_stream(self.spark, folder, self.spark.read.parquet(path).schema, name)
+
+
+@add("stream_station_hour", "departures", """SELECT start_station_id, date_trunc('hour', started_at) AS time, count(*) AS trips,
+    CAST(count(*) FILTER (WHERE member_casual = 'member') AS BIGINT) AS members, CAST(count(*) FILTER (WHERE rideable_type = 'electric_bike') AS BIGINT) AS electric FROM departures
+    GROUP BY 1, 2 HAVING date_trunc('hour', started_at) + INTERVAL 1 HOUR <= (SELECT max(started_at) - INTERVAL 2 HOUR FROM departures)""")
+def stream_station_hour(spark, sf):
+    """Hours closed by the watermark; equal to the batch counts of those hours."""
+    return streams.run(streams.station_hours(v.trips_ev(_Streamed(spark), sf), "2 hours"), "station-hours")
+
+
+@add("stream_clean_audit", "trips_ev", """SELECT strftime(started_at, '%Y%m') AS source_month, count(*) AS input_rows,
+    CAST(count(*) FILTER (WHERE duration_minutes BETWEEN 1 AND 180 AND start_lat BETWEEN 40.4 AND 41.1 AND start_lng BETWEEN -74.4 AND -73.5 AND start_station_id IS NOT NULL) AS BIGINT) AS output_rows,
+    CAST(count(*) FILTER (WHERE NOT (duration_minutes BETWEEN 1 AND 180)) AS BIGINT) AS removed_invalid_duration,
+    CAST(count(*) FILTER (WHERE NOT (start_lat BETWEEN 40.4 AND 41.1 AND start_lng BETWEEN -74.4 AND -73.5)) AS BIGINT) AS removed_invalid_geo,
+    CAST(count(*) FILTER (WHERE member_casual NOT IN ('member', 'casual')) AS BIGINT) AS removed_invalid_user_type,
+    CAST(count(*) FILTER (WHERE start_station_id IS NULL) AS BIGINT) AS removed_missing_start FROM trips_ev GROUP BY 1""")
+def stream_clean_audit(spark, sf):
+    return streams.merged_audit(streams.run(streams.checked_rows(v.trips_ev(_Streamed(spark), sf)), "checked"))
+
+
+@add("stream_dedupe", "trips_li", "SELECT DISTINCT ride_id FROM trips_li")
+def stream_dedupe(spark, sf):
+    rows = v.trips_li(_Streamed(spark), sf).select("ride_id", "started_at", "start_station_id")
+    return streams.run(streams.deduplicated(rows, ["ride_id"], "1 day"), "dedupe").select("ride_id")
+
+
+@add("stream_weather_score")
+def stream_weather_score(spark, sf):
+    """Arriving trips joined with the static weather and the fitted history, then scored."""
+    from tidewheel.plans.models_book import duration_model, score_requests
+
+    train, _, fitted = modeling.duration_parts(spark, sf)
+    static = {k: stage(t, "static") for k, t in fitted.items() if k != "global"}
+    static["global"] = float(fitted["global"].first()[0])
+    hourly = stage(features.duration_weather(v.weather(spark, sf)), "weather")
+    arriving = v.trips_ev(_Streamed(spark), sf).where("start_station_id is not null")
+    arriving = joins.join_hourly(arriving, hourly, "started_at", "time", features.WEATHER_DURATION)
+    scored = score_requests(arriving, static, duration_model(train))
+    out = scored.select("ride_id", F.col("start_station_id").alias("station"), "predicted_duration_minutes", "route_trips_in_history", "weather_source")
+    return streams.run(out, "scored")
