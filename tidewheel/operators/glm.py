@@ -96,8 +96,8 @@ def robust_effects(fitted: Fit, names: Sequence[str], cluster: str) -> DataFrame
 def spline(df: DataFrame, column: str, terms: int) -> DataFrame:
     """Cubic spline columns ``<column>_b1..`` on evenly spaced knots: x, x^2, x^3 and one cubed hinge per
     inner knot, on the column scaled to [0, 1]."""
-    low, high = df.select(F.min(column)).scalar(), df.select(F.max(column)).scalar()
-    x = (F.col(column) - low) / F.greatest(high - low, F.lit(1e-9))
+    ends = df.select(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e")).scalar()
+    x = (F.col(column) - ends["low"]) / F.greatest(ends["high"] - ends["low"], F.lit(1e-9))
     out = {f"{column}_b1": x, f"{column}_b2": x * x, f"{column}_b3": x * x * x}
     inner = terms - 3
     for k in range(1, inner + 1):

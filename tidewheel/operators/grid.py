@@ -32,16 +32,16 @@ def merge_counts(parts: DataFrame, keys: Sequence[str], sums: Sequence[str]) ->
 
 def dense_hours(counts: DataFrame, spark: SparkSession, n_zones: int, sums: Sequence[str] = ("trips", "members", "electric")) -> DataFrame:
     """All zones x all hours of the covered days; hours without a departure count zero."""
-    first = counts.select(cal.day_floor(F.min("time")))
-    last = counts.select(F.timestamp_add("HOUR", F.lit(23), cal.day_floor(F.max("time"))))
-    hours = F.sequence(first.scalar(), last.scalar(), F.expr("interval 1 hour"))
+    span = counts.select(F.struct(
+        cal.day_floor(F.min("time")).alias("first"), F.timestamp_add("HOUR", F.lit(23), cal.day_floor(F.max("time"))).alias("last")).alias("s")).scalar()
+    hours = F.sequence(span["first"], span["last"], F.expr("interval 1 hour"))
     grid = spark.range(n_zones).select(F.col("id").cast("int").alias("zone"), F.explode(hours).alias("time"))
     return grid.join(counts, ["zone", "time"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in sums})
 
 
 def dense_days(daily: DataFrame, spark: SparkSession, day: str = "day", sums: Sequence[str] = ("trips",)) -> DataFrame:
-    first, last = daily.select(F.min(day)), daily.select(F.max(day))
-    grid = spark.range(1).select(F.explode(F.sequence(first.scalar(), last.scalar(), F.expr("interval 1 day"))).alias(day))
+    span = daily.select(F.struct(F.min(day).alias("first"), F.max(day).alias("last")).alias("s")).scalar()
+    grid = spark.range(1).select(F.explode(F.sequence(span["first"], span["last"], F.expr("interval 1 day"))).alias(day))
     return grid.join(daily, day, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in sums})
 
 

@@ -43,7 +43,8 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], defaults: Mappi
 
 def salted_semi(rows: DataFrame, keys: DataFrame, on: Sequence[str], salts: int = 16, anti: bool = False) -> DataFrame:
     """Semi or anti join in which a hot key of ``rows`` is spread over ``salts`` tasks. ``keys`` holds
-    distinct keys and is repeated once per salt."""
+    distinct keys and is repeated once per salt; ``rows`` is a scan or a staged table, whose row order does
+    not change when a task is repeated."""
     left = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     right = keys.select(*on).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], "left_anti" if anti else "left_semi").drop("_salt")

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.operators.order import exact_quantiles, running_totals
+from tidewheel.operators.order import exact_quantiles, join_groups, running_totals
 
 # The threshold grid in hundredths.
 GRID = (5, 95)
@@ -30,8 +30,9 @@ def regression_metrics(df: DataFrame, y: str, pred: str, keys: Sequence[str] = (
     )
     medians = exact_quantiles(rows, keys, "_abs", {"median_ae": 0.5})
     if keys:
-        return medians.join(basics, list(keys))
-    return medians.select("n", "median_ae", *[basics.select(c).scalar().alias(c) for c in ("mae", "rmse", "r2")])
+        return join_groups(medians, basics, keys)
+    one = basics.select(F.struct("mae", "rmse", "r2").alias("v")).scalar()
+    return medians.select("n", "median_ae", *[one[c].alias(c) for c in ("mae", "rmse", "r2")])
 
 
 def count_metrics(df: DataFrame, y: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -59,7 +60,8 @@ def error_groups(df: DataFrame, y: str, pred: str, keys: Sequence[str], at_least
     """Rows, MAE, median absolute error and bias per group."""
     rows = df.withColumns({"_abs": F.abs(F.col(pred) - F.col(y)), "_err": F.col(pred) - F.col(y)})
     basics = rows.groupBy(*keys).agg(F.avg("_abs").alias("mae"), F.avg("_err").alias("bias"))
-    return exact_quantiles(rows, keys, "_abs", {"median_ae": 0.5}).where(F.col("n") >= at_least).join(basics, list(keys))
+    return exact_quantiles(rows, keys, "_abs", {"median_ae": 0.5}).where(F.col("n") >= at_least).transform(
+        join_groups, basics, keys)
 
 
 # --- classification ----------------------------------------------------------------------------
@@ -221,9 +223,8 @@ def confident_joint(df: DataFrame, score: str, y: str) -> DataFrame:
     over its own rows; when both do, the larger wins. Rows are rescaled to the class sizes; the counts are
     left as fractions."""
     p1 = F.col(score)
-    t1 = df.where(F.col(y) == 1).select(F.avg(p1).alias("t")).scalar()
-    t0 = df.where(F.col(y) == 0).select(F.avg(1 - p1).alias("t")).scalar()
-    in1, in0 = p1 >= t1 - 1e-6, (1 - p1) >= t0 - 1e-6
+    means = df.agg(F.struct(F.avg(F.when(F.col(y) == 1, p1)).alias("t1"), F.avg(F.when(F.col(y) == 0, 1 - p1)).alias("t0")).alias("v")).scalar()
+    in1, in0 = p1 >= means["t1"] - 1e-6, (1 - p1) >= means["t0"] - 1e-6
     likely = F.when(in1 & in0, (p1 > 0.5).cast("int")).when(in1, 1).when(in0, 0)
     cells = df.groupBy(F.col(y).alias("given"), likely.alias("likely")).agg(F.count(F.lit(1)).alias("c"))
     per_class = Window.partitionBy("given")  # four to six rows in all

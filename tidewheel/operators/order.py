@@ -25,6 +25,15 @@ def _col(item: str | Column) -> Column:
     return F.col(item) if isinstance(item, str) else item
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on group keys in which null equals null."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    test = F.lit(True)
+    for k in keys:
+        test = test & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(other, test).drop(*[f"_r_{k}" for k in keys])
+
+
 def _range_sorted(df: DataFrame, cols: Sequence[str | Column], label: str) -> DataFrame:
     keys = [_col(c) for c in cols]
     ranged = df.repartitionByRange(shuffle_partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
@@ -70,7 +79,7 @@ def running_totals(
     """For each ``name -> column`` add ``<name>_before`` (sum over earlier rows of the same keys) and
     ``<name>_total`` (sum over all rows of the same keys).
 
-    ``keys`` must not be null. No task ever holds more than one range partition, whatever the size
+    A null key is a group like any other. No task ever holds more than one range partition, whatever the size
     of a key.
 
     ``largest_window`` allows the cheaper plain window per key, but only after the rows of the largest key
@@ -104,7 +113,7 @@ def running_totals(
     )
     if not keys:
         offsets = F.broadcast(offsets)  # one row per range partition
-    out = local.join(offsets, ["_part", *keys])
+    out = join_groups(local, offsets, ["_part", *keys])
     for n in sums:
         out = out.withColumn(f"{n}_before", F.col(f"_b_{n}") + F.col(f"_o_{n}"))
     drop = [f"_{p}_{n}" for n in sums for p in ("s", "b", "o")]

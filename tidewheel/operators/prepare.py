@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.operators.order import exact_quantiles
+from tidewheel.operators.order import exact_quantiles, running_totals
 
 
 def group_means(train: DataFrame, keys: Sequence[str], y: str) -> tuple[DataFrame, Column]:
@@ -50,19 +50,13 @@ def impute(rows: DataFrame, fills: Mapping[str, Column], indicator: bool = True)
 
 
 def categories(train: DataFrame, column: str, min_count: int = 5) -> DataFrame:
-    """Known categories with an ordinal number and a one-hot slot; rare ones share the last slot.
-
-    The numbering runs over the distinct categories, not over rows.
-    """
+    """Known categories with an ordinal number and a one-hot slot; rare ones share the last slot. The
+    distinct categories are numbered by distributed running counts, however many there are."""
     counts = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     rare = F.col("n") < min_count
-    alphabet = Window.partitionBy(F.lit(1)).orderBy(column)
-    ranked = counts.withColumns({
-        "ordinal": (F.row_number().over(alphabet) - 1).cast("int"),
-        "_common": F.sum((~rare).cast("int")).over(alphabet),
-        "_total": F.sum((~rare).cast("int")).over(Window.partitionBy(F.lit(1))),
-    })
-    return ranked.select(column, "ordinal", F.when(rare, F.col("_total")).otherwise(F.col("_common") - 1).cast("int").alias("slot"))
+    ranked = running_totals(counts, [], [column], {"any": F.lit(1), "common": (~rare).cast("int")})
+    slot = F.when(rare, F.col("common_total")).otherwise(F.col("common_before"))
+    return ranked.select(column, F.col("any_before").cast("int").alias("ordinal"), slot.cast("int").alias("slot"))
 
 
 def encode(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -78,12 +72,9 @@ def balanced_weights(train: DataFrame, label: str) -> DataFrame:
 
 
 def scale(rows: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(x - mean) / population deviation, both from the training part."""
-    out = {}
-    for c in columns:
-        m, s = train.select(F.avg(c).alias("m")).scalar(), train.select(F.stddev_pop(c).alias("s")).scalar()
-        out[f"{c}_scaled"] = (F.col(c) - m) / s
-    return rows.withColumns(out)
+    """(x - mean) / population deviation, both from one pass over the training part."""
+    moments = train.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns]).alias("v")).scalar()
+    return rows.withColumns({f"{c}_scaled": (F.col(c) - moments[c]["m"]) / moments[c]["s"] for c in columns})
 
 
 def soft_vote(rows: DataFrame, weights: Mapping[str, float], name: str = "p_vote") -> DataFrame:

@@ -140,28 +140,27 @@ def chi_square(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), weight:
     cells = cells.withColumns({
         "_r": F.sum("_o").over(Window.partitionBy(*keys, a)),
         "_c": F.sum("_o").over(Window.partitionBy(*keys, b)),
-        "_n": F.sum("_o").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))),
     })
     sums = cells.groupBy(*keys).agg(
-        F.max("_n").alias("n"),
+        F.sum("_o").alias("n"),
         F.sum(F.col("_o") * F.col("_o") / (F.col("_r") * F.col("_c"))).alias("_q"),
         F.countDistinct(a).alias("_nr"),
         F.countDistinct(b).alias("_nc"),
-        F.max(F.abs(F.col("_o") - F.col("_r") * F.col("_c") / F.col("_n"))).alias("_d"),
-        F.max("_r").alias("_r1"),
-        F.max("_c").alias("_c1"),
+        F.min(F.struct("_o", "_r", "_c")).alias("_x"),
     )
     total = F.col("n")
     two = (F.col("_nr") == 2) & (F.col("_nc") == 2)
-    less = F.greatest(F.lit(0.0), F.col("_d") - 0.5)
-    margins = F.col("_r1") * (total - F.col("_r1")) * F.col("_c1") * (total - F.col("_c1"))
+    # in a two by two table every cell is equally far from its expectation
+    row, column = F.col("_x._r"), F.col("_x._c")
+    less = F.greatest(F.lit(0.0), F.abs(F.col("_x._o") - row * column / total) - 0.5)
+    margins = row * (total - row) * column * (total - column)
     chi2 = F.when(two, less * less * total * total * total / margins).otherwise(total * (F.col("_q") - 1))
     dof = (F.col("_nr") - 1) * (F.col("_nc") - 1)
     out = sums.withColumns({"chi2": chi2, "dof": dof})
     smaller = F.least("_nr", "_nc") - 1
     return out.withColumns({
         "cramers_v": F.sqrt(F.col("chi2") / (total * smaller)), "p_value": chi2_tail(F.col("chi2"), F.col("dof")),
-    }).drop("_q", "_nr", "_nc", "_d", "_r1", "_c1")
+    }).drop("_q", "_nr", "_nc", "_x")
 
 
 def welch(df: DataFrame, value: str, first: Column) -> DataFrame:

@@ -72,8 +72,8 @@ def resample(spark, sf):
     FROM b LEFT JOIN g p ON p.time = b.t0 LEFT JOIN g n ON n.time = b.t1""")
 def interpolate_limit(spark, sf):
     gaps = v.weather_gaps(spark, sf)
-    first, last = gaps.select(F.min("time")), gaps.select(F.max("time"))
-    hours = spark.range(1).select(F.explode(F.sequence(first.scalar(), last.scalar(), F.expr("interval 1 hour"))).alias("time"))
+    span = gaps.select(F.struct(F.min("time").alias("first"), F.max("time").alias("last")).alias("s")).scalar()
+    hours = spark.range(1).select(F.explode(F.sequence(span["first"], span["last"], F.expr("interval 1 hour"))).alias("time"))
     out = grid.interpolate_limit(hours.join(gaps, "time", "left"), "temperature_c")
     return rounded(out.select("time", "temperature_c"), "temperature_c")
 

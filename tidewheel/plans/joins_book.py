@@ -31,11 +31,11 @@ def join_missing_dimension(spark, sf):
 
 @add("map_lookup", "trips_li", """SELECT coalesce(n.s_nationkey, -1) AS place, t.trips, t.start_station_id FROM
     (SELECT start_station_id, count(*) AS trips FROM trips_li GROUP BY 1) t
-    LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS start_station_id, s_nationkey FROM supplier WHERE s_suppkey % 9 <> 0) n USING (start_station_id)""")
+    LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS start_station_id, s_nationkey FROM supplier WHERE s_acctbal > 0) n USING (start_station_id)""")
 def map_lookup(spark, sf):
     """Stations to their district, -1 when unknown; trips are counted before the lookup."""
     counts = v.trips_li(spark, sf).groupBy("start_station_id").agg(F.count(F.lit(1)).alias("trips"))
-    place = v.table(spark, sf, "supplier").where("s_suppkey % 9 <> 0").select(
+    place = v.table(spark, sf, "supplier").where("s_acctbal > 0").select(
         F.col("s_suppkey").cast("string").alias("start_station_id"), F.col("s_nationkey").alias("place"))
     return joins.lookup(counts, place, ["start_station_id"], {"place": -1})
 
@@ -83,13 +83,13 @@ def join_predictions(spark, sf):
     return out.select("zone", "time", "trips", F.col("pred_a").alias("a"), F.col("pred_b").alias("b"), "temperature_c")
 
 
-@add("nearest_hour", "weather trips_ev", """WITH f AS (SELECT * FROM weather WHERE date_diff('hour', TIMESTAMP '2024-01-01', time) % 6 NOT IN (1, 2, 3)),
+@add("nearest_hour", "weather trips_ev", """WITH f AS (SELECT * FROM weather WHERE humidity_pct >= 60),
     asked AS (SELECT ride_id, date_trunc('hour', started_at) AS at FROM trips_ev),
     c AS (SELECT a.ride_id, f.time, f.temperature_c, row_number() OVER (PARTITION BY a.ride_id ORDER BY abs(date_diff('hour', a.at, f.time)), f.time) AS rn
           FROM asked a JOIN f ON f.time BETWEEN a.at - INTERVAL 1 HOUR AND a.at + INTERVAL 1 HOUR)
     SELECT a.ride_id, c.ride_id IS NOT NULL AS in_reach, c.time AS weather_hour, c.temperature_c FROM asked a LEFT JOIN c ON c.ride_id = a.ride_id AND c.rn = 1""")
 def nearest_hour(spark, sf):
-    forecast = v.weather(spark, sf).where("timestampdiff(HOUR, timestamp_ntz'2024-01-01', time) % 6 not in (1, 2, 3)")
+    forecast = v.weather(spark, sf).where("humidity_pct >= 60")
     return joins.nearest_hour(v.trips_ev(spark, sf), forecast, "started_at", "ride_id", "time", ["temperature_c"])
 
 

@@ -59,22 +59,22 @@ MODE = "(SELECT {c} FROM tr WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) D
 
 @add("impute", "cases", f"""WITH tr AS (SELECT * FROM cases WHERE {TRAIN}) SELECT l_orderkey, l_linenumber, l_partkey, width, height, coalesce(size, (SELECT median(size) FROM tr)) AS size,
     coalesce(kind, {MODE.format(c="kind")}) AS kind, coalesce(noise_1, {MODE.format(c="noise_1")}) AS noise_1,
-    (size IS NULL)::INTEGER AS size_missing, (kind IS NULL)::INTEGER AS kind_missing, (noise_1 IS NULL)::INTEGER AS noise_1_missing FROM cases WHERE NOT ({TRAIN})""")
+    (size IS NULL)::INTEGER AS size_missing, (kind IS NULL)::INTEGER AS kind_missing, (noise_1 IS NULL)::INTEGER AS noise_1_missing FROM cases""")
 def impute(spark, sf):
     rows = v.cases(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "width", "height", "size", "kind", "noise_1")
     fills = prepare.fill_values(rows.where(TRAIN), medians=["size"], modes=["kind", "noise_1"])
-    return prepare.impute(rows.where(f"not ({TRAIN})"), fills)
+    return prepare.impute(rows, fills)
 
 
 @add("encode_categories", "cases", f"""WITH c AS (SELECT *, kind || '/' || brand || CASE WHEN width = 50 THEN '/' || (l_partkey % 37) ELSE '' END AS cat FROM cases WHERE kind IS NOT NULL),
     n AS (SELECT cat, count(*) AS n FROM c WHERE {TRAIN} GROUP BY 1),
     k AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) - 1 AS INTEGER) AS ordinal, CAST(CASE WHEN n < 5 THEN sum((n >= 5)::INTEGER) OVER () ELSE sum((n >= 5)::INTEGER) OVER (ORDER BY cat) - 1 END AS INTEGER) AS slot FROM n)
-    SELECT coalesce(ordinal, -1) AS ordinal, coalesce(slot, -1) AS slot, cat, count(*) AS n FROM c LEFT JOIN k USING (cat) WHERE NOT ({TRAIN}) GROUP BY 1, 2, 3""")
+    SELECT coalesce(ordinal, -1) AS ordinal, coalesce(slot, -1) AS slot, cat, count(*) AS n FROM c LEFT JOIN k USING (cat) GROUP BY 1, 2, 3""")
 def encode_categories(spark, sf):
     cat = F.concat_ws("/", "kind", "brand", F.when(F.col("width") == 50, (F.col("l_partkey") % 37).cast("string")))
     rows = v.cases(spark, sf).where("kind is not null").select("l_orderkey", cat.alias("cat"))
     table = prepare.categories(rows.where(TRAIN), "cat", 5)
-    counts = rows.where(f"not ({TRAIN})").groupBy("cat").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy("cat").agg(F.count(F.lit(1)).alias("n"))
     return prepare.encode(counts, table, "cat").withColumn("slot", F.coalesce("slot", F.lit(-1))).select("ordinal", "slot", "cat", "n")
 
 
@@ -86,10 +86,10 @@ def class_weights(spark, sf):
 
 
 @add("standard_scale", "cases", f"""WITH m AS (SELECT avg(width) AS mw, stddev_pop(width) AS sw, avg(height) AS mh, stddev_pop(height) AS sh FROM cases WHERE {TRAIN})
-    SELECT l_orderkey, l_linenumber, l_partkey, {r6("(width - mw) / sw")} AS width_scaled, {r6("(height - mh) / sh")} AS height_scaled FROM cases, m WHERE NOT ({TRAIN})""")
+    SELECT l_orderkey, l_linenumber, l_partkey, {r6("(width - mw) / sw")} AS width_scaled, {r6("(height - mh) / sh")} AS height_scaled FROM cases, m""")
 def standard_scale(spark, sf):
     rows = v.cases(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "width", "height")
-    out = prepare.scale(rows.where(f"not ({TRAIN})"), rows.where(TRAIN), ["width", "height"])
+    out = prepare.scale(rows, rows.where(TRAIN), ["width", "height"])
     return rounded(out.drop("width", "height"), "width_scaled", "height_scaled")
 
 

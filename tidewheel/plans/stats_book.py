@@ -98,11 +98,11 @@ def hypothesis_report(spark, sf):
     rows = riders(spark, sf)
     test = stats.mann_whitney(rows, "duration_minutes", F.col("member_casual") == "casual")
     medians = stats.group_medians(rows, "duration_minutes", "member_casual")
-    med = {g: medians.where(F.col("member_casual") == g).select("median").scalar() for g in ("casual", "member")}
-    ci = interval(spark, sf)
+    med = medians.agg(F.struct(*[F.max(F.when(F.col("member_casual") == g, F.col("median"))).alias(g) for g in ("casual", "member")]).alias("v")).scalar()
+    ci = interval(spark, sf).select(F.struct("ci_low", "ci_high").alias("v")).scalar()
     return test.select(
         F.col("n1").alias("n_casual"), F.col("n2").alias("n_member"), rnd(med["casual"], 9).alias("median_casual"), rnd(med["member"], 9).alias("median_member"),
-        rnd(med["casual"] - med["member"], 9).alias("median_difference"), ci.select("ci_low").scalar().alias("ci_low"), ci.select("ci_high").scalar().alias("ci_high"),
+        rnd(med["casual"] - med["member"], 9).alias("median_difference"), ci["ci_low"].alias("ci_low"), ci["ci_high"].alias("ci_high"),
         F.col("u").alias("mann_whitney_u"), rnd("p_greater").alias("one_sided_p_value"), rnd("cliffs_delta", 9).alias("cliffs_delta"))
 
 

@@ -31,14 +31,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def staging_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, local runs) gets a fresh temporary folder, which is then
-    written back to the session so that every later call agrees.
+    Where a session names none, a local one (tests) gets a fresh temporary folder and any other uses its
+    warehouse, which all executors can reach. The choice is kept in the session so that later calls agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tidewheel.staging.dir", None)
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("tidewheel.staging.dir", None)
+    )
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        if spark.sparkContext.master.startswith("local"):
+            root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        else:
+            root = spark.conf.get("spark.sql.warehouse.dir")
         spark.conf.set("tidewheel.staging.dir", root)
     return root.rstrip("/")
 
