@@ -139,27 +139,31 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, **counted: Colu
 
 def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One row per distinct value: its count ``n`` and its tie-averaged 1-based rank ``avg_rank``."""
+    if "n" in (*keys, value):
+        raise ValueError("the name n is taken by the count")
     cells = running_totals(value_counts(df, keys, value), keys, [value], {"n": "n"})
     return cells.withColumn("avg_rank", F.col("n_before") + (F.col("n") + 1) / F.lit(2.0))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles per key, plus ``n``.
+    """Exact, linearly interpolated quantiles per key, plus the number of values as ``n``
+    (unless a quantile has that name).
 
     ``percentile`` keeps every distinct value of a group in one task's memory. Here values are
     counted, ordered over all tasks, and only the two values around each position are kept.
     """
-    cells = running_totals(value_counts(df, keys, value), keys, [value], {"n": "n"})
-    aggs = [F.max("n_total").alias("n")]
+    values = df.select(*keys, F.col(value).alias("_v"))
+    cells = running_totals(value_counts(values, keys, "_v"), keys, ["_v"], {"n": "n"})
+    aggs = [F.max("n_total").alias("_n")]
     for name, p in probs.items():
         at = F.floor(F.lit(float(p)) * (F.col("n_total") - 1))
         for tag, spot in (("lo", at), ("hi", F.least(at + 1, F.col("n_total") - 1))):
             hit = (spot >= F.col("n_before")) & (spot < F.col("n_before") + F.col("n"))
-            aggs.append(F.max(F.when(hit, F.col(value).cast("double"))).alias(f"_{tag}_{name}"))
+            aggs.append(F.max(F.when(hit, F.col("_v").cast("double"))).alias(f"_{tag}_{name}"))
     found = cells.groupBy(*keys).agg(*aggs)
-    picks = []
+    picks = [] if "n" in probs else [F.col("_n").alias("n")]
     for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("n") - 1)
+        at = F.lit(float(p)) * (F.col("_n") - 1)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         picks.append((low + (high - low) * (at - F.floor(at))).alias(name))
-    return found.select(*keys, "n", *picks)
+    return found.select(*keys, *picks)
