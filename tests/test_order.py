@@ -1,10 +1,19 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidewheel.operators import order
 
 
+@pytest.fixture(autouse=True)
+def small_ranges_stay_apart(spark):
+    """Tiny test data would otherwise be merged into one partition."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def skewed(n=3000, seed=1):
     """One key holds 80 % of the rows, many rows are exact copies."""
     rng = np.random.default_rng(seed)
@@ -71,3 +80,10 @@ def test_average_ranks_match_pandas(spark):
     out = order.average_ranks(spark.createDataFrame(pdf), [], "x").toPandas().set_index("x")["avg_rank"]
     want = pdf["x"].rank()
     assert (pdf["x"].map(out) == want).all()
+
+
+def test_merged_ranges_give_the_same_totals(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    pdf = skewed()
+    out = order.row_index(spark.createDataFrame(pdf), ["t", "k", "x"]).toPandas()
+    assert sorted(out["idx"]) == list(range(len(pdf)))

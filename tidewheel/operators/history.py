@@ -62,16 +62,16 @@ def expanding_history(
     }).drop("_start", "_end", *[f"_{t}_{m}" for t in ("all", "route", "start", "end") for m in ("sum", "cnt")])
 
 
-def fit_history(trips: DataFrame, target: str) -> Mapping[str, DataFrame]:
-    """Mean and count per route, start and end, and the global mean: four keyed tables."""
+def fit_history(trips: DataFrame, target: str, digits: int = 6) -> Mapping[str, DataFrame]:
+    """Mean and count per route, start and end, and the global mean: four keyed tables. Sums are whole
+    numbers, as in ``expanding_history``."""
+    whole = F.floor(F.col(target) * 10**digits + 0.5)
     rows = trips.select(
-        _key("start_station_id").alias("start_station_id"), _key("end_station_id").alias("end_station_id"), F.col(target).alias("_y")
+        _key("start_station_id").alias("start_station_id"), _key("end_station_id").alias("end_station_id"), whole.alias("_y")
     )
-    fitted = {
-        tag: rows.groupBy(*keys).agg(F.avg("_y").alias(f"_{tag}_mean"), F.count("_y").alias(f"_{tag}_n"))
-        for tag, keys in KEYS.items()
-    }
-    fitted["global"] = rows.agg(F.avg("_y").alias("_mean"))
+    mean = F.sum("_y") / F.count("_y") / F.lit(float(10**digits))
+    fitted = {tag: rows.groupBy(*keys).agg(mean.alias(f"_{tag}_mean"), F.count("_y").alias(f"_{tag}_n")) for tag, keys in KEYS.items()}
+    fitted["global"] = rows.agg(mean.alias("_mean"))
     return fitted
 
 

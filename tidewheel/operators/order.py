@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.session import shuffle_partitions, stage
+from tidewheel.session import stage
 
 _FIRST = Window.unboundedPreceding
 
@@ -36,7 +36,8 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
 
 def _range_sorted(df: DataFrame, cols: Sequence[str | Column], label: str) -> DataFrame:
     keys = [_col(c) for c in cols]
-    ranged = df.repartitionByRange(shuffle_partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    # no partition count: adaptive execution merges neighbouring ranges where the data is small
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     # partition number in the upper bits, position inside the partition in the lower 33
     return stage(ranged.withColumn("_mid", F.monotonically_increasing_id()), label)
 

@@ -266,6 +266,7 @@ CYCLIC = {
 }
 CYCLIC_SQL = ", ".join(f"{r6(f'{f}({angle})')} AS {name}_{f}" for name, angle in CYCLIC.items() for f in ("sin", "cos"))
 PATH = ["start_lat", "start_lng", "end_lat", "end_lng"]
+EXACT_MEAN = "CAST(sum(CAST(floor(duration_minutes * 1000000 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) / 1000000.0::DOUBLE"
 LI_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -327,10 +328,10 @@ def degrees_to_km(spark, sf):
     WITH t AS (SELECT t.*, w.temperature_c, w.humidity_pct, w.precipitation_mm, w.wind_kmh, CAST(h.day IS NOT NULL AS INTEGER) AS is_holiday
         FROM trips_ev t LEFT JOIN weather w ON w.time = date_trunc('hour', t.started_at)
         LEFT JOIN holidays h ON h.day = CAST(t.started_at AS DATE)),
-    g AS (SELECT avg(duration_minutes) AS m FROM trips_ev),
-    r AS (SELECT coalesce(start_station_id, 'unknown') AS s, end_station_id AS e, avg(duration_minutes) AS m, count(*) AS n FROM trips_ev GROUP BY 1, 2),
-    a AS (SELECT coalesce(start_station_id, 'unknown') AS s, avg(duration_minutes) AS m, count(*) AS n FROM trips_ev GROUP BY 1),
-    b AS (SELECT end_station_id AS e, avg(duration_minutes) AS m, count(*) AS n FROM trips_ev GROUP BY 1)
+    g AS (SELECT {EXACT_MEAN} AS m FROM trips_ev),
+    r AS (SELECT coalesce(start_station_id, 'unknown') AS s, end_station_id AS e, {EXACT_MEAN} AS m, count(*) AS n FROM trips_ev GROUP BY 1, 2),
+    a AS (SELECT coalesce(start_station_id, 'unknown') AS s, {EXACT_MEAN} AS m, count(*) AS n FROM trips_ev GROUP BY 1),
+    b AS (SELECT end_station_id AS e, {EXACT_MEAN} AS m, count(*) AS n FROM trips_ev GROUP BY 1)
     SELECT ride_id, rideable_type, member_casual, coalesce(start_station_id, 'unknown') AS start_station_id, end_station_id,
         {", ".join(f"{r6(c)} AS {c}" for c in PATH)}, {r6(HAVERSINE)} AS direct_distance_km, {r6(GRID)} AS grid_distance_km,
         {r6("end_lat - start_lat")} AS delta_lat, {r6("end_lng - start_lng")} AS delta_lng,

@@ -102,6 +102,9 @@ def lag_features(spark, sf):
     return grid.lags(table, "trips", {"lag_24": 24, "lag_168": 168})
 
 
+EXACT_MEAN = "CAST(sum(CAST(floor(duration_minutes * 1000000 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) / 1000000.0::DOUBLE"
+
+
 def _past(keys: str) -> str:
     part = f"PARTITION BY {keys} " if keys else ""
     return f"({part}ORDER BY {', '.join(v.TRIP_ORDER)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -122,10 +125,10 @@ def expanding_history(spark, sf):
 
 
 @add("fit_history", "trips_li", f"""
-    SELECT 'route' AS level, start_station_id || ' > ' || end_station_id AS key, {r6("avg(duration_minutes)")} AS mean, count(*) AS n FROM trips_li GROUP BY 2
-    UNION ALL SELECT 'start', start_station_id, {r6("avg(duration_minutes)")}, count(*) FROM trips_li GROUP BY 2
-    UNION ALL SELECT 'end', end_station_id, {r6("avg(duration_minutes)")}, count(*) FROM trips_li GROUP BY 2
-    UNION ALL SELECT 'global', '', {r6("avg(duration_minutes)")}, 0 FROM trips_li""")
+    SELECT 'route' AS level, start_station_id || ' > ' || end_station_id AS key, {r6(EXACT_MEAN)} AS mean, count(*) AS n FROM trips_li GROUP BY 2
+    UNION ALL SELECT 'start', start_station_id, {r6(EXACT_MEAN)}, count(*) FROM trips_li GROUP BY 2
+    UNION ALL SELECT 'end', end_station_id, {r6(EXACT_MEAN)}, count(*) FROM trips_li GROUP BY 2
+    UNION ALL SELECT 'global', '', {r6(EXACT_MEAN)}, 0 FROM trips_li""")
 def fit_history(spark, sf):
     fitted = history.fit_history(v.trips_li(spark, sf), "duration_minutes")
     out = None
@@ -138,9 +141,9 @@ def fit_history(spark, sf):
 
 @add("apply_history", "trips_li", f"""
     WITH a AS (SELECT * FROM trips_li WHERE year(started_at) < 2000), b AS (SELECT * FROM trips_li WHERE year(started_at) >= 2000),
-    g AS (SELECT avg(duration_minutes) AS m FROM a),
-    r AS (SELECT start_station_id, end_station_id, avg(duration_minutes) AS m, count(*) AS n FROM a GROUP BY 1, 2),
-    s AS (SELECT start_station_id, avg(duration_minutes) AS m, count(*) AS n FROM a GROUP BY 1), e AS (SELECT end_station_id, avg(duration_minutes) AS m, count(*) AS n FROM a GROUP BY 1)
+    g AS (SELECT {EXACT_MEAN} AS m FROM a),
+    r AS (SELECT start_station_id, end_station_id, {EXACT_MEAN} AS m, count(*) AS n FROM a GROUP BY 1, 2),
+    s AS (SELECT start_station_id, {EXACT_MEAN} AS m, count(*) AS n FROM a GROUP BY 1), e AS (SELECT end_station_id, {EXACT_MEAN} AS m, count(*) AS n FROM a GROUP BY 1)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {r6("(coalesce(r.m, g.m) * coalesce(r.n, 0) + 20.0 * g.m) / (coalesce(r.n, 0) + 20.0)")} AS route_typical_minutes,
         {r6("ln(1.0 + coalesce(r.n, 0))")} AS route_history_log_count, {r6("(coalesce(s.m, g.m) * coalesce(s.n, 0) + 20.0 * g.m) / (coalesce(s.n, 0) + 20.0)")} AS start_typical_minutes,
         {r6("(coalesce(e.m, g.m) * coalesce(e.n, 0) + 20.0 * g.m) / (coalesce(e.n, 0) + 20.0)")} AS end_typical_minutes

