@@ -87,3 +87,9 @@ def test_merged_ranges_give_the_same_totals(spark):
     pdf = skewed()
     out = order.row_index(spark.createDataFrame(pdf), ["t", "k", "x"]).toPandas()
     assert sorted(out["idx"]) == list(range(len(pdf)))
+
+
+def test_largest_groups_of_several_key_sets(spark):
+    pdf = skewed()
+    got = order.largest_groups(spark.createDataFrame(pdf), [["k", "t"], ["k"], ["t"]])
+    assert got == [pdf.groupby(["k", "t"]).size().max(), pdf.groupby("k").size().max(), pdf.groupby("t").size().max()]

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.operators.order import running_totals
-from tidewheel.session import stage
+from tidewheel.operators.order import keyed_totals, largest_groups, running_totals
 
 # Weight of the prior in trips, prior of the very first trip in minutes.
 SMOOTHING = 20.0
@@ -41,10 +40,12 @@ def expanding_history(
     def named(df: DataFrame, tag: str) -> DataFrame:
         return df.withColumnsRenamed({"sum_before": f"_{tag}_sum", "cnt_before": f"_{tag}_cnt"}).drop("sum_total", "cnt_total")
 
-    rows = stage(named(running_totals(rows, [], order, one, spread_copies=True), "all"), "history")
+    rows = named(running_totals(rows, [], order, one, spread_copies=True), "all")
     # the number of earlier rows is the row's position: from here on one column orders everything
-    for tag, keys in (("route", ["_start", "_end"]), ("start", ["_start"]), ("end", ["_end"])):
-        rows = named(running_totals(rows, keys, ["_all_cnt"], one, largest_window=largest_window), tag)
+    keyed = {"route": ["_start", "_end"], "start": ["_start"], "end": ["_end"]}
+    for (tag, keys), largest in zip(keyed.items(), largest_groups(rows, list(keyed.values()))):
+        totals = keyed_totals if largest <= largest_window else running_totals
+        rows = named(totals(rows, keys, ["_all_cnt"], one), tag)
 
     def minutes(tag: str) -> Column:
         return F.col(f"_{tag}_sum") / F.lit(float(10**digits))

@@ -87,10 +87,8 @@ def running_totals(
     have been counted and found not to exceed it. Worth it where ``df`` is a staged table, because the
     count reads the keys once more.
     """
-    if keys and largest_window:
-        biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        if biggest <= largest_window:
-            return _keyed_totals(df, keys, order, sums)
+    if keys and largest_window and largest_groups(df, [keys])[0] <= largest_window:
+        return keyed_totals(df, keys, order, sums)
     source = df.withColumn("_scan", F.monotonically_increasing_id()) if spread_copies else df
     tail = ["_scan"] if spread_copies else []
     for name, item in sums.items():
@@ -121,7 +119,17 @@ def running_totals(
     return out.drop("_part", "_mid", *drop, *tail)
 
 
-def _keyed_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], sums: Mapping[str, str | Column]) -> DataFrame:
+def largest_groups(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[int]:
+    """Rows of the largest key of each key set, in one pass over the key columns."""
+    names = list(dict.fromkeys(k for keys in key_sets for k in keys))
+    bits = [sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n not in keys) for keys in key_sets]
+    counts = df.groupingSets([list(keys) for keys in key_sets], *names).agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_set"))
+    found = {r["_set"]: r["m"] for r in counts.groupBy("_set").agg(F.max("_rows").alias("m")).collect()}  # one row per set
+    return [found.get(b, 0) for b in bits]
+
+
+def keyed_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], sums: Mapping[str, str | Column]) -> DataFrame:
+    """``running_totals`` by a window per key, for keys known to be small."""
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy(*[_col(c) for c in order]).rowsBetween(_FIRST, -1)
     out = df.withColumns({f"_s_{n}": _col(c) for n, c in sums.items()})
