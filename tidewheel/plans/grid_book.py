@@ -95,11 +95,12 @@ def table_invariants(spark, sf):
     return grid.table_checks(demand.zone_hour(spark, sf), expected)
 
 
-@add("lag_features", "zone_hour", """SELECT zone, time, trips, lag(trips, 24) OVER w AS lag_24, lag(trips, 168) OVER w AS lag_168 FROM zone_hour
+@add("lag_features", "zone_hour", """SELECT zone, time, trips, CAST(lag(trips, 24) OVER w AS DOUBLE) AS lag_24, CAST(lag(trips, 168) OVER w AS DOUBLE) AS lag_168 FROM zone_hour
     WINDOW w AS (PARTITION BY zone ORDER BY time)""")
 def lag_features(spark, sf):
     table = demand.zone_hour(spark, sf).select("zone", "time", "trips")
-    return grid.lags(table, "trips", {"lag_24": 24, "lag_168": 168})
+    out = grid.lags(table, "trips", {"lag_24": 24, "lag_168": 168})
+    return out.withColumns({c: F.col(c).cast("double") for c in ("lag_24", "lag_168")})
 
 
 EXACT_MEAN = "CAST(sum(CAST(floor(duration_minutes * 1000000 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) / 1000000.0::DOUBLE"

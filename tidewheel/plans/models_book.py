@@ -208,7 +208,7 @@ def risk_table(models, train, test):
     """AUC and rates at one half for each fitted classifier."""
     parts = []
     for name, (stages, learner) in models.items():
-        scored = stage(modeling.risk_scores(modeling.fit(train, stages, learner), test), "scored")
+        scored = stage(modeling.risk_scores(modeling.fit(train, stages, learner), test).select("y", "p"), "scored")
         auc = metrics.roc_auc(scored, "p", "y").select("auc").scalar()
         rates = metrics.add_rates(metrics.confusion(scored, "y", F.col("p") >= 0.5))
         parts.append((name, rates.withColumn("auc", auc)))
@@ -250,12 +250,13 @@ def fit_poisson_glm(spark, sf):
 def fit_forest(spark, sf):
     """Random forest and decision tree, for counts and for classes."""
     rows = modeling.as_double(modeling.demand_frame(spark, sf), modeling.DEMAND_NUMBERS)
-    stages = modeling.tree_stages([], modeling.DEMAND_NUMBERS)
+    prepared = Pipeline(stages=modeling.tree_stages([], modeling.DEMAND_NUMBERS)).fit(rows.where("split = 'train'"))
+    vectors = stage(prepared.transform(rows).select("features", "trips", "split"), "vectors")
     parts = []
     for name, learner in (("forest", RandomForestRegressor(labelCol="trips", numTrees=20, maxDepth=8, seed=42, predictionCol="pred")),
                           ("tree", DecisionTreeRegressor(labelCol="trips", maxDepth=8, seed=42, predictionCol="pred"))):
-        model = modeling.fit(rows.where("split = 'train'"), stages, learner)
-        out = metrics.count_metrics(model.transform(rows.where("split = 'test'")), "trips", "pred")
+        model = learner.fit(vectors.where("split = 'train'"))
+        out = metrics.count_metrics(model.transform(vectors.where("split = 'test'")), "trips", "pred")
         parts.append((name, out.select(F.col("n").alias("rows"), F.col("mae").alias("score"), F.col("r2").alias("second"))))
     cases = modeling.risk_frame(spark, sf)
     kinds = modeling.tree_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS)
@@ -271,12 +272,14 @@ def fit_boosting(spark, sf):
     train, test, _ = modeling.duration_parts(spark, sf)
     numbers = DURATION_NUMBERS
     train, test = modeling.as_double(train, numbers), modeling.as_double(test, numbers)
-    stages = modeling.tree_stages(features.DURATION_CATEGORIES, numbers)
+    prepared = Pipeline(stages=modeling.tree_stages(features.DURATION_CATEGORIES, numbers)).fit(train)
+    keep = ["features", "log_minutes", "duration_minutes"]
+    ready, held = (stage(prepared.transform(part).select(*keep), "vectors") for part in (train, test))
     parts = []
     for name, label, loss in (("log squared", "log_minutes", "squared"), ("squared", "duration_minutes", "squared"), ("absolute", "duration_minutes", "absolute")):
         learner = GBTRegressor(labelCol=label, lossType=loss, maxIter=10, maxDepth=5, maxBins=64, seed=42, predictionCol="raw")
         raw = F.col("raw")
-        scored = modeling.fit(train, stages, learner).transform(test)
+        scored = learner.fit(ready).transform(held)
         parts.append((name, duration_scores(scored, features.inverse_log(raw) if label == "log_minutes" else raw)))
     return stacked(parts)
 
