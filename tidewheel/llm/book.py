@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import packing, pieces, token_counts
+from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, suffixes, token_counts, toxicity
 from tidewheel.llm.frames import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -21,16 +21,71 @@ def query(fn):
     return fn
 
 
+#: A score from here on is class 1.
+CUT = 0.3
+
+
+def judged(scores: DataFrame, held_out: Column) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
 @query
 def op1_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORDS, digest=True)
 
 
+@query
+def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", ~quality.held_out())
+    return judged(quality.score(docs, model), quality.held_out())
+
+
 @query
 def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(token_counts.token_lengths(table(spark, sf_dir, "documents"), WORDS))
 
 
+@query
+def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", ~toxicity.held_out())
+    return judged(toxicity.score(docs, model), toxicity.held_out())
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_hamming_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), 200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: x - n)  # last end - last start + ... of an even list
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +39,11 @@ def text_groups(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
         values = batch.column(column).to_pylist()
         start = held = 0
         for i, text in enumerate(values):
-            if held and held + len(text) > GROUP_CHARS:
+            size = len(text or "")
+            if held and held + size > GROUP_CHARS:
                 yield batch.slice(start, i - start), values[start:i]
                 start, held = i, 0
-            held += len(text)
+            held += size
         if start < len(values):
             yield batch.slice(start), values[start:]
 
@@ -66,3 +69,33 @@ class ChunkTable:
         if new:
             self.known.update(zip(new, self.work(new), strict=True))
         return self.known
+
+
+class ChunkIds:
+    """The ids of each distinct chunk: ``encode`` takes distinct chunks and returns all their ids in one array, and how
+    many each has. The table starts anew when it holds more than ``limit`` chunks, as ChunkTable does."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 600_000):
+        self.encode, self.limit = encode, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def gather(self, chunks_by_text: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, put together from those of their chunks by position, and where each text ends."""
+        wanted = set().union(*chunks_by_text)
+        if len(self.known) + len(wanted) > self.limit:
+            self._clear()
+        if new := list(wanted.difference(self.known)):
+            ids, sizes = self.encode(new)
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        n_chunks = np.fromiter(map(len, chunks_by_text), np.int64, len(chunks_by_text))
+        place = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks_by_text)), np.int64, int(n_chunks.sum()))
+        sizes = self.sizes[place]
+        ends = np.cumsum(sizes)
+        starts = (np.cumsum(self.sizes) - self.sizes)[place]
+        flat = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        return flat, np.concatenate([[0], ends])[np.cumsum(n_chunks)]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidewheel.llm.frames import crc, narrow, text_groups
-from tidewheel.llm.tokens import WordTokens
+from tidewheel.llm.tokens import word_tokens
 
 WINDOW = 4096
 #: Most windows that stand open in a task; each holds fewer than ``window`` ids.
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, max_
         from pyspark import TaskContext
 
         numbers = count(TaskContext.get().partitionId() << 40)
-        tokens, packer = WordTokens(path), SquaresPacker(window, max_open)
+        tokens, packer = word_tokens(path), SquaresPacker(window, max_open)
 
         def rows(windows: list[list[Piece]]) -> pa.RecordBatch:
             out: list[tuple] = []

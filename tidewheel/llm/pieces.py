@@ -12,14 +12,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.frames import ChunkTable, narrow, text_groups
+from tidewheel.llm.frames import ChunkIds, ChunkTable, narrow, text_groups
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -40,28 +40,24 @@ class PieceModel:
         self.heads = np.array([name.startswith(MARK) for name in names])
         self.lead = self.model.encode("a")
         self.lead_text = self.model.decode(self.lead)
-        self.encoded = ChunkTable(self._encode)
-        self.decoded = ChunkTable(self._decode)
+        self.lone = self.model.piece_to_id(MARK)
+        self.encoded = ChunkIds(self._encode)
+        self.decoded = ChunkTable(self._decode, 400_000)
 
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        # the library puts the first marker back
-        return self.model.encode([c[1:].replace(MARK, " ") if len(c) > 1 else c for c in chunks], num_threads=1)
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # the library puts the first marker back; it gives no ids for an empty text, so a lone marker is its own piece
+        lists = self.model.encode([c[1:].replace(MARK, " ") for c in chunks], num_threads=1)
+        lists = [x or [self.lone] for x in lists]
+        return np.concatenate(lists).astype(np.uint32), np.array([len(x) for x in lists])
 
     def _decode(self, chunks: list[bytes]) -> list[str]:
         """Text of id runs as it stands inside a text; behind a leading word, so that no space is taken off."""
         cut = len(self.lead_text)
         return [x[cut:] for x in self.model.decode([self.lead + np.frombuffer(c, np.int32).tolist() for c in chunks])]
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = []
-        for marked in self.model.normalize(texts):
-            chunks = _CHUNK.findall(marked)
-            # a lone marker is what the library adds to a first chunk: it cannot be asked for on its own
-            split.append(chunks)
-        lone = {MARK: [self.model.piece_to_id(MARK)]}
-        known = self.encoded.lookup([[c for c in chunks if c != MARK] for chunks in split])
-        for chunks in split:
-            yield np.fromiter(chain.from_iterable(lone[c] if c == MARK else known[c] for c in chunks), np.int32)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text ends."""
+        return self.encoded.gather([_CHUNK.findall(marked) for marked in self.model.normalize(texts)])
 
     def decode(self, id_lists: list[np.ndarray]) -> Iterator[str]:
         firsts, split = [], []
@@ -76,6 +72,12 @@ class PieceModel:
             yield first + "".join(map(known, chunks))
 
 
+@lru_cache(maxsize=1)
+def piece_model(path: str) -> PieceModel:
+    """One model and its tables for each Python worker."""
+    return PieceModel(path)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``ids`` (array<int>) of each document, exactly as the library encodes its whole text.
 
@@ -84,11 +86,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(path)
+        model = piece_model(path)
         for batch, texts in text_groups(batches):
-            lists = list(model.encode(texts))
-            ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int32()))
+            flat, ends = model.encode(texts)
+            ids = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(flat.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     return narrow(docs).mapInArrow(run, "doc_id long, ids array<int>")
@@ -98,7 +99,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (``doc_id``, ``ids``) with ``decoded``: the text of each id list; null ids: an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(path)
+        model = piece_model(path)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.frames import narrow, text_groups
-from tidewheel.llm.tokens import WordTokens
+from tidewheel.llm.tokens import word_tokens
 from tidewheel.operators.order import running_totals
 
 
@@ -17,9 +17,9 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``n_tokens`` (without special ids) of each document; a null or empty text has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = word_tokens(path)
         for batch, texts in text_groups(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tokens.counts(texts), pa.int64())], ["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in tokens.ids(texts)], pa.int64())], ["doc_id", "n_tokens"])
 
     return narrow(docs).mapInArrow(run, "doc_id long, n_tokens long")
 

@@ -1,20 +1,24 @@
 """Token ids of whole texts by a public tokenizer of the ``tokenizers`` library, run inside Spark tasks.
 
 The vocabulary's pre-tokenizer never joins text across white space, so each distinct run of other characters is
-encoded once per task and its ids are looked up for every place where it stands.
+encoded once and its ids are looked up for every place where it stands.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 
-from tidewheel.llm.frames import ChunkTable
+from tidewheel.llm.frames import ChunkIds
 
-#: White space at which the texts are cut; the tokenizer drops it.
+#: Stands between distinct chunks while they are encoded together; a token of its own between blanks.
+_BETWEEN = "\x01"
+#: White space to Python, but not to the tokenizer.
+_NOT_BLANK = "\x1c\x1d\x1e\x1f"
+#: Marks that stand around words; not those that begin a contraction or one of the vocabulary's special tokens.
+_MARKS = ".,;:!?#*$%&()[]{}-_=+/\"~^@"
 _BLANKS = str.maketrans("\t\n\r\x0b\x0c", "     ")
 
 
@@ -26,20 +30,63 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.table = ChunkTable(self._encode)
+        (self.between,) = self._ids(_BETWEEN)
+        self.parts = ChunkIds(self._encode, 800_000)
+        self.table = ChunkIds(self._by_parts)
 
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the chunks and how many each has. Chunks go to the library a thousand at a time."""
+        found: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        for at in range(0, len(chunks), 1000):
+            part = chunks[at : at + 1000]
+            ids = np.array(self._ids(f" {_BETWEEN} ".join([*part, ""])), np.uint32)
+            ends = np.flatnonzero(ids == self.between)
+            if len(ends) == len(part):
+                found.append(np.delete(ids, ends))
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+            else:  # a chunk has that character itself
+                each = [np.array(self._ids(c), np.uint32) for c in part]
+                found += each
+                sizes.append(np.array([len(x) for x in each]))
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def _by_parts(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that differ in capitals or in marks around a word share the word."""
+        flat, ends = self.parts.gather([word_parts(c) for c in chunks])
+        return flat, np.diff(ends, prepend=0)
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
-        split = [[c for c in t.translate(_BLANKS).split(" ") if c] for t in texts]
-        known = self.table.lookup(split).__getitem__
-        for chunks in split:
-            yield np.fromiter(chain.from_iterable(map(known, chunks)), dtype=np.uint32)
-
-    def counts(self, texts: list[str]) -> list[int]:
-        """How many ids each text has."""
-        split = [[c for c in t.translate(_BLANKS).split(" ") if c] for t in texts]
-        known = self.table.lookup(split)
-        return [sum(len(known[c]) for c in chunks) for chunks in split]
+        flat, ends = self.table.gather([chunks(t) for t in texts])
+        cuts = [0, *ends.tolist()]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def chunks(text: str) -> list[str]:
+    if any(c in text for c in _NOT_BLANK):
+        return [c for c in text.translate(_BLANKS).split(" ") if c]
+    return text.split()
+
+
+def word_parts(chunk: str) -> list[str]:
+    """A chunk of letters between marks, cut where the pre-tokenizer cuts it anyway; any other chunk is one part."""
+    plain = chunk.isascii()
+    if plain:
+        chunk = chunk.lower()  # the tokenizer would do so
+    word = chunk.strip(_MARKS)
+    if len(word) == len(chunk) or not word.isalpha() or not (plain or word.lower().isalpha()):
+        return [chunk]
+    at = chunk.index(word)
+    if not at:
+        return [word, chunk[len(word) :]]
+    return [p for p in (chunk[:at], word, chunk[at + len(word) :]) if p]
+
+
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One tokenizer and table for each Python worker."""
+    return WordTokens(path)
