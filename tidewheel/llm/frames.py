@@ -24,6 +24,14 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores in front if ``df`` has such a column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def id_crc(column: str = "doc_id") -> Column:
     """crc32 of the id written as text; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

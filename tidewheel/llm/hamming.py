@@ -3,9 +3,9 @@
 A signature is ``SYMBOLS`` minima of hashed shingles, cut to ``SYMBOL_BITS`` bits each. Two signatures that differ in at
 most ``DISTANCE`` symbols must, by the pigeonhole principle, differ in at most DISTANCE // CHUNKS symbols within one of
 CHUNKS parts. So every signature is entered under each part with each allowed set of symbols left out, and all pairs
-within the distance meet under some key. A pair at the least similarity allowed differs in 9.6 of the 64 symbols on
-average; the distance of 22 is more than four standard deviations away (about 2 in 100,000 such pairs are missed, and
-far fewer of closer ones). Links are then confirmed on the full shingle sets.
+within the distance meet under some key. A pair at a similarity of 0.8 differs in 12.8 of the 64 symbols on average; the
+distance of 25 is four standard deviations away (about 1 in 10,000 such pairs is missed, and far fewer of closer ones).
+Links are then confirmed on the full shingle sets.
 
 No group is expanded into all its pairs:
 
@@ -33,8 +33,8 @@ from tidewheel.session import stage
 
 SYMBOLS = 64
 SYMBOL_BITS = 16
-DISTANCE = 22
-CHUNKS = 12
+DISTANCE = 25
+CHUNKS = 13
 #: Words of a shingle and the least similarity in hundredths.
 WIDTH, PERCENT = 5, 80
 

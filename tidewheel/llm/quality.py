@@ -141,20 +141,18 @@ def score(docs: DataFrame, model: SubwordModel) -> DataFrame:
     return with_score(narrow(docs), model).drop("text")
 
 
-def with_score(docs: DataFrame, model: SubwordModel) -> DataFrame:
-    """``docs`` with all its columns and ``score``."""
+def with_score(docs: DataFrame, model: SubwordModel, name: str = "score") -> DataFrame:
+    """``docs`` with all its columns and the score under ``name``, which must be free."""
     margins, offset = model.margins(), float(model.bias[1] - model.bias[0])
     bits = len(margins).bit_length() - 1
-    if "score" in docs.columns:
-        raise ValueError("the name score is taken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches):
             odds = [(margins[x].mean() if len(x) else 0.0) + offset for x in hashed_features([t or "" for t in texts], bits)]
             scores = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(name, DoubleType())]))
 
 
 def held_out(column: str = "doc_id") -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from tidewheel.llm.frames import ChunkTable, id_crc, narrow, text_groups
+from tidewheel.llm.frames import ChunkTable, free_name, id_crc, narrow, text_groups
 from tidewheel.llm.quality import chosen_labels
 from tidewheel.session import stage
 
@@ -103,10 +103,8 @@ def text_features(text: str, flags: np.ndarray) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, stems: Sequence[str]) -> DataFrame:
-    """``docs`` with all its columns and ``features``, an array of doubles in the order of FEATURES."""
-    if "features" in docs.columns:
-        raise ValueError("the name features is taken")
+def with_features(docs: DataFrame, stems: Sequence[str], name: str = "features") -> DataFrame:
+    """``docs`` with all its columns and, under ``name``, an array of doubles in the order of FEATURES."""
     known = frozenset(stems)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,9 +114,9 @@ def with_features(docs: DataFrame, stems: Sequence[str]) -> DataFrame:
             split = [t.split() for t in texts]
             flags = table.lookup(split).__getitem__
             rows = [text_features(t, np.fromiter(map(flags, chunks), np.int64, len(chunks))) for t, chunks in zip(texts, split, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.float64()))], [*batch.schema.names, "features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.float64()))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("features", ArrayType(DoubleType()))]))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(name, ArrayType(DoubleType()))]))
 
 
 def learned_stems(sample: DataFrame) -> list[str]:
@@ -167,17 +165,16 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", usable: Co
     return ToxicityModel(stems, trees, calibration, base)
 
 
-def with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` with all its columns and ``score``, the calibrated chance of being toxic."""
-    if "score" in docs.columns:
-        raise ValueError("the name score is taken")
+def with_score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
+    """``docs`` with all its columns and, under ``name`` (which must be free), the calibrated chance of being toxic."""
     if model.trees is None:
-        return docs.withColumn("score", F.lit(model.base_rate))
-    dense = with_features(docs, model.stems).withColumn("_vector", array_to_vector("features"))
-    trees = model.trees.copy().setFeaturesCol("_vector").setProbabilityCol("_chance").setRawPredictionCol("_raw").setPredictionCol("_class")
-    raw = trees.transform(dense).withColumn("_p", vector_to_array("_chance")[1])
-    out = model.calibration.copy().setFeaturesCol("_p").setPredictionCol("score").transform(raw)
-    return out.select(*docs.columns, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+        return docs.withColumn(name, F.lit(model.base_rate))
+    features, vector, chance, raw, kind, p, found = (free_name(docs, x) for x in ("_features", "_vector", "_chance", "_raw", "_class", "_p", "_found"))
+    dense = with_features(docs, model.stems, features).withColumn(vector, array_to_vector(features))
+    trees = model.trees.copy().setFeaturesCol(vector).setProbabilityCol(chance).setRawPredictionCol(raw).setPredictionCol(kind)
+    judged = trees.transform(dense).withColumn(p, vector_to_array(chance)[1])
+    out = model.calibration.copy().setFeaturesCol(p).setPredictionCol(found).transform(judged)
+    return out.select(*docs.columns, F.least(F.greatest(F.col(found), F.lit(0.0)), F.lit(1.0)).alias(name))
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
