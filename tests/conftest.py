@@ -11,8 +11,8 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("4", "tidewheel-tests")
+def spark(tmp_path_factory):
+    session = local_session("4", "tidewheel-tests", str(tmp_path_factory.mktemp("shared")))
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
 

@@ -59,6 +59,8 @@ def test_nearest_hour(spark):
     weather = spark.createDataFrame([(dt.datetime(2024, 5, 1, 11), 1.0), (dt.datetime(2024, 5, 1, 13), 2.0)], "time timestamp_ntz, x double")
     out = {r["id"]: (r["in_reach"], r["x"]) for r in joins.nearest_hour(asked, weather, "t", "id", "time", ["x"]).collect()}
     assert out == {"a": (True, 1.0), "b": (False, None), "c": (True, 1.0)}
+    twice = joins.nearest_hour(asked.unionByName(asked), weather, "t", "id", "time", ["x"])
+    assert twice.count() == 6 and "Exchange hashpartitioning" not in twice._jdf.queryExecution().executedPlan().toString()
 
 
 def test_grid_conserves_trips_and_size(spark, sf):

@@ -16,15 +16,21 @@ def test_first_estimates_do_not_see_their_own_row(spark):
     assert [round(float(np.expm1(r["route_history_log_count"]))) for r in out] == [0, 1, 2]
 
 
-@pytest.mark.parametrize("largest_window", [0, 10**6])
-def test_matches_a_sequential_pass(spark, largest_window):
+def test_sums_beyond_a_long(spark):
+    out = history.expanding_history(frame(spark, [(i, "a", "b", 4e12) for i in range(6)]), "duration_minutes", ["i"]).orderBy("i").collect()
+    assert out[5]["route_typical_minutes"] == pytest.approx(4e12) and 5 * 4e12 * 1e6 > 2**63
+    fitted = history.fit_history(frame(spark, [(i, "a", "b", 4e12) for i in range(6)]), "duration_minutes")
+    assert fitted["route"].first()["_route_mean"] == pytest.approx(4e12)
+
+
+def test_matches_a_sequential_pass(spark):
     rng = np.random.default_rng(3)
     n = 800
     pdf = pd.DataFrame({"i": np.arange(n), "start_station_id": np.where(rng.random(n) < 0.7, "hot", rng.integers(0, 9, n).astype(str)),
                         "end_station_id": rng.integers(0, 5, n).astype(str), "duration_minutes": rng.integers(100, 18000, n) / 100})
     pdf.loc[::50, "start_station_id"] = None
     rows = [tuple(None if v is None or v != v else v for v in r) for r in pdf.itertuples(index=False)]
-    out = history.expanding_history(frame(spark, rows), "duration_minutes", ["i"], largest_window=largest_window).toPandas().sort_values("i").reset_index()
+    out = history.expanding_history(frame(spark, rows), "duration_minutes", ["i"]).toPandas().sort_values("i").reset_index()
     prior = pdf["duration_minutes"].expanding().mean().shift().fillna(10.0)
     for name, keys in {"route_typical_minutes": ["start_station_id", "end_station_id"], "start_typical_minutes": ["start_station_id"], "end_typical_minutes": ["end_station_id"]}.items():
         g = pdf.fillna({"start_station_id": "unknown"}).groupby(keys)["duration_minutes"]

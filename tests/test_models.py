@@ -1,15 +1,23 @@
 import datetime as dt
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tidewheel.operators import prepare
-from tidewheel.plans import modeling
+from tidewheel.plans import modeling, models_book
+from tidewheel.plans import views as v
 from tidewheel.session import staging_root
 
 
+ROOT = Path(__file__).resolve().parents[1]
+
+
 def test_group_mean_with_fallback(spark):
     train = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 8.0)], "k string, y double")
     means, overall = prepare.group_means(train, ["k"], "y")
@@ -51,10 +59,109 @@ def test_zone_numbers_follow_the_load(spark):
 
 
 def test_staging_follows_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert staging_root(spark).startswith("/tmp/run-") or before
+    own = f"tidewheel/{spark.sparkContext.applicationId}"
+    if named := spark.conf.get("spark.checkpoint.dir", None):  # the cluster's choice comes first
+        assert staging_root(spark) == f"{named.rstrip('/')}/{own}"
+        return
+    before = spark.conf.get("tidewheel.staging.dir")
     spark.conf.set("tidewheel.staging.dir", str(tmp_path))
     try:
-        assert staging_root(spark) == (before or str(tmp_path))
-    finally:
+        assert staging_root(spark) == f"{tmp_path}/{own}"
         spark.conf.unset("tidewheel.staging.dir")
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging_root(spark)
+    finally:
+        spark.conf.set("tidewheel.staging.dir", before)
+
+
+def test_staged_folders_go_with_the_session(tmp_path):
+    code = f"""
+from tidewheel.session import local_session, stage, staging_root
+spark = local_session("1", "brief", {str(tmp_path)!r})
+spark.conf.set("spark.sql.shuffle.partitions", "2")
+out = stage(spark.range(10).groupBy("id").count(), "x")
+import glob
+print(staging_root(spark), out.count(), len(glob.glob(staging_root(spark) + "/x-*")))
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    folder, rows, staged = done.stdout.split()[-3:]
+    assert (rows, staged) == ("10", "1") and not Path(folder.removeprefix("file:")).exists()
+
+
+def trips_between(spark, stations, n=20_000):
+    """Minutes that depend on the station's number."""
+    rows = spark.range(n).select(
+        F.format_string("s%05d", F.col("id") % stations).alias("station"), (F.col("id") % 7).cast("double").alias("x"),
+        ((F.col("id") % stations) / (stations / 10) + F.col("id") % 7).alias("y"))
+    return rows
+
+
+def test_trees_take_thousands_of_stations_and_unseen_ones(spark):
+    rows = trips_between(spark, 5000)
+    learner = GBTRegressor(labelCol="y", maxIter=5, maxDepth=5, maxBins=64, seed=1, predictionCol="raw")
+    model = modeling.fit(rows, modeling.tree_stages(["station"], ["x"]), learner)
+    fitted = model.transform(rows).agg(F.avg(F.abs(F.col("raw") - F.col("y"))).alias("e")).first()["e"]
+    assert fitted < 1.2  # without the stations about 2.5
+    strange = spark.createDataFrame([("nowhere", 1.0), (None, 2.0)], "station string, x double")
+    out = model.transform(strange).collect()
+    assert len(out) == 2 and all(r["_c_station"] == -1 and np.isfinite(r["raw"]) for r in out)
+
+
+def test_rare_values_and_unknown_ones_share_a_column(spark):
+    rows = spark.createDataFrame([("a",)] * 9 + [("b",)] * 6 + [("c",)] * 2 + [("d",)], "k string")
+    model = modeling.Codes(["k"], 5).fit(rows)
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("new",)], "k string")
+    assert [r["_c_k"] for r in model.transform(asked).collect()] == [0.0, 1.0, 2.0, 2.0, 2.0]
+
+
+def test_the_zone_is_a_category_of_the_demand_model(spark, sf):
+    rows = modeling.demand_frame(spark, sf)
+    model = modeling.demand_model(rows, rounds=1)
+    marks = model.transform(modeling.as_double(rows, modeling.DEMAND_NUMBERS)).schema["features"].metadata["ml_attr"]["attrs"]
+    assert any(a["name"] == "_n_zone" for a in marks["nominal"]) and len(marks["numeric"]) == len(modeling.DEMAND_NUMBERS)
+
+
+def test_published_models_pass_the_gate_or_stay(spark, sf, tmp_path):
+    rows = modeling.demand_frame(spark, sf)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    good = modeling.demand_model(train, rounds=5)
+    bad = modeling.demand_model(train.withColumn("log_trips", F.lit(3.0)), rounds=1)
+    models_book.publish(spark, good, {"test_period": "p", "mae": 1.5}, str(tmp_path))
+    again, about = models_book.published(spark, str(tmp_path))
+    assert about.first().asDict() == {"test_period": "p", "mae": 1.5}
+    assert models_book.gate(good, again, test, "p").first()["accepted"] is True
+    assert models_book.gate(bad, again, test, "p").first()["accepted"] is False
+
+
+def test_every_fold_is_judged_by_the_cascade(spark, sf):
+    out = models_book.cascade_specialist(spark, sf).collect()
+    assert {r["model"] for r in out} == {"p_first", "p_special"} and all(0 <= r["auc"] <= 1 for r in out)
+    # all five folds hold doubtful rows
+    rows = modeling.risk_frame(spark, sf)
+    model = modeling.fit(rows, models_book.risk_stages(), modeling.logistic())
+    doubt = modeling.risk_scores(model, rows).where(F.col("p").between(0.3, 0.7))
+    assert doubt.select("fold").distinct().count() == 5
+
+
+def test_scores_and_probes_of_a_fitted_duration_model(spark, sf):
+    scored = models_book.score_batch(spark, sf)
+    assert scored.where(~F.col("predicted_duration_minutes").between(0, 180)).count() == 0 and scored.count() > 0
+    checks = {r["check_name"]: r["passed"] for r in models_book.plausibility_checks(spark, sf).collect()}
+    assert checks["duration in range"] and checks["unknown stations on a holiday in range"]
+
+
+def test_components_follow_a_direct_decomposition(spark, sf):
+    rows = v.table(spark, sf, "embeddings").orderBy("vec_id").select("vec_id", "embedding").collect()
+    x = np.array([r["embedding"] for r in rows], float)
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    _, s, vt = np.linalg.svd(z - z.mean(0), full_matrices=False)
+    got = models_book.pca_2d(spark, sf).orderBy("vec_id").toPandas()
+    for k, name in enumerate(["pc1", "pc2"]):
+        want = z @ vt[k]
+        assert np.abs(np.corrcoef(want, got[name])[0, 1]) == pytest.approx(1, abs=1e-6)
+
+
+def test_more_zones_cost_less(spark, sf):
+    out = models_book.choose_k(spark, sf).orderBy("k").collect()
+    costs = [r["cost"] for r in out]
+    assert [r["k"] for r in out] == [3, 5, 10, 15] and costs == sorted(costs, reverse=True)

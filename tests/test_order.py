@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -44,23 +46,42 @@ def test_hot_key_is_spread_over_partitions(spark):
     assert len(hot) >= 3 and max(hot) < 3600 * 0.6
 
 
-def test_running_totals_match_pandas_on_both_paths(spark):
+def test_running_totals_match_pandas(spark):
     pdf = skewed().sort_values(["t", "x", "k"]).reset_index(drop=True)
     pdf["i"] = np.arange(len(pdf))
     pdf.loc[pdf["k"] == "7", "k"] = None
     want_sum = pdf.groupby("k", dropna=False)["x"].cumsum() - pdf["x"]
     total = pdf.groupby("k", dropna=False)["x"].transform("sum")
-    for window in (0, 10**9):
-        out = order.running_totals(spark.createDataFrame(pdf), ["k"], ["i"], {"s": "x"}, largest_window=window).toPandas().sort_values("i")
-        assert len(out) == len(pdf)
-        np.testing.assert_allclose(out["s_before"], want_sum)
-        np.testing.assert_allclose(out["s_total"], total)
-
-
-def test_window_path_is_refused_for_a_large_key(spark):
-    df = spark.createDataFrame(skewed()).withColumn("i", F.monotonically_increasing_id())
-    plan = order.running_totals(df, ["k"], ["i"], {"s": "x"}, largest_window=100)._jdf.queryExecution().toString()
-    assert "_part" in plan
+    out = order.running_totals(spark.createDataFrame(pdf), ["k"], ["i"], {"s": "x"}).toPandas().sort_values("i")
+    assert len(out) == len(pdf)
+    np.testing.assert_allclose(out["s_before"], want_sum)
+    np.testing.assert_allclose(out["s_total"], total)
+
+
+def test_rows_move_once_after_the_range_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(skewed()).withColumn("i", F.monotonically_increasing_id())
+        plan = order.running_totals(df, ["k"], ["i"], {"s": "x"})._jdf.queryExecution().executedPlan().toString()
+        # rows once, and the sums of each partition and key
+        assert len(re.findall(r"Exchange hashpartitioning\(_part", plan.split("Initial Plan")[-1])) == 2
+        wide = order.running_by_keys(df, ["i"], {"all": [], "k": ["k"], "kt": ["k", "t"]}, {"n": F.lit(1).cast("long")})
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[-1].count("REPARTITION_BY_COL") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_several_key_sets_match_pandas(spark):
+    pdf = skewed().sort_values(["t", "x", "k"]).reset_index(drop=True)
+    pdf["i"] = np.arange(len(pdf))
+    pdf.loc[pdf["k"] == "7", "k"] = None
+    sets = {"all": [], "k": ["k"], "kt": ["k", "t"], "t": ["t"]}
+    out = order.running_by_keys(spark.createDataFrame(pdf), ["i"], sets, {"s": F.col("x").cast("long"), "n": F.lit(1).cast("long")}).toPandas().sort_values("i")
+    for tag, keys in sets.items():
+        groups = pdf.groupby(keys, dropna=False) if keys else pdf.groupby(np.zeros(len(pdf)))
+        assert (out[f"{tag}_s"].astype(float).to_numpy() == (groups["x"].cumsum() - pdf["x"]).to_numpy()).all()
+        assert (out[f"{tag}_n"].astype(int).to_numpy() == groups.cumcount().to_numpy()).all()
 
 
 def test_quantiles_match_numpy(spark):
@@ -88,8 +109,3 @@ def test_merged_ranges_give_the_same_totals(spark):
     out = order.row_index(spark.createDataFrame(pdf), ["t", "k", "x"]).toPandas()
     assert sorted(out["idx"]) == list(range(len(pdf)))
 
-
-def test_largest_groups_of_several_key_sets(spark):
-    pdf = skewed()
-    got = order.largest_groups(spark.createDataFrame(pdf), [["k", "t"], ["k"], ["t"]])
-    assert got == [pdf.groupby(["k", "t"]).size().max(), pdf.groupby("k").size().max(), pdf.groupby("t").size().max()]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewheel.operators import glm, stats
+from tidewheel.plans import stats_book
 
 
 def test_normal_tail(spark):
@@ -72,7 +73,7 @@ def test_bootstrap_interval_is_as_wide_as_a_real_one(spark):
     rng = np.random.default_rng(5)
     a, b = rng.exponential(12, 900), rng.exponential(8, 1500)
     df = spark.createDataFrame([(float(v), "a") for v in a] + [(float(v), "b") for v in b], "v double, g string")
-    row = stats.bootstrap_median_diff(df, "v", "g", "a", "b", 400, 10_000).first()
+    row = stats.bootstrap_median_diff(df, "v", "g", "a", "b", 400).first()
     draws = [np.median(rng.choice(a, len(a))) - np.median(rng.choice(b, len(b))) for _ in range(2000)]
     low, high = np.quantile(draws, [0.025, 0.975])
     assert row["replicates"] == 400
@@ -119,3 +120,45 @@ def test_glm_effect_and_clustered_errors(spark):
     assert got["coefficient"] == pytest.approx(beta[0], abs=1e-4)
     assert got["std_error"] == pytest.approx(np.sqrt(v[0, 0]), rel=1e-3)
     assert got["factor"] == pytest.approx(np.exp(beta[0]), rel=1e-4) and got["clusters"] == g
+
+
+def test_absorbed_effects_equal_dummies(spark):
+    """One free level per day without columns for days, against a direct fit with a column for each."""
+    rng = np.random.default_rng(8)
+    n = 500
+    day, wet = rng.integers(0, 25, n), (rng.random(n) < 0.4).astype(float)
+    hour = rng.integers(0, 3, n)
+    y = rng.poisson(np.exp(1.5 + rng.normal(0, 0.4, 25)[day] - 0.4 * wet + 0.2 * hour))
+    pdf = pd.DataFrame({"y": y.astype(float), "wet": wet, "hour": hour.astype(str), "day": day})
+    fitted = glm.fit_absorbed(spark.createDataFrame(pdf), "y", ["hour"], ["wet"], "day")
+    x = np.column_stack([wet, *[(hour == h).astype(float) for h in range(2)], *[(day == d).astype(float) for d in range(25)]])
+    beta = np.zeros(x.shape[1])
+    beta[3:] = np.log(y.mean())
+    for _ in range(40):
+        mu = np.exp(x @ beta)
+        beta = beta + np.linalg.solve(x.T @ (x * mu[:, None]), x.T @ (y - mu))
+    mu = np.exp(x @ beta)
+    bread = np.linalg.inv(x.T @ (x * mu[:, None]))
+    scores = np.array([((y - mu)[:, None] * x)[day == d].sum(0) for d in range(25)])
+    v = bread @ scores.T @ scores @ bread * 25 / 24 * (n - 1) / (n - x.shape[1])
+    plain = glm.absorbed_effects(spark, fitted, ["wet"], clustered=False).first()
+    robust = glm.absorbed_effects(spark, fitted, ["wet"], clustered=True).first()
+    assert plain["coefficient"] == pytest.approx(beta[0], abs=1e-7) and plain["std_error"] == pytest.approx(np.sqrt(bread[0, 0]), rel=1e-6)
+    assert robust["std_error"] == pytest.approx(np.sqrt(v[0, 0]), rel=1e-6) and robust["clusters"] == 25
+
+
+def test_the_same_date_of_two_years_is_two_groups(spark, sf):
+    rows = stats_book.city_hours(spark, sf)
+    assert rows.select("day").distinct().count() == rows.select(F.to_date("time")).distinct().count()
+    assert dict(rows.dtypes)["day"] == "timestamp_ntz"
+
+
+@pytest.mark.parametrize("z,p", [(0.0, 0.5), (0.5, 0.30853754), (1.0, 0.15865525), (1.644854, 0.05), (1.959964, 0.025), (2.575829, 0.005), (3.0, 0.0013498980), (-1.0, 0.84134475)])
+def test_known_tails_of_the_normal(spark, z, p):
+    assert spark.range(1).select(stats.normal_tail(F.lit(z)).alias("p")).first()["p"] == pytest.approx(p, rel=1e-5)
+
+
+def test_spline_ends_come_from_the_training_rows(spark):
+    rows = spark.createDataFrame([(0.0,), (10.0,), (20.0,)], "x double")
+    out = {r["x"]: r["x_b1"] for r in glm.spline(rows, "x", 4, rows.where("x < 15")).collect()}
+    assert out == {0.0: 0.0, 10.0: 1.0, 20.0: 2.0}

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tidewheel.operators import clean, grid
 from tidewheel.streaming import streams
 
@@ -20,26 +18,36 @@ def opened(spark, folder):
     return streams.open_stream(spark, folder, spark.read.parquet(folder).schema)
 
 
-def test_hours_close_once_and_late_rows_are_left_out(spark, tmp_path):
+def test_late_and_open_hours_are_counted(spark, tmp_path):
     folder, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     put(spark, folder, [ride(1, 5), ride(2, 10), ride(3, 70)])
-    first = streams.run(streams.station_hours(opened(spark, folder), "1 hour"), "t", out, log)
-    assert first.count() == 0
+    first = streams.station_hours(opened(spark, folder), "t", out, log)
+    assert {(r["time"].hour, r["trips"]) for r in first.collect()} == {(0, 2), (1, 1)}
     put(spark, folder, [ride(4, 300)])
-    streams.run(streams.station_hours(opened(spark, folder), "1 hour"), "t", out, log)
+    streams.station_hours(opened(spark, folder), "t", out, log)
     put(spark, folder, [ride(5, 20), ride(6, 600)])  # ride 5 is far too late
-    done = streams.run(streams.station_hours(opened(spark, folder), "1 hour"), "t", out, log)
-    got = {(r["time"].hour, r["trips"]) for r in done.collect()}
-    assert got == {(0, 2), (1, 1), (5, 1)}
+    done = streams.station_hours(opened(spark, folder), "t", out, log)
+    assert {(r["time"].hour, r["trips"]) for r in done.collect()} == {(0, 3), (1, 1), (5, 1), (10, 1)}
+
+
+def reversed_batches(spark, folder, rows, n):
+    for k in reversed(range(n)):
+        put(spark, folder, rows[k * len(rows) // n : (k + 1) * len(rows) // n])
+    return streams.open_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1)
 
 
-def test_equals_the_batch_counts(spark, tmp_path):
+def test_equals_the_batch_counts_in_reverse_order(spark, tmp_path):
     folder = str(tmp_path / "in")
-    put(spark, folder, [ride(i, i * 7, "ab"[i % 2]) for i in range(200)])
-    got = {tuple(r) for r in streams.run(streams.station_hours(opened(spark, folder), "0 seconds"), "t").collect()}
-    batch = grid.station_hour_counts(clean.departures(spark.read.parquet(folder)))
-    want = {tuple(r) for r in batch.where(F.col("time") < dt.datetime(2024, 1, 1, 23)).collect()}
-    assert got == want
+    stream = reversed_batches(spark, folder, [ride(i, i * 7, "ab"[i % 2]) for i in range(200)], 5)
+    got = {tuple(r) for r in streams.station_hours(stream).collect()}
+    assert got == {tuple(r) for r in grid.station_hour_counts(clean.departures(spark.read.parquet(folder))).collect()}
+
+
+def test_no_ride_is_lost_in_reverse_order(spark, tmp_path):
+    rides = [ride(i % 90, i * 600) for i in range(200)]  # copies are days apart
+    stream = reversed_batches(spark, str(tmp_path / "in"), rides, 5)
+    out = streams.deduplicated(stream, ["ride_id"], ["started_at"])
+    assert sorted(int(r["ride_id"]) for r in out.collect()) == list(range(90)) and out.columns == stream.columns
 
 
 def test_audit_of_two_runs_adds_up(spark, tmp_path):
@@ -54,7 +62,7 @@ def test_audit_of_two_runs_adds_up(spark, tmp_path):
 def test_repeated_ids_are_written_once(spark, tmp_path):
     folder, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     put(spark, folder, [ride(1, 5), ride(1, 6), ride(2, 7)])
-    streams.run(streams.deduplicated(opened(spark, folder), ["ride_id"], "1 day"), "t", out, log)
+    streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at"], "t", out, log)
     put(spark, folder, [ride(2, 9), ride(3, 10)])
-    done = streams.run(streams.deduplicated(opened(spark, folder), ["ride_id"], "1 day"), "t", out, log)
-    assert sorted(r["ride_id"] for r in done.collect()) == ["1", "2", "3"]
+    done = streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at"], "t", out, log)
+    assert sorted((r["ride_id"], r["started_at"].minute) for r in done.collect()) == [("1", 5), ("2", 7), ("3", 10)]

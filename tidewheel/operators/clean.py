@@ -20,29 +20,31 @@ NON_PUBLIC_NAME = r"(?i)depot|loading dock|warehouse|\blab\b|\bshop\b|mechanic|n
 NON_PUBLIC_ID = r"(?i)^SYS"
 OTHER_SYSTEM_ID = r"^(JC|HB)"
 
-# One-letter codes and their words.
+# One-letter codes and their words, in the order of the columns.
+COLORS = {
+    "n": "brown", "b": "buff", "g": "gray", "r": "green", "p": "pink", "u": "purple", "e": "red",
+    "w": "white", "y": "yellow", "l": "blue", "o": "orange", "k": "black",
+}
 LABELS = {
     "class": {"e": "edible", "p": "poisonous"},
-    "season": {"s": "spring", "u": "summer", "a": "autumn", "w": "winter"},
-    "gill_color": {
-        "n": "brown", "b": "buff", "g": "gray", "r": "green", "p": "pink", "u": "purple", "e": "red",
-        "w": "white", "y": "yellow", "l": "blue", "o": "orange", "k": "black", "f": "none",
-    },
-    "habitat": {
-        "g": "grasses", "l": "leaves", "m": "meadows", "p": "paths", "h": "heaths", "u": "urban",
-        "w": "waste", "d": "woods",
-    },
     "cap_shape": {
         "b": "bell", "c": "conical", "x": "convex", "f": "flat", "s": "sunken", "p": "spherical", "o": "others",
     },
+    "gill_color": {**COLORS, "f": "none"},
+    "stem_surface": {
+        "i": "fibrous", "g": "grooves", "y": "scaly", "s": "smooth", "h": "shiny", "l": "leathery",
+        "k": "silky", "t": "sticky", "w": "wrinkled", "e": "fleshy", "f": "none",
+    },
+    "spore_print_color": COLORS,
     "ring_type": {
         "c": "cobwebby", "e": "evanescent", "r": "flaring", "g": "grooved", "l": "large", "p": "pendant",
         "s": "sheathing", "z": "zone", "y": "scaly", "m": "movable", "f": "none",
     },
-    "stem_surface": {
-        "i": "fibrous", "g": "grooves", "y": "scaly", "s": "smooth", "h": "shiny", "l": "leathery",
-        "k": "silky", "t": "sticky", "w": "wrinkled", "e": "fleshy", "f": "none",
+    "habitat": {
+        "g": "grasses", "l": "leaves", "m": "meadows", "p": "paths", "h": "heaths", "u": "urban",
+        "w": "waste", "d": "woods",
     },
+    "season": {"s": "spring", "u": "summer", "a": "autumn", "w": "winter"},
 }
 MISSING_WORDS = ["", "unknown", "?"]
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -41,6 +42,7 @@ def fit(df: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[
     prepared = Pipeline(stages=stages).fit(df).transform(df).persist()
     learner = GeneralizedLinearRegression(family="poisson", link="log", labelCol=label, featuresCol="features", predictionCol="mu", maxIter=50)
     model = learner.fit(prepared)
+    prepared.unpersist()
     return Fit(model, model.transform(prepared), {c: i for i, c in enumerate(numbers)}, label)
 
 
@@ -93,10 +95,94 @@ def robust_effects(fitted: Fit, names: Sequence[str], cluster: str) -> DataFrame
     return _with_interval(out)
 
 
-def spline(df: DataFrame, column: str, terms: int) -> DataFrame:
+@dataclass
+class Absorbed:
+    """A Poisson fit with one free level per group: coefficients, their variances from the model and clustered by group,
+    and the number of groups."""
+
+    terms: Sequence[str]
+    coefficients: np.ndarray
+    variance: np.ndarray
+    clustered: np.ndarray
+    groups: int
+
+
+def fit_absorbed(df: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[str], group: str, rounds: int = 50) -> Absorbed:
+    """Log-link Poisson regression with an effect for every value of ``group`` that never becomes a column.
+
+    Given the other coefficients, a group's best level makes its means add up to its counts, which leaves a likelihood
+    of the other coefficients alone. Newton steps on it sum, per group, a vector and a small matrix: rows are
+    partitioned by group once, each partition adds its groups up, and only these sums come back.
+    """
+    stages = []
+    if categories:
+        stages.append(StringIndexer(inputCols=list(categories), outputCols=[f"_i_{c}" for c in categories], stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=[f"_i_{c}" for c in categories], outputCols=[f"_o_{c}" for c in categories]))
+    stages.append(VectorAssembler(inputCols=[*numbers, *[f"_o_{c}" for c in categories]], outputCol="features"))
+    rows = Pipeline(stages=stages).fit(df).transform(df)
+    rows = stage(rows.select(F.col(group).alias("g"), F.col(label).cast("double").alias("y"), vector_to_array("features").alias("x")).repartition("g"), "absorbed")
+    size = len(rows.select("x").first()["x"])
+    schema = "n long, groups long, score array<double>, info array<double>, meat array<double>"
+
+    def sums(b: np.ndarray):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            parts = [p for p in batches if len(p)]
+            if not parts:
+                return
+            part = pd.concat(parts)
+            x, y = np.stack(part["x"].to_numpy()), part["y"].to_numpy()
+            code = pd.factorize(part["g"])[0]
+            heads = code.max() + 1
+
+            def by_group(v: np.ndarray) -> np.ndarray:
+                out = np.zeros((heads, *v.shape[1:]))
+                np.add.at(out, code, v)
+                return out
+
+            e = x @ b
+            top = np.full(heads, -np.inf)
+            np.maximum.at(top, code, e)
+            e = np.exp(e - top[code])
+            total = by_group(y)
+            mu = e * (total / by_group(e))[code]
+            own = by_group(mu[:, None] * x)
+            score = by_group((y - mu)[:, None] * x)
+            live = total > 0
+            info = (x * mu[:, None]).T @ x - (own[live] / total[live, None]).T @ own[live]
+            yield pd.DataFrame({"n": [len(y)], "groups": [heads], "score": [score.sum(axis=0)], "info": [info.ravel()], "meat": [(score.T @ score).ravel()]})
+
+        # one row per partition
+        found = rows.repartition("g").mapInPandas(run, schema).collect()
+        n, groups = sum(r.n for r in found), sum(r.groups for r in found)
+        total = [np.sum([np.array(r[k]) for r in found], axis=0) for k in ("score", "info", "meat")]
+        return n, groups, total[0], total[1].reshape(size, size), total[2].reshape(size, size)
+
+    b = np.zeros(size)
+    for _ in range(rounds):
+        n, groups, score, info, meat = sums(b)
+        step = np.linalg.lstsq(info, score, rcond=None)[0]
+        if np.abs(step).max() < 1e-9:
+            break
+        b = b + step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+    inverse = np.linalg.pinv(info)
+    correction = groups / max(groups - 1, 1) * (n - 1) / max(n - size - groups, 1)
+    return Absorbed(list(numbers), b, inverse, inverse @ meat @ inverse * correction, groups)
+
+
+def absorbed_effects(spark: SparkSession, fitted: Absorbed, names: Sequence[str], clustered: bool) -> DataFrame:
+    """Coefficients and factors with the model's own standard errors, or with errors clustered by the absorbed group."""
+    variance = fitted.clustered if clustered else fitted.variance
+    rows = []
+    for name in names:
+        k = list(fitted.terms).index(name)
+        rows.append((name, float(fitted.coefficients[k]), float(np.sqrt(variance[k, k])), *([int(fitted.groups)] if clustered else [])))
+    return _with_interval(spark.createDataFrame(rows, "term string, coefficient double, std_error double" + (", clusters long" if clustered else "")))
+
+
+def spline(df: DataFrame, column: str, terms: int, fitted_on: DataFrame | None = None) -> DataFrame:
     """Cubic spline columns ``<column>_b1..`` on evenly spaced knots: x, x^2, x^3 and one cubed hinge per
-    inner knot, on the column scaled to [0, 1]."""
-    ends = df.select(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e")).scalar()
+    inner knot, on the column scaled so that ``fitted_on`` (the training rows; default: all) fills [0, 1]."""
+    ends = (df if fitted_on is None else fitted_on).select(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e")).scalar()
     x = (F.col(column) - ends["low"]) / F.greatest(ends["high"] - ends["low"], F.lit(1e-9))
     out = {f"{column}_b1": x, f"{column}_b2": x * x, f"{column}_b3": x * x * x}
     inner = terms - 3

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.operators.order import keyed_totals, largest_groups, running_totals
+from tidewheel.operators.order import running_by_keys
 
 # Weight of the prior in trips, prior of the very first trip in minutes.
 SMOOTHING = 20.0
@@ -20,57 +20,53 @@ KEYS = {
 }
 
 
+def _whole(target: str, digits: int) -> Column:
+    return F.floor(F.col(target) * 10**digits + 0.5)
+
+
 def _key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("unknown"))
 
 
-def expanding_history(
-    trips: DataFrame, target: str, order: Sequence[str], digits: int = 6, largest_window: int = 2_000_000
-) -> DataFrame:
+def expanding_history(trips: DataFrame, target: str, order: Sequence[str], digits: int = 6) -> DataFrame:
     """Past-only smoothed means per route, start and end, in the given total order.
 
     The estimate of a row is ``(sum of earlier + 20 * prior) / (earlier rows + 20)``, where the prior is
-    the mean of all earlier rows. Sums are whole numbers of ``10 ** -digits`` minutes: the same digits
-    come out however the rows were spread. A key with more than ``largest_window`` rows is spread over
-    tasks, smaller ones take a window per key.
+    the mean of all earlier rows. Sums are whole numbers of ``10 ** -digits`` minutes in wide decimals: the same
+    digits come out however the rows were spread, and no total overflows. ``trips`` is a scan or a staged table.
     """
     rows = trips.withColumns({"_start": _key("start_station_id"), "_end": _key("end_station_id")})
-    one = {"sum": F.floor(F.col(target) * 10**digits + 0.5), "cnt": F.lit(1)}
-
-    def named(df: DataFrame, tag: str) -> DataFrame:
-        return df.withColumnsRenamed({"sum_before": f"_{tag}_sum", "cnt_before": f"_{tag}_cnt"}).drop("sum_total", "cnt_total")
-
-    rows = named(running_totals(rows, [], order, one, spread_copies=True), "all")
-    # the number of earlier rows is the row's position: from here on one column orders everything
-    keyed = {"route": ["_start", "_end"], "start": ["_start"], "end": ["_end"]}
-    for (tag, keys), largest in zip(keyed.items(), largest_groups(rows, list(keyed.values()))):
-        totals = keyed_totals if largest <= largest_window else running_totals
-        rows = named(totals(rows, keys, ["_all_cnt"], one), tag)
+    key_sets = {"_all": [], "_route": ["_start", "_end"], "_start_": ["_start"], "_end_": ["_end"]}
+    sums = {"sum": _whole(target, digits), "cnt": F.when(F.col(target).isNull(), 0).otherwise(1).cast("long")}
+    rows = running_by_keys(rows, order, key_sets, sums)
 
     def minutes(tag: str) -> Column:
-        return F.col(f"_{tag}_sum") / F.lit(float(10**digits))
+        return F.col(f"{tag}_sum").cast("double") / F.lit(float(10**digits))
 
-    prior = F.when(F.col("_all_cnt") > 0, minutes("all") / F.col("_all_cnt")).otherwise(F.lit(FIRST_PRIOR))
+    def count(tag: str) -> Column:
+        return F.col(f"{tag}_cnt").cast("double")
+
+    prior = F.when(count("_all") > 0, minutes("_all") / count("_all")).otherwise(F.lit(FIRST_PRIOR))
 
     def estimate(tag: str) -> Column:
-        return (minutes(tag) + SMOOTHING * prior) / (F.col(f"_{tag}_cnt") + SMOOTHING)
+        return (minutes(tag) + SMOOTHING * prior) / (count(tag) + SMOOTHING)
 
     return rows.withColumns({
-        "route_typical_minutes": estimate("route"),
-        "route_history_log_count": F.log1p(F.col("_route_cnt").cast("double")),
-        "start_typical_minutes": estimate("start"),
-        "end_typical_minutes": estimate("end"),
-    }).drop("_start", "_end", *[f"_{t}_{m}" for t in ("all", "route", "start", "end") for m in ("sum", "cnt")])
+        "route_typical_minutes": estimate("_route"),
+        "route_history_log_count": F.log1p(count("_route")),
+        "start_typical_minutes": estimate("_start_"),
+        "end_typical_minutes": estimate("_end_"),
+    }).drop("_start", "_end", *[f"{t}_{m}" for t in key_sets for m in ("sum", "cnt")])
 
 
 def fit_history(trips: DataFrame, target: str, digits: int = 6) -> Mapping[str, DataFrame]:
     """Mean and count per route, start and end, and the global mean: four keyed tables. Sums are whole
     numbers, as in ``expanding_history``."""
-    whole = F.floor(F.col(target) * 10**digits + 0.5)
+    whole = _whole(target, digits).cast("decimal(38,0)")
     rows = trips.select(
         _key("start_station_id").alias("start_station_id"), _key("end_station_id").alias("end_station_id"), whole.alias("_y")
     )
-    mean = F.sum("_y") / F.count("_y") / F.lit(float(10**digits))
+    mean = F.sum("_y").cast("double") / F.count("_y") / F.lit(float(10**digits))
     fitted = {tag: rows.groupBy(*keys).agg(mean.alias(f"_{tag}_mean"), F.count("_y").alias(f"_{tag}_n")) for tag, keys in KEYS.items()}
     fitted["global"] = rows.agg(mean.alias("_mean"))
     return fitted

@@ -141,22 +141,22 @@ def hundredth(score: Column) -> Column:
     return F.when(k / F.lit(100.0) > score, k - 1).otherwise(k)
 
 
-def threshold_sweep(df: DataFrame, score: str, y: str, keys: Sequence[str] = (), counted: tuple[str, str] | None = None) -> DataFrame:
+def threshold_sweep(df: DataFrame, score: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """Counts and rates for every threshold 0.05, 0.06, ... 0.95 in one pass: a histogram of hundredths
-    (about a hundred rows per key) and its sums from above. ``counted`` names columns that already hold
-    the number of positives and negatives of a row."""
-    positive, negative = (F.col(y), 1 - F.col(y)) if counted is None else (F.col(counted[0]), F.col(counted[1]))
-    bins = df.groupBy(*keys, hundredth(F.col(score)).alias("_k")).agg(F.sum(positive).alias("_p"), F.sum(negative).alias("_n"))
-    # thresholds join the bins as rows that count nothing; a threshold then adds up everything from above
-    totals = bins.groupBy(*keys).agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
-    grid = totals.withColumn("_k", F.explode(F.sequence(F.lit(GRID[0]), F.lit(GRID[1]))))
-    both = bins.select(*keys, "_k", "_p", "_n", F.lit(None).cast("long").alias("_tp"), F.lit(None).cast("long").alias("_tn")).unionByName(
-        grid.select(*keys, "_k", F.lit(0).cast("long").alias("_p"), F.lit(0).cast("long").alias("_n"), "_tp", "_tn"))
-    above = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    above = above.orderBy(F.desc("_k")).rangeBetween(Window.unboundedPreceding, 0)
-    summed = both.withColumns({"tp": F.sum("_p").over(above), "fp": F.sum("_n").over(above)}).where("_tp is not null")
-    counts = summed.select(
-        *keys, (F.col("_k") / F.lit(100.0)).alias("threshold"), (F.col("_tn") - F.col("fp")).alias("tn"), "fp", (F.col("_tp") - F.col("tp")).alias("fn"), "tp")
+    (about a hundred rows per key) and its sums from above."""
+    positive, negative = F.col(y), 1 - F.col(y)
+    bins = df.groupBy(*keys, hundredth(F.col(score)).alias("_k")).agg(F.sum(positive).cast("long").alias("_p"), F.sum(negative).cast("long").alias("_n"))
+    # about a hundred bins per key become one row, so the bins are not worked out a second time for the totals
+    hist = F.collect_list(F.struct("_k", "_p", "_n"))
+    grouped = bins.groupBy(*keys).agg(hist.alias("_h"), F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
+    grid = grouped.withColumn("_g", F.explode(F.sequence(F.lit(GRID[0]), F.lit(GRID[1])))).where("_tp is not null")
+
+    def above(part: str) -> Column:
+        return F.aggregate(F.filter("_h", lambda h: h["_k"] >= F.col("_g")), F.lit(0).cast("long"), lambda total, h: total + h[part])
+
+    counted_up = grid.withColumns({"tp": above("_p"), "fp": above("_n")})
+    counts = counted_up.select(
+        *keys, (F.col("_g") / F.lit(100.0)).alias("threshold"), (F.col("_tn") - F.col("fp")).alias("tn"), "fp", (F.col("_tp") - F.col("tp")).alias("fn"), "tp")
     return add_rates(counts)
 
 

@@ -75,20 +75,13 @@ def running_totals(
     order: Sequence[str | Column],
     sums: Mapping[str, str | Column],
     spread_copies: bool = False,
-    largest_window: int = 0,
 ) -> DataFrame:
     """For each ``name -> column`` add ``<name>_before`` (sum over earlier rows of the same keys) and
     ``<name>_total`` (sum over all rows of the same keys).
 
     A null key is a group like any other. No task ever holds more than one range partition, whatever the size
-    of a key.
-
-    ``largest_window`` allows the cheaper plain window per key, but only after the rows of the largest key
-    have been counted and found not to exceed it. Worth it where ``df`` is a staged table, because the
-    count reads the keys once more.
+    of a key. After the range shuffle rows move once more, to their range partition and key.
     """
-    if keys and largest_window and largest_groups(df, [keys])[0] <= largest_window:
-        return keyed_totals(df, keys, order, sums)
     source = df.withColumn("_scan", F.monotonically_increasing_id()) if spread_copies else df
     tail = ["_scan"] if spread_copies else []
     for name, item in sums.items():
@@ -96,48 +89,63 @@ def running_totals(
     staged = _range_sorted(source, [*keys, *order, *tail], "running").withColumn(
         "_part", F.shiftright("_mid", 33)
     )
-    inside = Window.partitionBy("_part", *keys).orderBy("_mid").rowsBetween(_FIRST, -1)
+    # one column that is never null, so that the window's partitioning serves the join as well
+    group = ["_part"]
+    if keys:
+        staged = staged.withColumn("_group", F.struct(*keys))
+        group.append("_group")
+    inside = Window.partitionBy(*group).orderBy("_mid").rowsBetween(_FIRST, -1)
     local = staged.select(
         "*", *[F.coalesce(F.sum(f"_s_{n}").over(inside), F.lit(0)).alias(f"_b_{n}") for n in sums]
     )
     # at most (range partitions + distinct keys) rows, at most one row per partition for each key
-    parts = staged.groupBy("_part", *keys).agg(*[F.sum(f"_s_{n}").alias(f"_p_{n}") for n in sums])
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+    parts = staged.groupBy(*group).agg(*[F.sum(f"_s_{n}").alias(f"_p_{n}") for n in sums])
+    whole = Window.partitionBy("_group") if keys else Window.partitionBy(F.lit(1))
     earlier = whole.orderBy("_part").rowsBetween(_FIRST, -1)
     offsets = parts.select(
-        "_part",
-        *keys,
+        *group,
         *[F.coalesce(F.sum(f"_p_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums],
         *[F.sum(f"_p_{n}").over(whole).alias(f"{n}_total") for n in sums],
     )
     if not keys:
         offsets = F.broadcast(offsets)  # one row per range partition
-    out = join_groups(local, offsets, ["_part", *keys])
+    out = local.join(offsets, group)
     for n in sums:
         out = out.withColumn(f"{n}_before", F.col(f"_b_{n}") + F.col(f"_o_{n}"))
     drop = [f"_{p}_{n}" for n in sums for p in ("s", "b", "o")]
-    return out.drop("_part", "_mid", *drop, *tail)
-
-
-def largest_groups(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[int]:
-    """Rows of the largest key of each key set, in one pass over the key columns."""
-    names = list(dict.fromkeys(k for keys in key_sets for k in keys))
-    bits = [sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n not in keys) for keys in key_sets]
-    counts = df.groupingSets([list(keys) for keys in key_sets], *names).agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_set"))
-    found = {r["_set"]: r["m"] for r in counts.groupBy("_set").agg(F.max("_rows").alias("m")).collect()}  # one row per set
-    return [found.get(b, 0) for b in bits]
-
-
-def keyed_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], sums: Mapping[str, str | Column]) -> DataFrame:
-    """``running_totals`` by a window per key, for keys known to be small."""
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy(*[_col(c) for c in order]).rowsBetween(_FIRST, -1)
-    out = df.withColumns({f"_s_{n}": _col(c) for n, c in sums.items()})
-    out = out.withColumns({
-        **{f"{n}_before": F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)) for n in sums},
-        **{f"{n}_total": F.sum(f"_s_{n}").over(whole) for n in sums},
-    })
-    return out.drop(*[f"_s_{n}" for n in sums])
+    return out.drop("_mid", *group, *drop, *tail)
+
+
+def running_by_keys(
+    df: DataFrame, order: Sequence[str | Column], key_sets: Mapping[str, Sequence[str]], sums: Mapping[str, Column]
+) -> DataFrame:
+    """Sums over earlier rows for several key sets under one order: for each key set ``tag`` and each
+    ``name -> whole number`` the column ``<tag>_<name>`` (decimal, so no total overflows).
+
+    Rows are range-partitioned by the order and written, and move once more, to their range partition. Inside it
+    each key set is a window; what went before the partition comes as one extra row per key and partition, summed
+    from partial aggregates. A hot key is cut by the partitions like everything else. ``df`` is a scan or a staged
+    table, because rows that are equal in ``order`` are told apart by their scan position.
+    """
+    numbered = df.withColumn("_scan", F.monotonically_increasing_id()).withColumns({f"_s_{n}": c.cast("decimal(38,0)") for n, c in sums.items()})
+    staged = _range_sorted(numbered, [*order, "_scan"], "running").withColumn("_part", F.shiftright("_mid", 33))
+    rows = staged
+    for tag, keys in key_sets.items():
+        parts = staged.groupBy("_part", *keys).agg(*[F.sum(f"_s_{n}").alias(n) for n in sums])
+        earlier = Window.partitionBy(*keys or [F.lit(1)]).orderBy("_part").rowsBetween(_FIRST, -1)
+        carried = parts.select("_part", *keys, F.lit(-1).cast("long").alias("_mid"), *[F.sum(n).over(earlier).cast("decimal(38,0)").alias(f"_c_{tag}_{n}") for n in sums])
+        rows = rows.unionByName(carried.where(F.col(f"_c_{tag}_{next(iter(sums))}").isNotNull()), allowMissingColumns=True)
+    # every window below is served by this one shuffle; a range partition is the most that a task holds
+    rows = rows.repartition("_part")
+    for tag, keys in key_sets.items():
+        group = Window.partitionBy("_part", *keys)
+        inside = group.orderBy("_mid").rowsBetween(_FIRST, -1)
+        rows = rows.withColumns({
+            f"{tag}_{n}": F.coalesce(F.sum(f"_s_{n}").over(inside), F.lit(0)).cast("decimal(38,0)") + F.coalesce(F.max(f"_c_{tag}_{n}").over(group), F.lit(0))
+            for n in sums
+        })
+    made = [f"_c_{t}_{n}" for t in key_sets for n in sums]
+    return rows.where("_mid >= 0").drop("_mid", "_part", "_scan", *made, *[f"_s_{n}" for n in sums])
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, **counted: Column) -> DataFrame:

@@ -92,15 +92,14 @@ def suspicious(score: Column, y: Column, cut: float) -> Column:
 
 def blend_sweep(rows: DataFrame, scores: Sequence[str], y: str, units: int = 20) -> DataFrame:
     """Histogram of every weight triple in steps of 1/units: one row per triple with counts and rates for
-    each threshold. Rows with equal scores are collapsed first; then each is added to all triples on the
-    spot, so what is shuffled is one row per triple and hundredth."""
+    each threshold. Each row is added to all triples on the spot, so what is shuffled is one row per triple and
+    hundredth, whatever the scores."""
     from tidewheel.operators.metrics import threshold_sweep
 
     a, b, c = scores
-    cells = rows.groupBy(a, b, c).agg(F.sum(y).alias("_p"), F.sum(1 - F.col(y)).alias("_n"))
     triples = F.array(*[F.struct(F.lit(i).alias("wa"), F.lit(j).alias("wb"), F.lit(units - i - j).alias("wc"))
                         for i in range(units + 1) for j in range(units + 1 - i)])
-    spread = cells.withColumn("w", F.explode(triples)).select(a, b, c, "_p", "_n", "w.wa", "w.wb", "w.wc")
+    spread = rows.select(a, b, c, F.col(y).alias("_y")).withColumn("w", F.explode(triples)).select(a, b, c, "_y", "w.wa", "w.wb", "w.wc")
     u = float(units)
     blended = (F.col("wa") / u) * F.col(a) + (F.col("wb") / u) * F.col(b) + (F.col("wc") / u) * F.col(c)
-    return threshold_sweep(spread.withColumn("_s", blended), "_s", "_y", ["wa", "wb", "wc"], counted=("_p", "_n"))
+    return threshold_sweep(spread.withColumn("_s", blended), "_s", "_y", ["wa", "wb", "wc"])

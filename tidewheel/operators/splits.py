@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import calendar as cal
 from tidewheel.operators.order import row_index, running_totals
+from tidewheel.session import stage
 
 MODULUS = 2147483647
 
@@ -80,8 +81,9 @@ def nested_temporal_split(df: DataFrame, order: Sequence[str], train_share: floa
 
 def class_ranked(df: DataFrame, label: str, draw: Column, ties: Sequence[str]) -> DataFrame:
     """Rank rows of each class by the draw without sending a class to one task. Adds ``_rank`` from 0
-    and ``_class_n``. ``ties`` make the order total."""
-    out = running_totals(df.withColumn("_draw", draw), [label], ["_draw", *ties], {"one": F.lit(1)}, spread_copies=True)
+    and ``_class_n``. Rows equal in ``ties`` as well are told apart by their place in a written copy of ``df``."""
+    drawn = stage(df.withColumn("_draw", draw), "drawn")
+    out = running_totals(drawn, [label], ["_draw", *ties], {"one": F.lit(1)}, spread_copies=True)
     return out.withColumnsRenamed({"one_before": "_rank", "one_total": "_class_n"}).drop("_draw")
 
 

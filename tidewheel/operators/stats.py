@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import calendar as cal
 from tidewheel.operators.order import average_ranks, exact_quantiles, running_totals, value_counts
-from tidewheel.operators.splits import mixed_number
+from tidewheel.operators.splits import MODULUS, mixed_number
 
 # Chebyshev fit of the complementary error function (relative error below 1.2e-7).
 ERFC = [
@@ -78,33 +78,29 @@ def mann_whitney(df: DataFrame, value: str, first: Column) -> DataFrame:
     return out.drop("r1", "ties")
 
 
-def bootstrap_median_diff(
-    df: DataFrame, value: str, group: str, first: str, second: str, repetitions: int, sample_size: int = 10_000
-) -> DataFrame:
-    """2.5 and 97.5 percentile of median(first) - median(second) over resamples; one row.
+def bootstrap_median_diff(df: DataFrame, value: str, group: str, first: str, second: str, repetitions: int) -> DataFrame:
+    """2.5 and 97.5 percentile of median(first) - median(second) over resamples of full size; one row.
 
-    Values are ordered once per group. A draw is a position, and the median of drawn values sits at the
-    median drawn position, so a replicate needs two positions per group to be looked up instead of
-    ``sample_size`` values.
+    Values are ordered once per group. The median of n draws with replacement lies at a random position: the number of
+    draws below a position is binomial, so the position is n * (1/2 + z / (2 sqrt n)) with a standard normal z (here
+    the sum of twelve uniform numbers less six). A replicate looks up one position per group, however many rows there are.
     """
     spark = df.sparkSession
     rows = df.where(F.col(group).isin([first, second]) & F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(value).alias("x"))
     placed = running_totals(rows, ["g"], ["x"], {"one": F.lit(1)}, spread_copies=True)
     sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"))  # two rows
-    draws = spark.range(repetitions * sample_size).select(
-        F.floor(F.col("id") / sample_size).cast("int").alias("rep"), (F.col("id") % sample_size).alias("slot"), F.explode(F.array(F.lit(first), F.lit(second))).alias("g")
+    draws = spark.range(repetitions * 12).select(
+        F.floor(F.col("id") / 12).cast("int").alias("rep"), (F.col("id") % 12).alias("slot"), F.explode(F.array(F.lit(first), F.lit(second))).alias("g")
     )
-    draws = draws.join(F.broadcast(sizes), "g").where(F.col("slot") < F.least(F.lit(sample_size), F.col("size")))
-    offset = F.when(F.col("g") == first, 0).otherwise(1_000_003)
-    draws = draws.select("rep", "g", F.pmod(mixed_number(F.col("slot"), F.col("rep") + offset), F.col("size")).alias("at"))
-    # at most sample_size positions per replicate and group
-    middle = draws.groupBy("rep", "g").agg(F.sort_array(F.collect_list("at")).alias("s")).withColumn("m", F.size("s"))
-    wanted = middle.select("rep", "g", F.explode(F.array(
-        F.element_at("s", F.floor((F.col("m") + 1) / 2).cast("int")), F.element_at("s", (F.floor(F.col("m") / 2) + 1).cast("int")))).alias("one_before"))
-    # 4 * repetitions rows: a fixed bound
-    medians = placed.select("g", "one_before", "x").join(F.broadcast(wanted), ["g", "one_before"]).groupBy("rep", "g").agg(F.avg("x").alias("med"))
+    number = mixed_number(F.col("slot"), F.col("rep") + F.when(F.col("g") == first, 0).otherwise(1_000_003))
+    sums = draws.groupBy("rep", "g").agg(F.sum(number).alias("t")).join(F.broadcast(sizes), "g")
+    z, n = F.col("t") / F.lit(float(MODULUS)) - 6.0, F.col("size").cast("double")
+    at = F.floor(n * (0.5 + z / (2.0 * F.sqrt(n))))
+    wanted = sums.select("rep", "g", F.greatest(F.lit(0), F.least(F.col("size") - 1, at)).alias("one_before"))
+    # 2 * repetitions rows: a fixed bound
+    medians = placed.select("g", "one_before", "x").join(F.broadcast(wanted), ["g", "one_before"])
     diffs = medians.groupBy("rep").agg(
-        (F.max(F.when(F.col("g") == first, F.col("med"))) - F.max(F.when(F.col("g") == second, F.col("med")))).alias("d")
+        (F.max(F.when(F.col("g") == first, F.col("x"))) - F.max(F.when(F.col("g") == second, F.col("x")))).alias("d")
     )
     return diffs.agg(F.percentile("d", 0.025).alias("ci_low"), F.percentile("d", 0.975).alias("ci_high"), F.count("d").alias("replicates"))
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,7 +21,8 @@ from tidewheel.session import stage
 
 RISK_CATEGORIES = ["brand", "kind", "season"]
 RISK_NUMBERS = ["size", "width", "height"]
-DEMAND_NUMBERS = [*features.DEMAND_FEATURES]
+DEMAND_CATEGORIES = ["zone"]
+DEMAND_NUMBERS = [c for c in features.DEMAND_FEATURES if c not in DEMAND_CATEGORIES]
 
 
 def demand_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,24 +61,50 @@ def risk_frame(spark: SparkSession, sf: str) -> DataFrame:
     return stage(rows.withColumn("y", F.when(draw < 0.08, F.col("y")).otherwise((signal > 1.2).cast("double"))), "risk")
 
 
-def linear_stages(categories: Sequence[str], numbers: Sequence[str]) -> list:
-    """Unknown categories kept apart, one-hot, median for missing numbers, one vector."""
+class Codes(Estimator):
+    """Numbers for categories, ``<column>`` to ``_c_<column>``, without the nominal marks that would make a learner treat
+    them as a set: ordinal codes in alphabetical order with -1 for unknown values, or, with ``at_least``, codes by
+    frequency in which values of fewer rows and unknown ones share the last."""
+
+    def __init__(self, columns: Sequence[str], at_least: int = 0):
+        super().__init__()
+        self.columns, self.at_least = list(columns), at_least
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        order = "frequencyDesc" if self.at_least else "alphabetAsc"
+        index = StringIndexer(inputCols=self.columns, outputCols=[f"_i_{c}" for c in self.columns], handleInvalid="keep", stringOrderType=order).fit(dataset)
+        picks = []
+        for column, labels in zip(self.columns, index.labelsArray, strict=True):
+            if self.at_least:
+                common = dataset.groupBy(column).count().where(F.col(column).isNotNull() & (F.col("count") >= self.at_least)).count()
+                picks.append(f"least(`_i_{column}`, {float(common)}D) AS `_c_{column}`")
+            else:
+                picks.append(f"if(`_i_{column}` >= {len(labels)}, -1D, `_i_{column}` + 0D) AS `_c_{column}`")
+        return PipelineModel([index, SQLTransformer(statement=f"SELECT *, {', '.join(picks)} FROM __THIS__")])
+
+
+def linear_stages(categories: Sequence[str], numbers: Sequence[str], at_least: int = 5) -> list:
+    """One-hot categories in which rare values (fewer than ``at_least`` training rows) and unknown ones are one, median
+    for missing numbers, one vector. MLlib's linear learners scale columns themselves before they penalise."""
     stages: list = []
     if categories:
-        stages = [StringIndexer(inputCols=list(categories), outputCols=[f"_i_{c}" for c in categories], handleInvalid="keep"),
-                  OneHotEncoder(inputCols=[f"_i_{c}" for c in categories], outputCols=[f"_o_{c}" for c in categories])]
+        stages = [Codes(categories, at_least),
+                  OneHotEncoder(inputCols=[f"_c_{c}" for c in categories], outputCols=[f"_o_{c}" for c in categories], handleInvalid="keep")]
     return [*stages, Imputer(inputCols=list(numbers), outputCols=[f"_f_{c}" for c in numbers], strategy="median"),
             VectorAssembler(inputCols=[*[f"_f_{c}" for c in numbers], *[f"_o_{c}" for c in categories]], outputCol="features")]
 
 
-def tree_stages(categories: Sequence[str], numbers: Sequence[str]) -> list:
-    """Ordinal numbers for categories, as trees split them as ordered values."""
+def tree_stages(categories: Sequence[str], numbers: Sequence[str], nominal: Sequence[str] = ()) -> list:
+    """Ordinal codes for ``categories``, which trees split as ordered numbers however many there are (-1: unknown), and
+    sets for the few values of ``nominal`` columns (fewer than a learner's bins)."""
     stages: list = []
     if categories:
-        stages = [StringIndexer(inputCols=list(categories), outputCols=[f"_i_{c}" for c in categories], handleInvalid="keep", stringOrderType="alphabetAsc"),
-                  VectorAssembler(inputCols=[f"_i_{c}" for c in categories], outputCol="_codes")]
+        stages.append(Codes(categories))
+    if nominal:
+        stages.append(StringIndexer(inputCols=list(nominal), outputCols=[f"_n_{c}" for c in nominal], handleInvalid="keep", stringOrderType="alphabetAsc"))
+    made = [*[f"_f_{c}" for c in numbers], *[f"_c_{c}" for c in categories], *[f"_n_{c}" for c in nominal]]
     return [*stages, Imputer(inputCols=list(numbers), outputCols=[f"_f_{c}" for c in numbers], strategy="median"),
-            VectorAssembler(inputCols=[*[f"_f_{c}" for c in numbers], *(["_codes"] if categories else [])], outputCol="features")]
+            VectorAssembler(inputCols=made, outputCol="features")]
 
 
 def as_double(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -120,9 +147,9 @@ def logistic(weight: str | None = None) -> LogisticRegression:
 
 
 def demand_model(rows: DataFrame, numbers: Sequence[str] = tuple(DEMAND_NUMBERS), rounds: int = 10) -> PipelineModel:
-    """Boosted trees on the logarithm of the count."""
+    """Boosted trees on the logarithm of the count; the zone is a category."""
     learner = GBTRegressor(labelCol="log_trips", featuresCol="features", predictionCol="log_pred", maxIter=rounds, maxDepth=5, seed=42)
-    return fit(as_double(rows, numbers), tree_stages([], numbers), learner)
+    return fit(as_double(rows, numbers), tree_stages([], numbers, DEMAND_CATEGORIES), learner)
 
 
 def predict_demand(model: PipelineModel, rows: DataFrame, numbers: Sequence[str] = tuple(DEMAND_NUMBERS)) -> DataFrame:

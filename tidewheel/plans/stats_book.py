@@ -70,18 +70,18 @@ def cliffs_delta(spark, sf):
     return rounded(out.select("n1", "n2", "cliffs_delta"), "cliffs_delta", digits=9)
 
 
-REPS, SIZE = 200, 10_000
+REPS = 200
 BOOT = f"""v AS (SELECT member_casual AS g, duration_minutes AS x, row_number() OVER (PARTITION BY member_casual ORDER BY duration_minutes) - 1 AS at FROM trips_li),
     s AS (SELECT g, count(*) AS size FROM v GROUP BY 1),
-    d AS (SELECT CAST(id // {SIZE} AS INTEGER) AS rep, s.g, ({mixed_sql(f"id % {SIZE}", f"id // {SIZE} + CASE WHEN s.g = 'casual' THEN 0 ELSE 1000003 END")}) % s.size AS at
-        FROM range({REPS * SIZE}) t(id), s WHERE id % {SIZE} < s.size),
-    m AS (SELECT rep, d.g, median(x) AS med FROM d JOIN v ON v.g = d.g AND v.at = d.at GROUP BY 1, 2),
+    d AS (SELECT rep, g, size, CAST(sum({mixed_sql("slot", "rep + CASE WHEN g = 'casual' THEN 0 ELSE 1000003 END")}) AS DOUBLE) AS t FROM range({REPS}) r(rep), range(12) k(slot), s GROUP BY ALL),
+    p AS (SELECT rep, g, greatest(0, least(size - 1, CAST(floor(CAST(size AS DOUBLE) * (0.5::DOUBLE + (t / {P}.0::DOUBLE - 6.0::DOUBLE) / (2.0::DOUBLE * sqrt(CAST(size AS DOUBLE))))) AS BIGINT))) AS at FROM d),
+    m AS (SELECT rep, p.g, x AS med FROM p JOIN v ON v.g = p.g AND v.at = p.at),
     diff AS (SELECT rep, max(CASE WHEN g = 'casual' THEN med END) - max(CASE WHEN g = 'member' THEN med END) AS d FROM m GROUP BY 1),
     ci AS (SELECT {r6("quantile_cont(d, 0.025)")} AS ci_low, {r6("quantile_cont(d, 0.975)")} AS ci_high, count(d) AS replicates FROM diff)"""
 
 
 def interval(spark, sf):
-    return rounded(stats.bootstrap_median_diff(riders(spark, sf), "duration_minutes", "member_casual", "casual", "member", REPS, SIZE), "ci_low", "ci_high")
+    return rounded(stats.bootstrap_median_diff(riders(spark, sf), "duration_minutes", "member_casual", "casual", "member", REPS), "ci_low", "ci_high")
 
 
 @add("bootstrap_median_diff", "trips_li", f"WITH {BOOT} SELECT * FROM ci")
@@ -120,7 +120,7 @@ def city_hours(spark, sf):
     rows = joins.join_hourly(city, v.weather(spark, sf), "time", "time", ["precipitation_mm", "temperature_c", "wind_kmh"])
     ts = F.col("time")
     return rows.where("precipitation_mm is not null").withColumns({
-        "hour": F.hour(ts), "daytype": features.daytype(ts), "month": F.month(ts), "wet": features.wet_class(F.col("precipitation_mm")), "day": F.date_format(ts, "MM-dd")})
+        "hour": F.hour(ts), "daytype": features.daytype(ts), "month": F.month(ts), "wet": features.wet_class(F.col("precipitation_mm")), "day": cal.day_floor(ts)})
 
 
 @add("wilcoxon_signed_rank", "preds", f"""WITH d AS (SELECT zone, abs(trips - pred_a) - abs(trips - pred_b) AS d FROM preds), nz AS (SELECT zone, d, abs(d) AS a FROM d WHERE d <> 0),
@@ -258,18 +258,18 @@ def wet_or_dry(spark, sf):
                              "hour_weekend": F.when(F.col("daytype") == "weekend", F.col("hour")).otherwise(0).cast("string")})
 
 
-FIXED = ["hour_weekday", "hour_weekend", "day"]
+FIXED = ["hour_weekday", "hour_weekend"]
 
 
 @add("poisson_glm_effects")
 def poisson_glm_effects(spark, sf):
     """Factor by which a wet hour multiplies departures, against dry hours of the same day."""
-    return glm.effects(glm.fit(wet_or_dry(spark, sf), "trips", FIXED, ["wet_hour"]), ["wet_hour"])
+    return glm.absorbed_effects(spark, glm.fit_absorbed(wet_or_dry(spark, sf), "trips", FIXED, ["wet_hour"], "day"), ["wet_hour"], clustered=False)
 
 
 @add("cluster_robust_se")
 def cluster_robust_se(spark, sf):
-    return glm.robust_effects(glm.fit(wet_or_dry(spark, sf), "trips", FIXED, ["wet_hour"]), ["wet_hour"], cluster="day")
+    return glm.absorbed_effects(spark, glm.fit_absorbed(wet_or_dry(spark, sf), "trips", FIXED, ["wet_hour"], "day"), ["wet_hour"], clustered=True)
 
 
 @add("dose_response")
@@ -281,7 +281,7 @@ def dose_response(spark, sf):
     rain = F.col("precipitation_mm")
     classes = {"rain_to_half": (rain > 0) & (rain <= 0.5), "rain_to_2": (rain > 0.5) & (rain <= 2), "rain_to_5": (rain > 2) & (rain <= 5)}
     rows = rows.withColumns({k: t.cast("double") for k, t in classes.items()})
-    return glm.robust_effects(glm.fit(rows, "trips", FIXED, list(classes)), list(classes), cluster="day")
+    return glm.absorbed_effects(spark, glm.fit_absorbed(rows, "trips", FIXED, list(classes), "day"), list(classes), clustered=True)
 
 
 @add("deviance_explained")

@@ -9,7 +9,7 @@ from tidewheel.operators import joins
 from tidewheel.plans import modeling
 from tidewheel.plans import views as v
 from tidewheel.plans.views import Book
-from tidewheel.session import stage
+from tidewheel.session import stage, staging_path
 from tidewheel.streaming import streams
 
 BOOK = Book()
@@ -17,22 +17,29 @@ add = BOOK.add
 
 
 class _Streamed:
-    """Hands the view functions a stream instead of a table: ``read.parquet(<dir>/<name>.parquet)``."""
+    """Hands the view functions a stream instead of a table: ``read.parquet(<dir>/<name>.parquet)``.
 
-    def __init__(self, spark):
-        self.spark, self.read = spark, self
+    With ``newest_first`` (a column) the table arrives in four files, later rows first, one file per micro-batch."""
+
+    def __init__(self, spark, newest_first=None):
+        self.spark, self.read, self.newest_first = spark, self, newest_first
 
     def parquet(self, path):
         folder, name = path.rsplit("/", 1)
-        return streams.open_stream(self.spark, folder, self.spark.read.parquet(path).schema, name)
+        table = self.spark.read.parquet(path)
+        if not self.newest_first:
+            return streams.open_stream(self.spark, folder, table.schema, name)
+        arriving = staging_path(self.spark, "arriving")
+        table.repartitionByRange(4, F.col(self.newest_first).desc()).write.parquet(arriving)
+        return streams.open_stream(self.spark, arriving, table.schema, files_per_batch=1)
 
 
-@add("stream_station_hour", "departures", """SELECT start_station_id, date_trunc('hour', started_at) AS time, count(*) AS trips,
+@add("stream_station_hour", "departures", """SELECT start_station_id, date_trunc('hour', started_at) AS time, CAST(count(*) AS BIGINT) AS trips,
     CAST(count(*) FILTER (WHERE member_casual = 'member') AS BIGINT) AS members, CAST(count(*) FILTER (WHERE rideable_type = 'electric_bike') AS BIGINT) AS electric FROM departures
-    GROUP BY 1, 2 HAVING date_trunc('hour', started_at) + INTERVAL 1 HOUR <= (SELECT max(started_at) - INTERVAL 2 HOUR FROM departures)""")
+    GROUP BY 1, 2""")
 def stream_station_hour(spark, sf):
-    """Hours closed by the watermark; equal to the batch counts of those hours."""
-    return streams.run(streams.station_hours(v.trips_ev(_Streamed(spark), sf), "2 hours"), "station-hours")
+    """All hours, open ones too, from batches that arrive newest first; equal to the batch counts."""
+    return streams.station_hours(v.trips_ev(_Streamed(spark, "ts"), sf))
 
 
 @add("stream_clean_audit", "trips_ev", """SELECT strftime(started_at, '%Y%m') AS source_month, count(*) AS input_rows,
@@ -47,8 +54,9 @@ def stream_clean_audit(spark, sf):
 
 @add("stream_dedupe", "trips_li", "SELECT DISTINCT ride_id FROM trips_li")
 def stream_dedupe(spark, sf):
-    rows = v.trips_li(_Streamed(spark), sf).select("ride_id", "started_at", "start_station_id")
-    return streams.run(streams.deduplicated(rows, ["ride_id"], "1 day"), "dedupe").select("ride_id")
+    """One row per ride id from batches that arrive newest first."""
+    rows = v.trips_li(_Streamed(spark, "l_shipdate"), sf).select("ride_id", "started_at", "start_station_id")
+    return streams.deduplicated(rows, ["ride_id"], ["started_at", "start_station_id"]).select("ride_id")
 
 
 @add("stream_weather_score")

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "8", app: str = "tidewheel") -> SparkSession:
-    """Session for tests and the bench; a cluster brings its own."""
+#: With this setting a query's shuffle files go when it has ended, not when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_STAGING = "tidewheel.staging.dir"
+
+
+def local_session(cores: str = "8", app: str = "tidewheel", shared: str | None = None) -> SparkSession:
+    """Session for tests and the bench, which name a folder for staged tables; a cluster brings its own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -21,6 +27,8 @@ def local_session(cores: str = "8", app: str = "tidewheel") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if shared:
+        spark.conf.set(_STAGING, shared)
     return spark
 
 
@@ -29,28 +37,38 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The session's own folder below the one that ``spark.checkpoint.dir`` names, which all executors share.
 
-    Where a session names none, a local one (tests) gets a fresh temporary folder and any other uses its
-    warehouse, which all executors can reach. The choice is kept in the session so that later calls agree.
+    Where that is not set, ``tidewheel.staging.dir`` names it (tests); without either nothing can be staged. The
+    folder is deleted when the driver's JVM ends.
     """
-    root = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("tidewheel.staging.dir", None)
-    )
-    if not root:
-        if spark.sparkContext.master.startswith("local"):
-            root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir")
-        spark.conf.set("tidewheel.staging.dir", root)
-    return root.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get(_STAGING, None)
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = f"{named.rstrip('/')}/tidewheel/{spark.sparkContext.applicationId}"
+    if spark.conf.get("tidewheel.staging.made", None) != root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        spark.conf.set("tidewheel.staging.made", root)
+    return root
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the staging folder."""
-    return f"{staging_root(spark)}/tidewheel/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside leave no shuffle files behind, so a chain of staged tables never holds them all."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -60,5 +78,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     such as a partition number stay what they were when the table was written.
     """
     path = staging_path(df.sparkSession, label)
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    with brief_shuffles(df.sparkSession):
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

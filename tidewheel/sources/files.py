@@ -57,7 +57,7 @@ def explode_hourly_payload(payloads: DataFrame, column: str, measures: Sequence[
     sizes = F.array_distinct(F.array(F.size("time"), *[F.size(m) for m in measures]))
     checked = parsed.select(
         F.when(F.size(sizes) == 1, F.arrays_zip("time", *measures))
-        .otherwise(F.raise_error(F.lit("weather variables have inconsistent lengths")).cast(
+        .otherwise(F.raise_error(F.lit("the arrays of a payload differ in length")).cast(
             "array<struct<time:string," + ",".join(f"{m}:string" for m in measures) + ">>"))
         .alias("z")
     )

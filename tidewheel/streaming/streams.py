@@ -1,18 +1,20 @@
 """The batch rules as Structured Streaming jobs.
 
-Each job runs on what is available and stops. Results go to a Parquet sink in append mode, whose own log
-makes a repeated micro-batch harmless; no state is kept on the driver.
+Each job runs on what is available and stops. Plain results go to a Parquet sink in append mode, whose own log
+makes a repeated micro-batch harmless. Results that later rows may still change are kept as one folder per
+micro-batch, which a repeated micro-batch writes anew, and are brought together when they are read: no watermark
+decides what is counted, and no state is kept on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.operators import clean
+from tidewheel.operators import clean, grid
 from tidewheel.session import staging_path
 
 
@@ -36,16 +38,33 @@ def run(stream: DataFrame, label: str, path: str | None = None, checkpoint: str
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def station_hours(trips: DataFrame, lateness: str) -> DataFrame:
-    """Departures per station and hour. An hour is written once the watermark has passed its end; rows that
-    come later than ``lateness`` are left out."""
-    dep = clean.departures(trips).withColumn("started_at", F.col("started_at").cast("timestamp")).withWatermark("started_at", lateness)
-    counts = dep.groupBy(F.window("started_at", "1 hour").alias("w"), "start_station_id").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count_if(F.col("member_casual") == "member").alias("members"),
-        F.count_if(F.col("rideable_type") == "electric_bike").alias("electric"),
-    )
-    return counts.select("start_station_id", F.col("w.start").cast("timestamp_ntz").alias("time"), "trips", "members", "electric")
+def run_batches(stream: DataFrame, label: str, write: Callable[[DataFrame, int, str], None], path: str | None = None, checkpoint: str | None = None) -> str:
+    """Process everything available batch by batch: ``write(batch, number, path)`` puts the batch's result below
+    ``path/batch=number``. Returns the path; calling again with the same path and checkpoint only adds what is new."""
+    spark = stream.sparkSession
+    path = path or staging_path(spark, label)
+    checkpoint = checkpoint or staging_path(spark, f"{label}-log")
+    writer = stream.writeStream.foreachBatch(lambda batch, number: write(batch, number, path)).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return path
+
+
+def _put(df: DataFrame, number: int, path: str) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+def station_hours(trips: DataFrame, label: str = "station-hours", path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Departures per station and hour, open hours and late departures included. Each micro-batch leaves its partial
+    counts, one row per station and hour that it touches."""
+    measures = ["trips", "members", "electric"]
+
+    def write(batch: DataFrame, number: int, folder: str) -> None:
+        _put(grid.station_hour_counts(clean.departures(batch)), number, folder)
+
+    folder = run_batches(trips, label, write, path, checkpoint)
+    parts = trips.sparkSession.read.parquet(folder)
+    kinds = dict(parts.dtypes)
+    return parts.groupBy("start_station_id", "time").agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
 
 
 def checked_rows(trips: DataFrame) -> DataFrame:
@@ -66,7 +85,19 @@ def merged_audit(rows: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(trips: DataFrame, keys: Sequence[str], lateness: str) -> DataFrame:
-    """First arrival per key; a key is remembered until the watermark has passed it."""
-    timed = trips.withColumn("started_at", F.col("started_at").cast("timestamp")).withWatermark("started_at", lateness)
-    return timed.dropDuplicatesWithinWatermark(list(keys))
+def deduplicated(trips: DataFrame, keys: Sequence[str], order: Sequence[str], label: str = "dedupe", path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """The first arrival of every key, however late: a micro-batch keeps the first row per key in ``order`` of the keys
+    that no earlier micro-batch has stored. Stored keys are read from the earlier batches' folders, so a repeated
+    micro-batch does not meet its own rows."""
+    spark, schema = trips.sparkSession, trips.schema
+
+    def write(batch: DataFrame, number: int, folder: str) -> None:
+        first = F.min_by(F.struct(*batch.columns), F.struct(*order))
+        one = batch.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(first.alias("_row")).select("_row.*")
+        if number:
+            stored = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())])).parquet(folder)
+            one = one.join(stored.where(F.col("batch") < number).select(*keys), list(keys), "left_anti")
+        _put(one, number, folder)
+
+    folder = run_batches(trips, label, write, path, checkpoint)
+    return spark.read.parquet(folder).select(*trips.columns)
