@@ -8,7 +8,7 @@ from tidewheel.functions import calendar as cal
 from tidewheel.functions.text import notation_of
 from tidewheel.plans import views as v
 from tidewheel.plans.views import Book, r6, rnd, rounded
-from tidewheel.session import staging_path
+from tidewheel.session import stage, staging_path
 from tidewheel.sources import archives, files
 
 BOOK = Book()
@@ -133,9 +133,14 @@ def archive_range_select(spark, sf):
 
 @add("manifest_checksum")
 def manifest_checksum(spark, sf):
-    """Name, size and SHA-256 of every supplied file."""
-    out = archives.checksums(archives.list_files(spark, sf, "*.parquet"))
-    return out.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "bytes", "sha256", F.lit("present").alias("status"))
+    """Name, size and SHA-256 of every supplied file, and what became of it since a manifest written before: that one
+    lacks the events, holds another digest for the orders, and lists a file that is gone."""
+    found = archives.checksums(archives.list_files(spark, sf, "*.parquet"))
+    found = stage(found.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "bytes", "sha256"), "checksums")
+    before = found.where("file <> 'events.parquet'").withColumn("sha256", F.when(F.col("file") == "orders.parquet", F.sha2("sha256", 256)).otherwise(F.col("sha256")))
+    gone = found.where("file = 'events.parquet'").withColumn("file", F.lit("withdrawn.parquet"))
+    earlier = stage(before.unionByName(gone), "manifest")
+    return archives.manifest(found, earlier)
 
 
 @add("header_scan", sql="""SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'Start Time,Trip' ELSE 'started_at,ride_id' END AS header,

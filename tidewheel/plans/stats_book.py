@@ -236,13 +236,9 @@ WEIGHT = " + ".join(f"(u >= {s!r}::DOUBLE)::INTEGER" for s in _steps())
     l AS (UNPIVOT m ON auc, recall, specificity INTO NAME metric VALUE value)
     SELECT metric, {r6("avg(value)")} AS mean, {r6("quantile_cont(value, 0.025)")} AS ci_low, {r6("quantile_cont(value, 0.975)")} AS ci_high FROM l GROUP BY 1""")
 def metric_bootstrap(spark, sf):
-    """Poisson bootstrap: every row gets a weight per replicate and is added to its score at once, so what
-    is shuffled is one row per replicate and score."""
-    rows = v.scores_li(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "y", "p_a")
-    reps = rows.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(METRIC_REPS - 1))))
-    draw = mixed_number(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.col("l_partkey") + F.col("rep") * 1000003) / float(P)
-    weighted = reps.select("rep", "p_a", "y", stats.poisson_weight(draw).alias("w"))
-    out = metrics.weighted_scores(weighted, ["rep"], "p_a", "y", "w", cut=0.3)
+    """Poisson bootstrap: a weight per row and replicate, added up where the row's range of scores is walked."""
+    rows = v.scores_li(spark, sf)
+    out = metrics.bootstrap_scores(rows, "p_a", "y", F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.col("l_partkey"), METRIC_REPS, cut=0.3)
     long = out.unpivot(["rep"], ["auc", "recall", "specificity"], "metric", "value")
     return rounded(long.groupBy("metric").agg(F.avg("value").alias("mean"), F.percentile("value", 0.025).alias("ci_low"), F.percentile("value", 0.975).alias("ci_high")),
                    "mean", "ci_low", "ci_high")
