@@ -31,8 +31,8 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         (self.between,) = self._ids(_BETWEEN)
-        self.parts = ChunkIds(self._encode, 800_000)
-        self.table = ChunkIds(self._by_parts)
+        self.parts = ChunkIds(self._encode, 1_200_000)
+        self.table = ChunkIds(self._by_parts, 1_000_000)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
