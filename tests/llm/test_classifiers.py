@@ -137,9 +137,9 @@ def test_folds_are_crc32_of_the_id(spark):
         assert (r.q, r.t) == (crc % 5 == 0, crc % 4 == 2)
 
 
-def test_table_accuracy(spark, sf):
+def test_table_accuracy(spark, sf="/root/testdata/sf0.01"):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = quality.fit(docs, labels, usable=~quality.held_out())
     truth = labels.where(quality.held_out()).select("doc_id", F.col("quality").alias("y"))
     rows = quality.score(docs, model).join(truth, "doc_id").collect()
-    assert sum((r.score >= 0.3) == bool(r.y) for r in rows) >= 0.85 * len(rows)
+    assert sum((r.score >= 0.3) == bool(r.y) for r in rows) >= 0.9 * len(rows) > 40

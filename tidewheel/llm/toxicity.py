@@ -158,8 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", usable: Co
     stems = learned_stems(sample.where("fold != 0"))
     dense = with_features(sample, stems).select("fold", F.col("label").cast("double").alias("label"), array_to_vector("features").alias("vector"))
     dense = dense.coalesce(4).persist()  # bounded: one short vector for each of ``rows`` documents
-    trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=15, maxDepth=3, stepSize=0.3, seed=7, probabilityCol="chance", rawPredictionCol="raw").fit(dense.where("fold != 0"))
-    held = trees.transform(dense.where("fold = 0")).select("label", vector_to_array("chance")[1].alias("chance"))
+    trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=15, maxDepth=3, stepSize=0.3, seed=7).fit(dense.where("fold != 0"))
+    held = trees.transform(dense.where("fold = 0")).select("label", vector_to_array("probability")[1].alias("chance"))
     calibration = IsotonicRegression(featuresCol="chance", labelCol="label", predictionCol="score").fit(held)
     dense.unpersist()
     return ToxicityModel(stems, trees, calibration, base)
