@@ -277,12 +277,14 @@ def fit_boosting(spark, sf):
     prepared = Pipeline(stages=modeling.tree_stages(features.DURATION_CATEGORIES, numbers)).fit(train)
     keep = ["features", "log_minutes", "duration_minutes"]
     ready, held = (stage(prepared.transform(part).select(*keep), "vectors") for part in (train, test))
+    ready.persist()  # three fits pass over it many times
     parts = []
     for name, label, loss in (("log squared", "log_minutes", "squared"), ("squared", "duration_minutes", "squared"), ("absolute", "duration_minutes", "absolute")):
         learner = GBTRegressor(labelCol=label, lossType=loss, maxIter=10, maxDepth=5, maxBins=64, seed=42, predictionCol="raw")
         raw = F.col("raw")
         scored = learner.fit(ready).transform(held)
         parts.append((name, duration_scores(scored, features.inverse_log(raw) if label == "log_minutes" else raw)))
+    ready.unpersist()
     return stacked(parts)
 
 

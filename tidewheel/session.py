@@ -80,4 +80,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
     with brief_shuffles(df.sparkSession):
         df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing unwritten depends on any more; otherwise they stay until the session ends."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
