@@ -73,5 +73,5 @@ def test_all_columns_and_whole_characters(spark, docs, no_docs, messy):
         assert (r.gone == 0) or len((r.text or "").encode()) <= 4000
     assert suffixes.remove_repeats(no_docs).count() == 0
     text = "é" * 130
-    cut = suffixes.without_repeats(frame(spark, [(1, "x" + text), (2, "y" + text)], clash=False), 201).collect()
+    cut = suffixes.without_repeats(frame(spark, [(1, "x" + text), (2, "y" + text)], clash=False), 201, "gone").collect()
     assert {r.text for r in cut} <= {"x", "y"} and all(r.gone in (259, 260) for r in cut)

@@ -11,8 +11,10 @@ No group is expanded into all its pairs:
 
 * documents with equal shingle sets are one node;
 * under each key every node is compared with one centre, the node whose keys are the most frequent;
-* only pairs in different components that still share a key are left. A node's shingles that no other such node has
-  bound its similarity to all of them, and the pairs that the bound allows are compared in a second round.
+* what is left are pairs within a cluster of nodes that keys tie together, in different components so far. A node's
+  shingles that nobody else in the cluster has bound its similarity to all of them. Nodes outside the largest component
+  that the bound does not settle meet all others in blocks of BLOCK: a pair of blocks is one product of incidence
+  matrices, which counts common shingles exactly, and what leaves a task is one link for each node and component.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
 from tidewheel.llm.frames import narrow, text_groups
-from tidewheel.session import stage
+from tidewheel.session import discard, stage
 
 SYMBOLS = 64
 SYMBOL_BITS = 16
 DISTANCE = 25
 CHUNKS = 13
+#: Most nodes on one side of a comparison of blocks, and most shingles in one product of matrices.
+BLOCK, COLUMNS = 512, 4096
 #: Words of a shingle and the least similarity in hundredths.
 WIDTH, PERCENT = 5, 80
 
@@ -175,7 +179,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = stage(confirmed(star, sets, percent), "links")
     found = components(links)
 
-    more = stage(confirmed(uncovered(keys, found, sets, percent).join(star, ["a", "b"], "left_anti"), sets, percent), "links")
+    discard(keys)
+    more = stage(more_links(components(star), found, sets, percent), "links")
+    discard(sets)
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
@@ -185,31 +191,92 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def uncovered(keys: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that share a key, lie in different components, and may be similar enough.
+def more_links(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) between the components ``found`` within clusters; of the nodes of one component that a node is
+    linked to, the smallest stands for all."""
+    placed = clusters.withColumnRenamed("root", "cluster").join(found, "node", "left").select("node", "cluster", F.coalesce("root", "node").alias("group"))
+    counts = placed.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("m"))
+    largest = counts.groupBy("cluster").agg(F.max(F.struct("m", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups"))
+    placed = placed.join(largest.where("groups > 1").drop("groups"), "cluster")
 
-    Under a key only nodes outside its largest component are paired with the others there. What two nodes share lacks
-    the shingles that only one of all the nodes concerned has.
-    """
-    placed = keys.join(found, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("group"))
-    counts = placed.groupBy("key", "group").agg(F.count(F.lit(1)).alias("m"))
-    largest = counts.groupBy("key").agg(F.max(F.struct("m", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").drop("groups")
-    open_ = stage(placed.join(largest, "key"), "open-keys")
-
-    concerned = open_.select("node").distinct()
-    shingles = sets.join(concerned, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
-    alone = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node")).where("holders = 1")
+    held = stage(placed.join(sets, "node"), "open-clusters")
+    shingles = held.select("cluster", "node", F.explode("shingles").alias("shingle"))
+    alone = shingles.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node")).where("holders = 1")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    sized = open_.join(own, "node", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).where(F.col("common") * 100 >= F.col("n") * percent)
-    sized = stage(sized.select("key", "node", "n", "common", "group", "main"), "open-keys")
-    left = sized.where("group <> main").select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "common", "group")])
-    at_most = F.least("common", "_common")
-    possible = at_most * 100 >= (F.col("n") + F.col("_n") - at_most) * percent
-    sizes = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent
-    # a pair of two nodes outside the largest component comes from one side only
-    once = (F.col("group") == F.col("main")) | (F.col("node") > F.col("_node"))
-    return (
-        left.join(sized.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & (F.col("group") != F.col("_group")) & sizes & possible & once)
-        .select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
-        .distinct()
-    )
+    n = F.size("shingles")
+    able = held.join(own, "node", "left").where((n - F.coalesce("own", F.lit(0))) * 100 >= n * percent)
+    able = stage(able.select("cluster", "node", "group", (F.col("group") != F.col("main")).alias("outside"), "shingles"), "open-clusters")
+
+    sizes = able.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("k")).where("k > 0")
+    blocks = able.join(sizes, "cluster").withColumns({"_n": F.ceil(F.col("n") / BLOCK), "_k": F.ceil(F.col("k") / BLOCK)})
+    one, other = F.pmod(F.xxhash64("node"), F.col("_k")), F.pmod(F.xxhash64("node"), F.col("_n"))
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    left = blocks.where("outside").select("cluster", one.alias("i"), each("_n").alias("j"), F.lit(True).alias("outer"), "node", "group", "shingles")
+    right = blocks.select("cluster", each("_k").alias("i"), other.alias("j"), F.lit(False).alias("outer"), "node", "group", "shingles")
+    pairs = left.unionByName(right).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return pairs.mapInArrow(lambda batches: block_links(batches, percent), "a string, b string").distinct()
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set on the left shares with each on the right."""
+    names, code = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    cut = sum(map(len, left))
+    both = np.zeros(len(names), bool)
+    both[np.intersect1d(code[:cut], code[cut:])] = True
+    column = np.cumsum(both) - 1  # shingles on both sides, numbered
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    def side(sets: list[np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        kept = both[codes]
+        return row[kept], column[codes[kept]]
+
+    (a_row, a_col), (b_row, b_col) = side(left, code[:cut]), side(right, code[cut:])
+    for at in range(0, int(both.sum()), COLUMNS):
+        part = []
+        for n, row, col in ((len(left), a_row, a_col), (len(right), b_row, b_col)):
+            take = (col >= at) & (col < at + COLUMNS)
+            matrix = np.zeros((n, COLUMNS), np.float32)
+            matrix[row[take], col[take] - at] = 1
+            part.append(matrix)
+        out += part[0] @ part[1].T
+    return out.astype(np.int64)
+
+
+def block_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (cluster, i, j); each such group holds a block of nodes outside and one of all nodes."""
+
+    def links(rows: list[tuple]) -> list[tuple[str, str]]:
+        left, right = ([r for r in rows if r[3] is outer] for outer in (True, False))
+        if not left or not right:
+            return []
+        both = common_counts([r[6] for r in left], [r[6] for r in right])
+        n, m = (np.array([len(r[6]) for r in side])[:, None] for side in (left, right))
+        near = both * 100 >= percent * (n + m.T - both)
+        out: dict[tuple[str, str], str] = {}
+        for i, j in zip(*np.nonzero(near), strict=True):
+            (a, own), (b, group) = left[i][4:6], right[j][4:6]
+            if own != group:
+                out[a, group] = min(b, out.get((a, group), b))
+        return [(a, b) for (a, _), b in out.items()]
+
+    def batch_of(out: list[tuple[str, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.string()) for k in (0, 1)], ["a", "b"])
+
+    held: list[tuple] = []
+    for batch in batches:
+        lists = batch.column("shingles")
+        flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())
+        sets = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        out: list[tuple[str, str]] = []
+        for r in zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j", "outer", "node", "group")), sets, strict=True):
+            if held and held[0][:3] != r[:3]:
+                out += links(held)
+                held = []
+            held.append(r)
+        yield batch_of(out)
+    if held:
+        yield batch_of(links(held))
