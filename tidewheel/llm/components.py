@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.session import stage
+from tidewheel.session import discard, stage
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,19 +18,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     now = stage(now, "components")
-    seen = None
-    while True:
+    while not _only_stars(now):
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: neighbours above u hang from the smallest of u and its neighbours
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: u and its neighbours below hang from the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        next_ = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = stage(next_, "components")
-        # a graph of stars does not change any more
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = mark
+        hung = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        before, now = now, stage(hung.where("u <> v").distinct(), "components")
+        discard(before)
+    roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs from one root that hangs from nothing."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    seen = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return seen.where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty()
