@@ -16,15 +16,20 @@ from tidewheel.session import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents whose calibrated chance of being toxic is CUT or more; null and empty texts are scored as well."""
+    """Without documents whose calibrated chance of being toxic is CUT or more; null and empty texts are scored as well.
+    Where the labels lack a class, no document goes."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", ~toxicity.held_out())
+    if model.trees is None:
+        return docs
     score = free_name(docs, "score")
     return toxicity.with_score(docs, model, score).where(F.col(score) < CUT).drop(score)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents whose chance of being of good quality is below CUT."""
+    """Without documents whose chance of being of good quality is below CUT. Where the labels lack a class, none goes."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", ~quality.held_out())
+    if model.classes < 2:
+        return docs
     score = free_name(docs, "score")
     return quality.with_score(docs, model, score).where(F.col(score) >= CUT).drop(score)
 

@@ -37,8 +37,8 @@ def sketch(text: Column, width: int = WIDTH, one_in: int = ONE_IN) -> Column:
         return F.when(n >= width, many).otherwise(few)
 
     def low(hashes: Column) -> Column:
-        limit = F.lit(_LOWEST + (1 << 64) // one_in)
-        kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < limit)))
+        last = F.lit(_LOWEST + (1 << 64) // one_in - 1)
+        kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= last)))
         return F.when(F.size(kept) > 0, kept).otherwise(F.array(F.array_min(hashes)))
 
     # one-element arrays bind a value to a name, so that it is worked out once

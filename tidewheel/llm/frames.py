@@ -19,8 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most bytes that a batch of rows takes to Python where the session keeps Spark's default; a longer row comes alone.
+BATCH_BYTES = 8 << 20
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches of rows for Python are bounded by bytes, not by rows alone, as texts may be long."""
+    if spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the whole text (null: empty), whatever else ``docs`` holds."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

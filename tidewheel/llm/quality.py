@@ -67,6 +67,7 @@ class SubwordModel:
     vectors: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
+    classes: int = 2  # how many the model has seen; with fewer than two it cannot tell documents apart
 
     @classmethod
     def train(cls, docs: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> SubwordModel:
@@ -75,6 +76,7 @@ class SubwordModel:
         model = cls(rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32), np.zeros((dim, 2), np.float32), np.zeros(2, np.float32))
         share = (sum(y for _, _, y in docs) + 1) / (len(docs) + 2)
         model.bias += np.log([1 - share, share]).astype(np.float32)
+        model.classes = len({y for _, _, y in docs})
         docs = [(ids, (n / max(n.sum(), 1)).astype(np.float32), y) for ids, n, y in docs]
         steps, step = max(1, epochs * len(docs)), 0
         for _ in range(epochs):
