@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from tidewheel.llm.components import components
 from tidewheel.session import stage
 
-#: The reference points are at most this many vectors, chosen by a hash of their ids.
+#: The reference points are at most this many vectors, taken from four times as many that a hash picks. None is within
+#: APART of another, so a large group of copies does not supply them all: its vectors would order them by noise.
 PIVOTS = 256
+APART = 0.8
 NEAREST = 8
 SHARED = 4
 COSINE = 0.95
@@ -122,10 +124,19 @@ def verified(batches: Iterator[pa.RecordBatch], cosine: float, shared: int) -> I
         yield batch_of(links(held))
 
 
+def spread_out(units: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` of the vectors, each with a cosine below APART to those before it."""
+    chosen: list[np.ndarray] = []
+    for x in units:
+        if len(chosen) < most and (not chosen or (np.stack(chosen) @ x).max() < APART):
+            chosen.append(x)
+    return np.stack(chosen)
+
+
 def linked(classes: DataFrame, cosine: float, pivots: int, nearest: int, shared: int) -> DataFrame:
     """Links of ``classes`` (node, copies, vector), all of one size: ``node``, ``n`` and ``root`` for each node and list."""
-    sample = classes.orderBy(F.xxhash64("vector"), "node").limit(pivots).select("vector").collect()  # bounded by ``pivots``
-    reference = unit([r.vector for r in sample])
+    sample = classes.orderBy(F.xxhash64("vector"), "node").limit(4 * pivots).select("vector").collect()  # bounded by ``pivots``
+    reference = spread_out(unit([r.vector for r in sample]), pivots)
     nearest = min(nearest, len(reference))
     shared = min(shared, nearest)
     rows = stage(described(classes, reference, nearest), "pivots")
