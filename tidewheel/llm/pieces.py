@@ -4,8 +4,9 @@ White space is marked by U+2581, and no piece of the model goes on past the end
 (checked when the model is loaded). So a text is cut in front of every run of markers, each distinct chunk is
 segmented once by the library, and its ids are put back at every place where the chunk stands.
 
-The table lives in the task: joining every word of the corpus back over a shuffle would move several times the input,
-while a task segments a chunk anew only when it first meets it.
+The table lives in the Python worker: joining every word of the corpus back over a shuffle would move several times the
+input, while a worker segments a chunk anew only when it first meets it. Decoding goes the same way over the table of
+pieces; a text with pieces that stand for parts of characters is left to the library as a whole.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.frames import ChunkIds, ChunkTable, narrow, text_groups
+from tidewheel.llm.frames import ChunkIds, narrow, text_groups
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -37,12 +38,9 @@ class PieceModel:
             raise ValueError("pieces of this model cross white space markers")
         if self.model.encode(" a ") == self.model.encode("a"):
             raise ValueError("this model drops spaces, so chunks cannot be encoded on their own")
-        self.heads = np.array([name.startswith(MARK) for name in names])
-        self.lead = self.model.encode("a")
-        self.lead_text = self.model.decode(self.lead)
+        self._spell(names)
         self.lone = self.model.piece_to_id(MARK)
-        self.encoded = ChunkIds(self._encode)
-        self.decoded = ChunkTable(self._decode, 400_000)
+        self.encoded = ChunkIds(self._encode, 250_000)
 
     def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # the library puts the first marker back; it gives no ids for an empty text, so a lone marker is its own piece
@@ -50,26 +48,36 @@ class PieceModel:
         lists = [x or [self.lone] for x in lists]
         return np.concatenate(lists).astype(np.uint32), np.array([len(x) for x in lists])
 
-    def _decode(self, chunks: list[bytes]) -> list[str]:
-        """Text of id runs as it stands inside a text; behind a leading word, so that no space is taken off."""
-        cut = len(self.lead_text)
-        return [x[cut:] for x in self.model.decode([self.lead + np.frombuffer(c, np.int32).tolist() for c in chunks])]
+    def _spell(self, names: list[str]) -> None:
+        """The bytes of each piece, one piece after the other, and which pieces mean the same wherever they stand."""
+        spelt, plain = [], []
+        for i, name in enumerate(names):
+            one_byte = int(name[1:-1], 16) if self.model.is_byte(i) else None
+            plain.append(one_byte < 0x80 if one_byte is not None else not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)))
+            spelt.append(bytes([one_byte]) if one_byte is not None else name.replace(MARK, " ").encode())
+        self.plain = np.array(plain)
+        self.spelt = np.frombuffer(b"".join(spelt), np.uint8)
+        self.sizes = np.array([len(x) for x in spelt])
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where each text ends."""
         return self.encoded.gather([_CHUNK.findall(marked) for marked in self.model.normalize(texts)])
 
-    def decode(self, id_lists: list[np.ndarray]) -> Iterator[str]:
-        firsts, split = [], []
-        for ids in id_lists:
-            ids = np.ascontiguousarray(ids, np.int32)
-            cuts = np.flatnonzero(self.heads[ids[1:]]) + 1 if len(ids) else np.zeros(0, np.int64)
-            raw, ends = ids.tobytes(), [*(cuts * 4).tolist(), len(ids) * 4]
-            firsts.append(ids[: ends[0] // 4].tolist())
-            split.append([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)])
-        known = self.decoded.lookup(split).__getitem__
-        for first, chunks in zip(self.model.decode(firsts) if firsts else [], split, strict=True):
-            yield first + "".join(map(known, chunks))
+    def decode(self, flat: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of id lists that stand one after the other in ``flat``, each up to its end."""
+        sizes = self.sizes[flat]
+        reach = np.cumsum(sizes)
+        raw = self.spelt[np.repeat(self.starts[flat] - (reach - sizes), sizes) + np.arange(sizes.sum())].tobytes()
+        odd = np.concatenate([[0], np.cumsum(~self.plain[flat])])
+        cuts, out = np.concatenate([[0], reach]), []
+        for a, b in zip([0, *ends], ends, strict=False):
+            if odd[a] != odd[b]:
+                out.append(self.model.decode(flat[a:b].tolist()))
+            else:
+                text = raw[cuts[a] : cuts[b]].decode()
+                out.append(text[1:] if text[:1] == " " else text)  # the marker that encoding put in front
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -105,8 +113,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 part = batch.slice(at, 512)
                 lists = part.column("ids")
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
-                sizes = np.cumsum([0, *[n or 0 for n in lists.value_lengths().to_pylist()]])
-                texts = list(model.decode([flat[a:b] for a, b in zip(sizes, sizes[1:], strict=False)]))
+                texts = model.decode(flat, np.cumsum([n or 0 for n in lists.value_lengths().to_pylist()]))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
