@@ -4,18 +4,18 @@ A byte goes if a string of ``length`` bytes around it also starts anywhere else,
 
 1. *Positions.* Ranking every byte position would move many times the input, so suffixes are sorted from anchors only:
    positions whose hash of the next GRAM bytes is the least of some ``length - GRAM + 1`` neighbours. The least gram of a
-   string of ``length`` bytes depends on the string alone, so copies of a string have that anchor at the same place. A
-   document is a row of phrases, from each anchor to the end of the next anchor's gram.
-2. *Prefix doubling.* Phrases are ranked, then runs of 1, 2, 4, ... phrases: Spark brings equal pairs (rank of the run at
-   i, rank of the run that follows it) together, and the smallest position among them is the new rank. A run that is
-   unique is dropped; a run that reaches ``length`` bytes is a repeat for certain, and only its first copy goes on to speak
-   for its inside in step 3.
+   string of ``length`` bytes depends on the string alone, so copies of a string have that anchor at the same place.
+2. *Prefix doubling.* The first rank of an anchor is the name of the string up to the first anchor at least ``length / 4``
+   bytes on, that anchor's gram included. Then Spark brings equal pairs (rank at an anchor, rank at the anchor where that
+   string ends) together, and the smallest position among them is the new rank: the strings double. A string that is
+   unique is dropped; one of ``length`` bytes or more is a repeat for certain, and only its first copy goes on to speak
+   for its inside in step 3. Doubling ends past twice the length, so that the strings of neighbouring anchors overlap by it.
 3. *Edges.* A repeat may begin and end between anchors. Strings of ``length`` bytes are candidates where their least gram is
-   repeated and no certain repeat speaks for them. They are compared by 64-bit hashes, grouped by their least gram; a
-   group larger than SPREAD is split by the hash, so a hot passage is never one task's work.
+   repeated and no certain repeat speaks for them. They are grouped by their least gram (a 64-bit name) and compared by
+   48-bit hashes; a group larger than SPREAD is split by the hash, so a hot passage is never one task's work.
 
 Equal texts are worked on once. Documents are told apart by a 128-bit digest of their text, so neither null nor repeated
-doc_ids matter. Names are 64-bit hashes: with n different strings about n*n / 2**65 pairs are taken for equal by chance.
+doc_ids matter. Of n different strings that share a 64-bit name about n*n / 2**49 pairs are taken for equal by chance.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidewheel.llm.frames import narrow, text_groups
-from tidewheel.session import stage
+from tidewheel.llm.frames import free_name, narrow, text_groups
+from tidewheel.session import discard, stage
 
 LENGTH = 200
 GRAM = 32
@@ -60,9 +61,12 @@ def string_hashes(raw: np.ndarray, size: int) -> np.ndarray:
 
 
 def hashes_at(raw: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """The hashes of the strings at the given places, a tile at a time."""
-    cuts = np.searchsorted(starts, np.arange(0, len(raw) + TILE, TILE))
-    found = [string_hashes(raw[k * TILE : (k + 1) * TILE + size - 1], size)[starts[a:b] - k * TILE] for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+    """The hashes of the strings at the given places (ascending), a stretch of neighbouring places at a time."""
+    new = np.flatnonzero((np.diff(starts, prepend=-TILE) > 2 * size) | (np.diff(starts // TILE, prepend=-1) > 0))
+    found = []
+    for a, b in zip(new.tolist(), [*new[1:].tolist(), len(starts)], strict=True):
+        low = int(starts[a])
+        found.append(string_hashes(raw[low : int(starts[b - 1]) + size], size)[starts[a:b] - low])
     return np.concatenate(found)
 
 
@@ -97,12 +101,16 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(places), np.concatenate(names)
 
 
-def phrase_names(raw: np.ndarray, places: np.ndarray, gram: int) -> np.ndarray:
-    """Hashes of the phrases between neighbouring anchors, both grams included; they tell lengths apart as well."""
+def first_strings(raw: np.ndarray, places: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each anchor but the last ones: the number of the first anchor at least ``least`` bytes on, and the hash of the
+    string up to the end of that anchor's gram."""
     import xxhash
 
+    nexts = np.searchsorted(places, places + least)
+    nexts = nexts[nexts < len(places)]
     view = raw.tobytes()
-    return np.array([xxhash.xxh3_64_intdigest(view[a : b + gram]) for a, b in zip(places.tolist(), places[1:].tolist(), strict=False)], _U)
+    names = [xxhash.xxh3_64_intdigest(view[a : b + gram]) for a, b in zip(places.tolist(), places[nexts].tolist(), strict=False)]
+    return nexts, np.array(names, _U)
 
 
 def _gram(length: int) -> int:
@@ -110,28 +118,29 @@ def _gram(length: int) -> int:
 
 
 def anchored(docs: DataFrame, length: int) -> DataFrame:
-    """One row per distinct text of at least ``length`` bytes: its digest, copies, anchors, grams and phrases."""
+    """One row per distinct text of at least ``length`` bytes: its digest, copies, anchors, grams and first strings."""
     gram = _gram(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches):
             rows = [np.frombuffer(t.encode(), np.uint8) for t in texts]
             found = [anchors(r, length, gram) for r in rows]
-            phrases = [phrase_names(r, p, gram) for r, (p, _) in zip(rows, found, strict=True)]
+            strings = [first_strings(r, p, max(1, length // 4), gram) for r, (p, _) in zip(rows, found, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     pa.array([len(r) for r in rows], pa.int32()),
                     pa.array([p.astype(np.int32) for p, _ in found], pa.list_(pa.int32())),
                     pa.array([g.view(np.int64) for _, g in found], pa.list_(pa.int64())),
-                    pa.array([x.view(np.int64) for x in phrases], pa.list_(pa.int64())),
+                    pa.array([n.astype(np.int32) for n, _ in strings], pa.list_(pa.int32())),
+                    pa.array([x.view(np.int64) for _, x in strings], pa.list_(pa.int64())),
                 ],
-                ["key", "n_bytes", "places", "grams", "phrases"],
+                ["key", "n_bytes", "places", "grams", "nexts", "names"],
             )
 
     rows = keyed(docs).where(F.octet_length("text") >= length).select("key", "text")
-    found = rows.mapInArrow(run, "key binary, n_bytes int, places array<int>, grams array<long>, phrases array<long>")
-    one = found.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n_bytes", "places", "grams", "phrases")])
+    found = rows.mapInArrow(run, "key binary, n_bytes int, places array<int>, grams array<long>, nexts array<int>, names array<long>")
+    one = found.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("copies"), *[F.first(c).alias(c) for c in ("n_bytes", "places", "grams", "nexts", "names")])
     # numbers that stay what they are, as the table is written
     return stage(one.withColumn("doc", F.monotonically_increasing_id()), "anchors")
 
@@ -140,40 +149,42 @@ def keyed(docs: DataFrame) -> DataFrame:
     return narrow(docs).withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
 
 
-def ranked_runs(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Prefix doubling over anchors.
-
-    Returns the anchors whose grams are repeated (``doc``, ``i``, ``size`` of the group), and the runs that reach
-    ``length`` bytes and are repeated (``doc``, ``i``, ``last``: the run's last anchor, ``first``: whether no smaller
-    position has the same run).
-    """
-    gram = _gram(length)
-    spots = texts.select("doc", "copies", F.posexplode(F.arrays_zip("places", "grams", "phrases")).alias("i", "a"))
-    spots = spots.select("doc", "i", "copies", F.col("a.places").alias("place"), F.col("a.grams").alias("gram"), F.col("a.phrases").alias("phrase"))
+def repeated_grams(texts: DataFrame) -> DataFrame:
+    """``doc``, ``i`` and ``size`` of the anchors whose grams stand at ``size`` > 1 places."""
+    spots = texts.select("doc", "copies", F.posexplode("grams").alias("i", "gram"))
     sizes = spots.groupBy("gram").agg(F.sum("copies").alias("size")).where("size > 1")
-    alive = stage(spots.join(sizes, "gram").select("doc", "i", "place", "gram", "phrase", "size", "copies"), "repeated-grams")
+    return spots.select("doc", "i", "gram").join(sizes, "gram").select("doc", "i", "size")
 
-    # runs of one phrase; the smallest position of a group is the rank of all its members
-    ends = alive.select("doc", (F.col("i") - 1).alias("i"), F.col("place").alias("end"))
-    runs = alive.where("phrase is not null").join(ends, ["doc", "i"])
-    runs = runs.select("doc", "i", F.lit(1).alias("n"), "place", (F.col("end") + gram).alias("end"), F.col("phrase").alias("a"), F.lit(0).cast("long").alias("b"), "copies")
-    done = None
+
+def certain_repeats(texts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Prefix doubling over anchors: the strings between anchors that reach ``length`` bytes and are repeated, as ``doc``,
+    ``i`` and ``last`` (their first and last anchor) and ``first`` (whether no smaller position has the same string); and
+    the staged tables that they are read from."""
+    gram = _gram(length)
+    strings = texts.select("doc", "copies", "places", F.posexplode(F.arrays_zip("nexts", "names")).alias("i", "s"))
+    strings = strings.select(
+        "doc", "i", "copies", F.col("s.nexts").alias("last"), F.get("places", F.col("i")).alias("place"),
+        (F.get("places", F.col("s.nexts")) + gram).alias("end"), F.col("s.names").alias("a"), F.lit(0).cast("long").alias("b"),
+    )
+    done, staged = None, []
     while True:
-        seen = runs.groupBy("a", "b").agg(F.sum("copies").alias("holders"), F.min(F.struct("doc", "i")).alias("rank")).where("holders > 1")
-        kept = stage(runs.join(seen, ["a", "b"]).drop("a", "b", "holders"), "ranks")
-        long_enough = F.col("end") - F.col("place") >= length
-        whole = kept.where(long_enough).select("doc", "i", (F.col("i") + F.col("n")).alias("last"), ((F.col("rank.doc") == F.col("doc")) & (F.col("rank.i") == F.col("i"))).alias("first"))
+        ranks = strings.groupBy("a", "b").agg(F.sum("copies").alias("holders"), F.min(F.struct("doc", "i")).alias("rank")).where("holders > 1")
+        kept = stage(strings.join(ranks.drop("holders"), ["a", "b"]).drop("a", "b"), "ranks")
+        staged.append(kept)
+        span = F.col("end") - F.col("place")
+        first = (F.col("rank.doc") == F.col("doc")) & (F.col("rank.i") == F.col("i"))
+        whole = kept.where(span >= length).select("doc", "i", "last", first.alias("first"))
         done = whole if done is None else done.unionByName(whole)
-        short = kept.where(~long_enough)
+        short = kept.where(span < 2 * length)
         if short.isEmpty():
-            break
-        after = kept.select("doc", F.col("i").alias("_i"), F.col("n").alias("_n"), F.col("end").alias("_end"), F.xxhash64("rank.doc", "rank.i").alias("b"))
-        runs = (
-            short.select("doc", "i", "n", "place", "copies", F.xxhash64("rank.doc", "rank.i").alias("a"), (F.col("i") + F.col("n")).alias("_i"))
-            .join(after, ["doc", "_i"])
-            .select("doc", "i", (F.col("n") + F.col("_n")).alias("n"), "place", F.col("_end").alias("end"), "a", "b", "copies")
+            return done, staged
+        name = F.xxhash64("rank.doc", "rank.i")
+        after = kept.select("doc", F.col("i").alias("last"), F.col("last").alias("_last"), F.col("end").alias("_end"), name.alias("b"))
+        strings = (
+            short.select("doc", "i", "copies", "last", "place", name.alias("a"))
+            .join(after, ["doc", "last"])
+            .select("doc", "i", "copies", F.col("_last").alias("last"), "place", F.col("_end").alias("end"), "a", "b")
         )
-    return alive.select("doc", "i", "size"), done
 
 
 def candidate_starts(n_bytes: int, places: np.ndarray, names: np.ndarray, sizes: np.ndarray, runs: list[tuple[int, int]], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,23 +194,53 @@ def candidate_starts(n_bytes: int, places: np.ndarray, names: np.ndarray, sizes:
     strings that need no candidate, as an earlier copy speaks for them. Copies are ordered by document and place, so of
     equal strings the first one always has a candidate or an earlier copy in no run.
     """
-    starts = np.arange(n_bytes - length + 1)
-    first = np.searchsorted(places, starts)  # the first anchor not before the start
-    beyond = np.searchsorted(places, starts + length - gram, side="right")
-    # the anchors inside change at few starts
-    edges = np.flatnonzero((np.diff(first, prepend=-1) != 0) | (np.diff(beyond, prepend=-1) != 0))
-    pairs = np.stack([first[edges], beyond[edges]], axis=1).ravel()
-    least = np.minimum.reduceat(np.append(names, np.iinfo(np.uint64).max), pairs)[::2]
+    n = n_bytes - length + 1
+    # the anchors inside a string change at few starts
+    edges = np.unique(np.concatenate([[0], places + 1, places - (length - gram)]))
+    edges = edges[(edges >= 0) & (edges < n)]
+    first = np.searchsorted(places, edges)  # the first anchor not before the start
+    beyond = np.searchsorted(places, edges + length - gram, side="right")
+    least = np.minimum.reduceat(np.append(names, np.iinfo(np.uint64).max), np.stack([first, beyond], axis=1).ravel())[::2]
     by_name = np.argsort(names, kind="stable")
-    anchor = np.repeat(by_name[np.searchsorted(names, least, sorter=by_name)], np.diff(np.append(edges, len(starts))))
-    ok = sizes[anchor] > 0
+    anchor = by_name[np.searchsorted(names, least, sorter=by_name)]
+    ends = np.append(edges[1:], n)
+    hit = np.flatnonzero(sizes[anchor] > 0)
+    if not len(hit):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    starts = np.concatenate([np.arange(edges[k], ends[k]) for k in hit.tolist()])
+    anchor = np.repeat(anchor[hit], ends[hit] - edges[hit])
     if runs:
-        step = np.zeros(n_bytes + 1, np.int64)
+        step = np.zeros(n_bytes + 1, np.int32)
         for a, b in runs:
             step[places[a]] += 1
             step[max(places[a], places[b] + gram - length) + 1] -= 1
-        ok &= np.cumsum(step)[: len(starts)] == 0
-    return starts[ok], anchor[ok]
+        free = np.cumsum(step)[starts] == 0
+        starts, anchor = starts[free], anchor[free]
+    return starts, anchor
+
+
+#: Bytes of a string's hash that are sent.
+_KEPT = 6
+
+
+def _packed(hashes: np.ndarray) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEPT].tobytes()
+
+
+def _unpacked(rows: list[tuple]) -> np.ndarray:
+    """The hashes of all rows, told apart by the rows' buckets as well."""
+    sizes = [len(r[4]) // _KEPT for r in rows]
+    wide = np.zeros((sum(sizes), 8), np.uint8)
+    wide[:, :_KEPT] = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, _KEPT)
+    names = np.repeat(np.array([r[1] for r in rows], np.int64).view(_U), sizes)
+    return wide.view("<u8").ravel() ^ _mix(names)
+
+
+def _slices(column: pa.Array):
+    """The lists of an Arrow list column as numpy arrays, by row; a null list is empty."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return lambda i: flat[(ends[i - 1] if i else 0) : ends[i]]
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -207,38 +248,44 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     neither touching nor overlapping)."""
     gram = _gram(length)
     texts = anchored(docs, length)
-    alive, runs = ranked_runs(texts, length)
-    marks = alive.groupBy("doc").agg(F.collect_list(F.struct("i", "size")).alias("marks"))
-    whole = runs.groupBy("doc").agg(F.collect_list(F.struct("i", "last", "first")).alias("runs"))
-    known = stage(texts.select("doc", "key", "n_bytes", "copies", "places", "grams").join(marks, "doc").join(whole, "doc", "left"), "known-runs")
+    marks = repeated_grams(texts).groupBy("doc").agg(F.collect_list(F.struct("i", "size")).alias("marks"))
+    certain, ranks = certain_repeats(texts, length)
+    runs = certain.groupBy("doc").agg(F.collect_list(F.struct("i", "last", "first")).alias("runs"))
+    known = texts.select("doc", "key", "n_bytes", "copies", "places", "grams").join(marks, "doc").join(runs, "doc", "left")
+    arrays = {"marked": "marks.i", "sizes": "marks.size", "runs_from": "runs.i", "runs_to": "runs.last", "runs_first": "runs.first"}
+    known = stage(known.select("doc", "key", "n_bytes", "copies", "places", "grams", *[F.col(c).alias(n) for n, c in arrays.items()]), "known-runs")
+    discard(texts, *ranks)
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, group in text_groups(batches):
             out = []
-            for row, text in zip(batch.select(["doc", "places", "grams", "marks", "runs"]).to_pylist(), group, strict=True):
-                raw, places = np.frombuffer(text.encode(), np.uint8), np.array(row["places"])
-                names, size = np.array(row["grams"]).view(_U), np.zeros(len(places), np.int64)
-                for m in row["marks"]:
-                    size[m["i"]] = m["size"]
-                others = [(r["i"], r["last"]) for r in row["runs"] or [] if not r["first"]]
-                starts, first = candidate_starts(len(raw), places, names, size, others, length, gram)
+            lists = {c: _slices(batch.column(c)) for c in ("places", "grams", *arrays)}
+            for k, (doc, text) in enumerate(zip(batch.column("doc").to_pylist(), group, strict=True)):
+                row = {c: of(k) for c, of in lists.items()}
+                raw, places, grams = np.frombuffer(text.encode(), np.uint8), row["places"].astype(np.int64), row["grams"]
+                size = np.zeros(len(places), np.int64)
+                size[row["marked"]] = row["sizes"]
+                others = ~row["runs_first"].astype(bool)
+                spoken = list(zip(row["runs_from"][others].tolist(), row["runs_to"][others].tolist(), strict=True))
+                starts, first = candidate_starts(len(raw), places, grams.view(_U), size, spoken, length, gram)
                 if not len(starts):
                     continue
                 hashes = hashes_at(raw, starts, length)
-                edges = np.flatnonzero(np.diff(first, prepend=-1, append=-1)).tolist()
+                new = (np.diff(first, prepend=-1) != 0) | (np.diff(starts, prepend=-2) != 1)
+                edges = [*np.flatnonzero(new).tolist(), len(starts)]
                 for a, b in zip(edges, edges[1:], strict=False):
                     anchor = first[a]
                     parts = int(-(-size[anchor] // SPREAD))
                     if parts == 1:
-                        out.append((row["doc"], row["grams"][anchor], starts[a:b].astype("<i4").tobytes(), hashes[a:b].tobytes()))
+                        out.append((doc, int(grams[anchor]), int(starts[a]), None, _packed(hashes[a:b])))  # one start after the other
                         continue
                     lot = hashes[a:b] % _U(parts)
                     for part in np.unique(lot):
                         take = np.flatnonzero(lot == part) + a
-                        out.append((row["doc"], row["grams"][anchor] ^ (int(part) << 20), starts[take].astype("<i4").tobytes(), hashes[take].tobytes()))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "bucket", "starts", "hashes"])
+                        out.append((doc, int(grams[anchor]) ^ (int(part) << 20), None, starts[take].astype("<i4").tobytes(), _packed(hashes[take])))
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "bucket", "start", "starts", "hashes"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by bucket. Equal strings share a bucket, so all complete buckets are compared at once."""
@@ -246,23 +293,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         def settle(rows: list[tuple]) -> pa.RecordBatch:
             out = []
             if rows:
-                all_hashes = np.frombuffer(b"".join(r[3] for r in rows), _U)
+                all_hashes = _unpacked(rows)
                 order = np.argsort(all_hashes, kind="stable")
                 same = all_hashes[order[1:]] == all_hashes[order[:-1]]
                 twice = np.zeros(len(order), bool)
                 twice[order[1:][same]] = twice[order[:-1][same]] = True
                 at = 0
-                for doc, _, starts, hashes in rows:
-                    n = len(hashes) // 8
+                for doc, _, start, starts, hashes in rows:
+                    n = len(hashes) // _KEPT
                     if twice[at : at + n].any():
-                        hit = np.frombuffer(starts, "<i4")[twice[at : at + n]]
+                        hit = np.flatnonzero(twice[at : at + n])
+                        hit = np.frombuffer(starts, "<i4")[hit] if start is None else hit + start
                         out.append((doc, merged(hit, hit + length).ravel()))
                     at += n
             return pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([s for _, s in out], pa.list_(pa.int32()))], ["doc", "spans"])
 
         held: list[tuple] = []
         for batch in batches:
-            held += zip(*(batch.column(c).to_pylist() for c in ("doc", "bucket", "starts", "hashes")), strict=True)
+            held += zip(*(batch.column(c).to_pylist() for c in ("doc", "bucket", "start", "starts", "hashes")), strict=True)
             ready = next((k for k in range(len(held), 0, -1) if held[k - 1][1] != held[-1][1]), 0)
             if ready:
                 yield settle(held[:ready])
@@ -271,7 +319,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # copies are combined before the shuffle
     one_each = keyed(docs).where(F.octet_length("text") >= length).groupBy("key").agg(F.first("text").alias("text")).join(known, "key")
-    found = one_each.select("doc", "places", "grams", "marks", "runs", "text").mapInArrow(strings, "doc long, bucket long, starts binary, hashes binary")
+    found = one_each.select("doc", "places", "grams", *arrays, "text").mapInArrow(strings, "doc long, bucket long, start int, starts binary, hashes binary")
     parts = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "doc long, spans array<int>")
 
     @F.pandas_udf("array<int>")
@@ -282,11 +330,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         return lists.map(one)
 
-    certain = known.where("runs is not null").select("doc", F.expr("transform(runs, r -> array(places[r.i], places[r.last] + %d))" % gram).alias("s")).select("doc", F.flatten("s").alias("spans"))
+    inside = known.where("runs_from is not null").select("doc", F.zip_with("runs_from", "runs_to", lambda a, b: F.array(F.get("places", a), F.get("places", b) + gram)).alias("s")).select("doc", F.flatten("s").alias("spans"))
     copied = known.where("copies > 1").select("doc", F.expr("array(0, n_bytes)").alias("spans"))
-    every = parts.unionByName(certain).unionByName(copied)
+    every = parts.unionByName(inside).unionByName(copied)
     by_doc = every.groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans")).select("doc", joined("spans").alias("spans"))
-    return stage(by_doc.join(known.select("doc", "key"), "doc").select("key", "spans"), "repeated-spans")
+    spans = stage(by_doc.join(known.select("doc", "key"), "doc").select("key", "spans"), "repeated-spans")
+    discard(known)
+    return spans
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -298,6 +348,33 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], reach[last]], axis=1)
 
 
+def _rest(raw: bytes, flat: list[int] | None) -> bytes:
+    edges = [0, *(flat or []), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, removed_col: str = "n_removed") -> DataFrame:
+    """``docs`` with all its columns, repeats cut out of ``text``, and the number of removed bytes under ``removed_col``
+    (which must be free). A character that loses some of its bytes goes as a whole; a null text stays null."""
+    key, found = free_name(docs, "_key"), free_name(docs, "_spans")
+    spans = repeated_spans(docs, length).select(F.col("key").alias(key), F.col("spans").alias(found))
+    marked = docs.withColumn(key, F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))).join(spans, key, "left")
+    names = [*docs.columns, removed_col]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_groups(batches):
+            raws = [(t or "").encode() for t in texts]
+            rests = [_rest(r, f) for r, f in zip(raws, batch.column(found).to_pylist(), strict=True)]
+            removed = [len(r) - len(x) for r, x in zip(raws, rests, strict=True)]
+            new = {
+                "text": pa.array([x.decode("utf-8", "ignore") if n else t for t, x, n in zip(texts, rests, removed, strict=True)], pa.string()),
+                removed_col: pa.array(removed, pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names)
+
+    return marked.select(*docs.columns, found).mapInArrow(cut, StructType([*docs.schema, StructField(removed_col, LongType())]))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, ``spans`` (removed [from, to) byte pairs, flattened) and ``kept``, the bytes
     that remain.
@@ -313,8 +390,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             kept, sizes = [], []
             for text, flat in zip(texts, batch.column("spans").to_pylist(), strict=True):
                 raw = text.encode()
-                edges = [0, *(flat or []), len(raw)]
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                kept.append(_rest(raw, flat))
                 sizes.append(len(raw))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), batch.column("spans"), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
