@@ -78,10 +78,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return narrow(docs).withColumn("key", F.md5(F.col("text").cast("binary")))
 
 
-def _same(a: DataFrame, b: DataFrame, other: str = "doc_id", other_key: str = "key") -> Column:
-    return a["doc_id"].eqNullSafe(b[other]) & (a["key"] == b[other_key])
-
-
 def with_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, in which the last half (rounded down, in code points) is
     replaced by as many first code points of the next document by descending doc_id, or by all of them; after the last
@@ -93,32 +89,27 @@ def with_edits(docs: DataFrame) -> DataFrame:
 
     Texts are shuffled once, by doc_id and digest, and the heads of texts once more; the order is found on ids alone.
     """
-    sketches = stage(fingerprints(docs), "sketches").groupBy("doc_id", "key").agg(F.first("n_chars").alias("n_chars"), F.first("sketch").alias("sketch"))
-    sketches = stage(sketches, "sketches")
-    order = row_index(sketches.select("doc_id", "key", "n_chars"), [F.col("doc_id").desc_nulls_last(), "key"], "place", spread_copies=False)
-    nexts = order.select(F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), F.col("place").alias("_place"))
+    # a document is a pair of id and digest, in which null ids are equal
+    document = F.struct("doc_id", "key")
+    own = fingerprints(docs).select(document.alias("d"), "n_chars", "sketch").groupBy("d").agg(F.first("n_chars").alias("n_chars"), F.first("sketch").alias("sketch"))
+    own = stage(own, "sketches")
+    order = row_index(own.select("d", "n_chars"), [F.col("d.doc_id").desc_nulls_last(), "d.key"], "place", spread_copies=False)
+    nexts = order.select(F.col("d").alias("next"), F.col("place").alias("_place"))
     pairs = order.join(nexts, (F.col("place") + 1) % F.col("place_n") == F.col("_place"))
-    pairs = stage(pairs.select("doc_id", "key", "next_id", "next_key", F.floor(F.col("n_chars") / 2).cast("int").alias("half")), "nexts")
-
-    texts = keyed(docs)
-    heads = texts.select(F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), "text")
-    heads = (
-        pairs.join(heads, pairs["next_id"].eqNullSafe(heads["next_id"]) & (pairs["next_key"] == heads["next_key"]))
-        .select("doc_id", "key", "half", F.left("text", F.col("half")).alias("head"))
-        .groupBy("doc_id", "key")
-        .agg(F.first("half").alias("half"), F.first("head").alias("head"))
-    )
-    edited = texts.join(heads, _same(texts, heads)).select(
-        texts["doc_id"], texts["key"], F.concat(F.left("text", F.char_length("text") - F.col("half")), F.col("head")).alias("edited")
-    )
-    edited = edited.select("doc_id", "key", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), sketch(F.col("edited")).alias("edited_sketch"))
-
-    own = sketches.select("doc_id", "key", "n_chars", "sketch")
-    following = sketches.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("sketch").alias("next_sketch"))
-    known = pairs.join(following, pairs["next_id"].eqNullSafe(following["_id"]) & (pairs["next_key"] == following["_key"])).select("doc_id", "key", "next_sketch")
-    known = own.join(known, _same(own, known)).select(own["doc_id"], own["key"], "n_chars", "sketch", likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
-    return edited.join(known, _same(edited, known)).select(
-        edited["doc_id"],
+    pairs = stage(pairs.select("d", "next", F.floor(F.col("n_chars") / 2).cast("int").alias("half")), "nexts")
+
+    # both joins read the one shuffle of texts
+    texts = keyed(docs).select(document.alias("d"), "text")
+    asked = pairs.select(F.col("next").alias("d"), F.col("d").alias("target"), "half")
+    heads = texts.join(asked, "d").select("target", "half", F.left("text", F.col("half")).alias("head"))
+    heads = heads.groupBy(F.col("target").alias("d")).agg(F.first("half").alias("half"), F.first("head").alias("head"))
+    edited = texts.join(heads, "d").select("d", F.concat(F.left("text", F.char_length("text") - F.col("half")), F.col("head")).alias("edited"))
+    edited = stage(edited.select("d", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), sketch(F.col("edited")).alias("edited_sketch")), "edited")
+
+    following = own.select(F.col("d").alias("next"), F.col("sketch").alias("next_sketch"))
+    known = own.join(pairs.select("d", "next"), "d").join(following, "next").select("d", "n_chars", "sketch", likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+    return edited.join(known, "d").select(
+        "d.doc_id",
         "n_chars",
         "edited_sha256",
         text_of(F.col("sketch")).alias("fingerprint"),
