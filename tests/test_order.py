@@ -63,8 +63,8 @@ def test_rows_move_once_after_the_range_shuffle(spark):
     try:
         df = spark.createDataFrame(skewed()).withColumn("i", F.monotonically_increasing_id())
         plan = order.running_totals(df, ["k"], ["i"], {"s": "x"})._jdf.queryExecution().executedPlan().toString()
-        # rows once, and the sums of each partition and key
-        assert len(re.findall(r"Exchange hashpartitioning\(_part", plan.split("Initial Plan")[-1])) == 2
+        # rows once (for the window, which serves the join), the sums of each partition and key, and their offsets
+        assert len(re.findall(r"Exchange hashpartitioning\(_part", plan.split("Initial Plan")[-1])) == 3
         wide = order.running_by_keys(df, ["i"], {"all": [], "k": ["k"], "kt": ["k", "t"]}, {"n": F.lit(1).cast("long")})
         plan = wide._jdf.queryExecution().executedPlan().toString()
         assert plan.split("Initial Plan")[-1].count("REPARTITION_BY_COL") == 1
