@@ -18,7 +18,7 @@ BITS = 16
 DIM = 12
 GRAMS = (3, 5)
 #: The classifier is fitted on at most this many labelled documents, chosen by a hash of their ids.
-FIT_ROWS = 4000
+FIT_ROWS = 2000
 EPOCHS = 12
 RATE = 0.5
 
@@ -71,13 +71,14 @@ class SubwordModel:
 
     @classmethod
     def train(cls, docs: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> SubwordModel:
-        """``docs``: distinct features, their counts, and the class (0 or 1) of each document."""
+        """``docs``: distinct features, their counts (or, as 32-bit floats, their parts of the document), and the class (0 or
+        1) of each document."""
         rng = np.random.default_rng(seed)
         model = cls(rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32), np.zeros((dim, 2), np.float32), np.zeros(2, np.float32))
         share = (sum(y for _, _, y in docs) + 1) / (len(docs) + 2)
         model.bias += np.log([1 - share, share]).astype(np.float32)
         model.classes = len({y for _, _, y in docs})
-        docs = [(ids, (n / max(n.sum(), 1)).astype(np.float32), y) for ids, n, y in docs]
+        docs = [(ids, n if n.dtype == np.float32 else (n / max(n.sum(), 1)).astype(np.float32), y) for ids, n, y in docs]
         steps, step = max(1, epochs * len(docs)), 0
         for _ in range(epochs):
             for at in rng.permutation(len(docs)):
@@ -115,24 +116,25 @@ def chosen_labels(labels: DataFrame, label_col: str, usable: Column, rows: int)
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", usable: Column | None = None, rows: int = FIT_ROWS, bits: int = BITS) -> SubwordModel:
     """Fit on at most ``rows`` labelled documents for which ``usable`` (a condition on doc_id) holds.
 
-    Only their distinct hashed features come to the driver, at most 2**bits a document. Of rows with one doc_id the
-    one with the smallest features counts. Without labelled documents the model says 0.5 for every text.
+    Only their distinct hashed features and the parts they hold come to the driver, at most 2**bits a document and six
+    bytes each. Of rows with one doc_id the one with the smallest features counts. Without labelled documents the model says 0.5 for every text.
     """
     picked = chosen_labels(labels, label_col, F.lit(True) if usable is None else usable, rows)
+    kind = "<u2" if bits <= 16 else "<u4"
     # proven bound: at most ``rows`` ids
     texts = narrow(docs).join(F.broadcast(picked), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, group in text_groups(batches):
-            found = [np.unique(x, return_counts=True) for x in hashed_features(group, bits)]
+            found = [(a, (n / max(n.sum(), 1)).astype("<f4")) for a, n in (np.unique(x, return_counts=True) for x in hashed_features(group, bits))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([a.astype("<u4").tobytes() for a, _ in found], pa.binary()), pa.array([b.astype("<u4").tobytes() for _, b in found], pa.binary())],
+                [batch.column("doc_id"), batch.column("label"), pa.array([a.astype(kind).tobytes() for a, _ in found], pa.binary()), pa.array([b.tobytes() for _, b in found], pa.binary())],
                 ["doc_id", "label", "ids", "n"],
             )
 
     features = texts.mapInArrow(run, "doc_id long, label int, ids binary, n binary")
     one = features.groupBy("doc_id").agg(F.min(F.struct("ids", "n", "label")).alias("x")).select("doc_id", "x.*").orderBy("doc_id")
-    return SubwordModel.train([(np.frombuffer(r.ids, "<u4"), np.frombuffer(r.n, "<u4"), r.label) for r in one.collect()], bits)
+    return SubwordModel.train([(np.frombuffer(r.ids, kind), np.frombuffer(r.n, "<f4"), r.label) for r in one.collect()], bits)
 
 
 def score(docs: DataFrame, model: SubwordModel) -> DataFrame:
