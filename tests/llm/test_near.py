@@ -205,3 +205,13 @@ def test_links_outside_the_centre_are_found_in_blocks(spark, monkeypatch):
     group = roots(range(len(rows)), links)
     found = {r.doc_id: r.component_id for r in hamming.near_duplicates(frame(spark, rows), 3, 85).collect()}
     assert found == {d: rows[group[i]][0] for i, (d, _) in enumerate(rows)}
+
+
+def test_near_copies_without_an_id(spark):
+    """Sets that stand only in rows without an id, and many texts under one id."""
+    rng = random.Random(31)
+    one, two = prose(rng, 150), prose(rng, 150)
+    rows = [(1, one), (None, edited(rng, one, 2)), (None, two), (None, edited(rng, two, 2)), (7, prose(rng, 150)), (7, edited(rng, two, 3)), (7, prose(rng, 150))]
+    found = hamming.near_duplicates(frame(spark, rows).repartition(2))
+    want = [("1", "1", True), ("None", "1", False), ("None", "7", False), ("None", "7", False), ("7", "7", True), ("7", "7", True), ("7", "7", True)]
+    assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in found.collect()) == sorted(want)

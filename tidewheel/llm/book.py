@@ -70,7 +70,7 @@ def op7_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_hamming_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hamming.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("digest", "first")
 
 
 @query

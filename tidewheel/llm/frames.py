@@ -44,6 +44,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_digest(column: str = "text") -> Column:
+    """128 bits that tell texts apart; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary")))
+
+
 def id_crc(column: str = "doc_id") -> Column:
     """crc32 of the id written as text; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
-from tidewheel.llm.frames import narrow, text_groups
+from tidewheel.llm.frames import narrow, text_digest, text_groups
 from tidewheel.session import discard, stage
 
 SYMBOLS = 64
@@ -101,20 +101,24 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (_mix(least) >> _U(64 - SYMBOL_BITS)).astype(np.int32)
 
 
+def digested(docs: DataFrame) -> DataFrame:
+    return narrow(docs).withColumn("digest", text_digest("text"))
+
+
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, ``node`` (a 128-bit digest of the shingle set, null for an empty one)
-    and ``sig``."""
+    """Per row of ``docs``: doc_id, ``digest`` (of its text), n_shingles, ``node`` (a 128-bit digest of the shingle set,
+    null for an empty one) and ``sig``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches):
             sets = [shingle_set(t, width) for t in texts]
             nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(nodes, pa.string()), pa.array([signature(s) for s in sets], pa.list_(pa.int32()))],
-                ["doc_id", "n_shingles", "node", "sig"],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(list(map(len, sets)), pa.int64()), pa.array(nodes, pa.string()), pa.array([signature(s) for s in sets], pa.list_(pa.int32()))],
+                ["doc_id", "digest", "n_shingles", "node", "sig"],
             )
 
-    return narrow(docs).mapInArrow(run, "doc_id long, n_shingles long, node string, sig array<int>")
+    return digested(docs).mapInArrow(run, "doc_id long, digest binary, n_shingles long, node string, sig array<int>")
 
 
 def chunk_keys(sig: str = "sig", symbols: int = SYMBOLS, distance: int = DISTANCE, chunks: int = CHUNKS) -> Column:
@@ -129,16 +133,14 @@ def chunk_keys(sig: str = "sig", symbols: int = SYMBOLS, distance: int = DISTANC
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node`` and ``shingles`` (sorted hashes) of the given nodes; ``nodes`` has the doc_id to take each from."""
-    texts = narrow(docs).join(nodes, "doc_id")
+    """``node`` and ``shingles`` (sorted hashes) of the given nodes; ``nodes`` has the digest of a text of each."""
+    # copies are combined before the shuffle
+    texts = digested(docs).groupBy("digest").agg(F.first("text").alias("text")).join(nodes, "digest").select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, group in text_groups(batches):
-            sets = [shingle_set(t, width) for t in group]
-            real = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in sets]
-            # rows that share a doc_id may have other texts
-            right = [i for i, (a, b) in enumerate(zip(real, batch.column("node").to_pylist(), strict=True)) if a == b]
-            yield pa.RecordBatch.from_arrays([pa.array([real[i] for i in right], pa.string()), pa.array([sets[i].view(np.int64) for i in right], pa.list_(pa.int64()))], ["node", "shingles"])
+            sets = [shingle_set(t, width).view(np.int64) for t in group]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     return texts.mapInArrow(run, "node string, shingles array<long>")
 
@@ -153,15 +155,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included)
-    and kept (doc_id = component_id).
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included),
+    kept (doc_id = component_id), ``digest`` (of the text) and ``first`` (whether no other doc_id and digest in the
+    component comes before the row's). Without shingles a row is the first of its own.
 
     Rows with equal shingle sets belong together; a row without shingles (null, empty or blank text) stands alone.
     A null doc_id counts after all others in a component and is kept where nothing else is there. Rows that share a
     doc_id are rows like any other, and kept together. Other columns are ignored; an empty table gives no rows.
     """
     rows = stage(signatures(docs, width), "signatures")
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("digest").alias("digest"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     keys = nodes.select("node", "n", F.explode(chunk_keys()).alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     keys = stage(keys.join(shared, "key"), "signature-keys")
@@ -174,8 +177,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     star = stage(star, "star-pairs")
 
     # the texts of nodes that share a key are read once more
-    wanted = keys.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    sets = stage(shingle_sets(docs, wanted, width).dropDuplicates(["node"]), "shingle-sets")
+    wanted = keys.select("node").distinct().join(nodes.select("node", "digest"), "node")
+    sets = stage(shingle_sets(docs, wanted, width), "shingle-sets")
     links = stage(confirmed(star, sets, percent), "links")
     found = components(links)
 
@@ -186,9 +189,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         found = components(links.unionByName(more))
 
     members = rows.join(found, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    least = members.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("least"))
-    out = members.join(least, "group", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    least = members.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(place).alias("least"))
+    out = members.join(least, "group", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = F.col("node").isNull() | (kept & (F.col("digest") == F.col("least.digest")))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "digest", F.coalesce(first, F.lit(False)).alias("first"))
 
 
 def more_links(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
