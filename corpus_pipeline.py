@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm import hamming, packing, quality, suffixes, toxicity
 from tidewheel.llm.book import CUT, WORDS
-from tidewheel.llm.frames import free_name, table
+from tidewheel.llm.frames import free_name, table, text_digest
 from tidewheel.session import stage
 
 
@@ -35,15 +35,21 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one with the smallest id.
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one with the smallest id,
+    a null id after all others, and of texts under that id the one with the smallest digest.
 
-    Documents without words are in no group. Of rows that share a doc_id and a text one stays.
+    Documents without words are in no group and stay. Of rows of a group that share a doc_id and a text one stays. Rows
+    are told apart by doc_id and text, so what is decided for one row says nothing about others under its id.
     """
-    gone = hamming.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again"))
-    same = left["doc_id"].eqNullSafe(again["_again"])
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    key = free_name(docs, "_digest")
+    rows = hamming.near_duplicates(docs).where("n_shingles > 0").groupBy("doc_id", "digest")
+    decided = rows.agg(F.first("first").alias("_first"), F.count(F.lit(1)).alias("_rows")).where("not _first or _rows > 1")
+    decided = stage(decided.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_text"), "_first"), "near-decisions")
+    marked = docs.withColumn(key, text_digest("text"))
+    same = marked["doc_id"].eqNullSafe(decided["_id"]) & (marked[key] == decided["_text"])
+    once = marked.join(decided, same, "left_anti")
+    again = marked.join(decided.where("_first"), same, "left_semi").dropDuplicates(["doc_id", key])
+    return once.unionByName(again).drop(key)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,23 @@ def test_one_of_repeated_rows_stays(spark, tmp_path):
     docs = spark.createDataFrame([(1, text, "en", "s", 1, "z")] * 3 + [(None, text, "en", "s", 1, "z"), (2, None, "en", "s", 0, "z")], DOC + ", _n string")
     out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
     assert sorted((str(r.doc_id), r.text is None) for r in out.collect()) == [("1", False), ("2", True)]
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    rng = random.Random(5)
+    one, two, three, four, five = (prose(rng, 80) for _ in range(5))
+    rows = [(1, one), (None, one), (None, two), (None, None), (None, ""), (4, three), (5, three), (5, four)]
+    rows += [(None, five), (None, five), (None, five.upper())]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], DOC).repartition(3)
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    # a unique row without an id, rows without words and a unique text under a shared id stay
+    want = [(1, one), (None, two), (None, None), (None, ""), (4, three), (5, four)]
+    assert sorted(map(str, [x for x in out if (x[1] or "").lower() != five])) == sorted(map(str, want))
+    assert len(out) == len(want) + 1
+
+
+def test_messy_rows_lose_only_copies(spark):
+    rows = messy_rows()
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], DOC)
+    out = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert (None, None) in out and (5, "you IDIOT!!! " * 4) in out and (None, rows[3][1]) not in out and (5, rows[5][1]) not in out
