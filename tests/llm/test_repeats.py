@@ -75,3 +75,23 @@ def test_all_columns_and_whole_characters(spark, docs, no_docs, messy):
     text = "é" * 130
     cut = suffixes.without_repeats(frame(spark, [(1, "x" + text), (2, "y" + text)], clash=False), 201, "gone").collect()
     assert {r.text for r in cut} <= {"x", "y"} and all(r.gone in (259, 260) for r in cut)
+
+
+def test_copies_of_a_hot_passage_never_meet_in_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "SPREAD", 5)
+    rng = random.Random(12)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+
+    passage, real = noise(26), suffixes._unpacked
+    rows = [(d, noise(30) + passage + noise(30)) for d in range(90)] + [(200, noise(30) + passage[:22])]
+
+    def watched(held):
+        buckets = [r[1] for r in held]
+        assert max(map(buckets.count, buckets)) <= 45
+        return real(held)
+
+    monkeypatch.setattr(suffixes, "_unpacked", watched)
+    found = suffixes.remove_repeats(frame(spark, rows).repartition(3), 20).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, list(r.spans), bytes(r.kept)) for r in found) == brute(rows, 20)

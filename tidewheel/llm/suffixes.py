@@ -12,7 +12,9 @@ A byte goes if a string of ``length`` bytes around it also starts anywhere else,
    for its inside in step 3. Doubling ends past twice the length, so that the strings of neighbouring anchors overlap by it.
 3. *Edges.* A repeat may begin and end between anchors. Strings of ``length`` bytes are candidates where their least gram is
    repeated and no certain repeat speaks for them. They are grouped by their least gram (a 64-bit name) and compared by
-   48-bit hashes; a group larger than SPREAD is split by the hash, so a hot passage is never one task's work.
+   48-bit hashes. A group of more than SPREAD places is split by place first, which settles the copies inside a part;
+   each part then sends every string once, and these meet by hash. So of a string of a hot passage one task holds one
+   copy for every SPREAD places or so.
 
 Equal texts are worked on once. Documents are told apart by a 128-bit digest of their text, so neither null nor repeated
 doc_ids matter. Of n different strings that share a 64-bit name about n*n / 2**49 pairs are taken for equal by chance.
@@ -243,6 +245,18 @@ def _slices(column: pa.Array):
     return lambda i: flat[(ends[i - 1] if i else 0) : ends[i]]
 
 
+def _whole_buckets(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """The rows of sorted batches; rows of one bucket (the second column) come together."""
+    held: list[tuple] = []
+    for batch in batches:
+        held += zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+        ready = next((k for k in range(len(held), 0, -1) if held[k - 1][1] != held[-1][1]), 0)
+        if ready:
+            yield held[:ready]
+            held = held[ready:]
+    yield held
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per distinct text with anything to remove: its digest ``key`` and ``spans`` (array of [from, to) byte pairs, sorted,
     neither touching nor overlapping)."""
@@ -276,51 +290,83 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 for a, b in zip(edges, edges[1:], strict=False):
                     anchor = first[a]
                     parts = int(-(-size[anchor] // SPREAD))
-                    if parts == 1:
-                        out.append((doc, int(grams[anchor]), int(starts[a]), None, _packed(hashes[a:b])))  # one start after the other
-                        continue
-                    lot = hashes[a:b] % _U(parts)
-                    for part in np.unique(lot):
-                        take = np.flatnonzero(lot == part) + a
-                        out.append((doc, int(grams[anchor]) ^ (int(part) << 20), None, starts[take].astype("<i4").tobytes(), _packed(hashes[take])))
+                    part = hash((doc, int(places[anchor]))) % parts
+                    out.append((doc, int(grams[anchor]) ^ (part << 20), int(starts[a]), None if parts == 1 else (part << 31) | parts, _packed(hashes[a:b])))
             columns = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "bucket", "start", "starts", "hashes"])
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "bucket", "start", "split", "hashes"])
+
+    def equal_strings(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which stand more than once, and one place of each."""
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        twice = np.zeros(len(order), bool)
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        return twice, order[np.concatenate([[True], ~same])]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by bucket. Equal strings share a bucket, so all complete buckets are compared at once."""
+        """Rows come sorted by bucket. Equal strings share a bucket, so all complete buckets are compared at once; of a
+        group that was split, each string goes on once, without a place (doc -1) where its copies are settled here."""
 
         def settle(rows: list[tuple]) -> pa.RecordBatch:
             out = []
             if rows:
                 all_hashes = _unpacked(rows)
-                order = np.argsort(all_hashes, kind="stable")
-                same = all_hashes[order[1:]] == all_hashes[order[:-1]]
-                twice = np.zeros(len(order), bool)
-                twice[order[1:][same]] = twice[order[:-1][same]] = True
+                twice, one = equal_strings(all_hashes)
                 at = 0
-                for doc, _, start, starts, hashes in rows:
+                for doc, _, start, _, hashes in rows:
                     n = len(hashes) // _KEPT
                     if twice[at : at + n].any():
-                        hit = np.flatnonzero(twice[at : at + n])
-                        hit = np.frombuffer(starts, "<i4")[hit] if start is None else hit + start
-                        out.append((doc, merged(hit, hit + length).ravel()))
+                        hit = np.flatnonzero(twice[at : at + n]) + start
+                        out.append((doc, merged(hit, hit + length).ravel(), doc, None, None, None))
                     at += n
+                sizes = np.array([len(r[4]) // _KEPT for r in rows])
+                row = np.repeat(np.arange(len(rows)), sizes)[one]
+                split = np.array([r[3] or 0 for r in rows], np.int64)[row]
+                one, row, split = one[split > 0], row[split > 0], split[split > 0]
+                if len(one):
+                    bucket = np.array([r[1] for r in rows], np.int64)[row]
+                    plain = all_hashes[one] ^ _mix(bucket.view(_U))
+                    gram, lot = bucket ^ ((split >> 31) << 20), (plain % (split & 0x7FFFFFFF).astype(_U)).astype(np.int64)
+                    docs_of = np.where(twice[one], -1, np.array([r[0] for r in rows], np.int64)[row])
+                    starts = (np.array([r[2] for r in rows], np.int64) - (np.cumsum(sizes) - sizes))[row] + one
+                    bucket = gram ^ (lot << 20)
+                    order = np.argsort(bucket, kind="stable")
+                    edges = [*np.flatnonzero(np.diff(bucket[order], prepend=~bucket[order[0]])).tolist(), len(order)]
+                    for a, b in zip(edges, edges[1:], strict=False):
+                        k = order[a:b]
+                        out.append((None, None, int(bucket[k[0]]), docs_of[k].astype("<i8").tobytes(), starts[k].astype("<i4").tobytes(), _packed(plain[k])))
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = [pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "spans", "bucket", "docs", "starts", "hashes"])
+
+        for rows in _whole_buckets(batches, ("doc", "bucket", "start", "split", "hashes")):
+            yield settle(rows)
+
+    def compare_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of split groups, sorted by bucket; settled spans pass through."""
+
+        def settle(rows: list[tuple]) -> pa.RecordBatch:
+            out, rows = [r[5:] for r in rows if r[5] is not None], [r for r in rows if r[5] is None]
+            if rows:
+                twice, _ = equal_strings(_unpacked(rows))
+                docs_of = np.concatenate([np.frombuffer(r[2], "<i8") for r in rows])
+                starts = np.concatenate([np.frombuffer(r[3], "<i4") for r in rows])
+                hit = np.flatnonzero(twice & (docs_of >= 0))
+                hit = hit[np.argsort(docs_of[hit], kind="stable")]
+                for k in np.split(hit, np.flatnonzero(np.diff(docs_of[hit])) + 1):
+                    if len(k):
+                        out.append((int(docs_of[k[0]]), merged(starts[k], starts[k] + length).ravel()))
             return pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([s for _, s in out], pa.list_(pa.int32()))], ["doc", "spans"])
 
-        held: list[tuple] = []
-        for batch in batches:
-            held += zip(*(batch.column(c).to_pylist() for c in ("doc", "bucket", "start", "starts", "hashes")), strict=True)
-            ready = next((k for k in range(len(held), 0, -1) if held[k - 1][1] != held[-1][1]), 0)
-            if ready:
-                yield settle(held[:ready])
-                held = held[ready:]
-        yield settle(held)
+        for rows in _whole_buckets(batches, ("bucket", "bucket", "docs", "starts", "hashes", "doc", "spans")):
+            yield settle(rows)
 
     # copies are combined before the shuffle
     one_each = keyed(docs).where(F.octet_length("text") >= length).groupBy("key").agg(F.first("text").alias("text")).join(known, "key")
-    found = one_each.select("doc", "places", "grams", *arrays, "text").mapInArrow(strings, "doc long, bucket long, start int, starts binary, hashes binary")
-    parts = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "doc long, spans array<int>")
+    found = one_each.select("doc", "places", "grams", *arrays, "text").mapInArrow(strings, "doc long, bucket long, start int, split long, hashes binary")
+    parts = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "doc long, spans array<int>, bucket long, docs binary, starts binary, hashes binary")
+    parts = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare_parts, "doc long, spans array<int>")
 
     @F.pandas_udf("array<int>")
     def joined(lists: pd.Series) -> pd.Series:
