@@ -215,3 +215,26 @@ def test_near_copies_without_an_id(spark):
     found = hamming.near_duplicates(frame(spark, rows).repartition(2))
     want = [("1", "1", True), ("None", "1", False), ("None", "7", False), ("None", "7", False), ("7", "7", True), ("7", "7", True), ("7", "7", True)]
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in found.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("percent", [100, 80, 60, 21])
+def test_lower_thresholds_have_a_wider_distance(spark, percent):
+    distance, chunks = hamming.distance_of(percent)
+    mean = 64 * (1 - percent / 100)
+    assert distance >= max(hamming.DISTANCE, int(mean + 4 * (mean * percent / 100) ** 0.5))
+    rng = np.random.default_rng(percent)
+    base = rng.integers(0, 1 << 16, hamming.SYMBOLS)
+    rows = [(0, base.tolist())]
+    for i in range(1, 60):
+        other = base.copy()
+        wrong = rng.choice(hamming.SYMBOLS, distance, replace=False)
+        other[wrong] = (other[wrong] + 1) % (1 << 16)
+        rows.append((i, other.tolist()))
+    df = spark.createDataFrame(rows, "i int, sig array<int>").select("i", hamming.chunk_keys(distance=distance, chunks=chunks).alias("k"))
+    keys = {r.i: set(r.k) for r in df.collect()}
+    assert all(keys[i] & keys[0] for i in range(1, 60))
+
+
+def test_too_low_thresholds_are_refused(no_docs):
+    with pytest.raises(ValueError):
+        hamming.near_duplicates(no_docs, percent=15)

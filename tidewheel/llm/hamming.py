@@ -5,7 +5,8 @@ most ``DISTANCE`` symbols must, by the pigeonhole principle, differ in at most D
 CHUNKS parts. So every signature is entered under each part with each allowed set of symbols left out, and all pairs
 within the distance meet under some key. A pair at a similarity of 0.8 differs in 12.8 of the 64 symbols on average; the
 distance of 25 is four standard deviations away (about 1 in 10,000 such pairs is missed, and far fewer of closer ones).
-Links are then confirmed on the full shingle sets.
+For lower thresholds ``distance_of`` takes a wider distance and more parts. Links are then confirmed on the full shingle
+sets.
 
 No group is expanded into all its pairs:
 
@@ -121,6 +122,16 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return digested(docs).mapInArrow(run, "doc_id long, digest binary, n_shingles long, node string, sig array<int>")
 
 
+def distance_of(percent: int) -> tuple[int, int]:
+    """The distance four standard deviations beyond the mean of pairs on the threshold, DISTANCE at least, and the parts
+    that leave one wrong symbol in each."""
+    apart = 1 - percent / 100
+    distance = max(DISTANCE, int(SYMBOLS * apart + 4 * (SYMBOLS * apart * (1 - apart)) ** 0.5))
+    if not 0 < percent <= 100 or distance >= SYMBOLS:
+        raise ValueError(f"signatures of {SYMBOLS} symbols cannot find all pairs at {percent} percent")
+    return distance, max(CHUNKS, distance // 2 + 1)
+
+
 def chunk_keys(sig: str = "sig", symbols: int = SYMBOLS, distance: int = DISTANCE, chunks: int = CHUNKS) -> Column:
     """One key for each part of the signature and each set of symbols that may be wrong in it."""
     edges = [round(i * symbols / chunks) for i in range(chunks + 1)]
@@ -159,13 +170,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     kept (doc_id = component_id), ``digest`` (of the text) and ``first`` (whether no other doc_id and digest in the
     component comes before the row's). Without shingles a row is the first of its own.
 
+    Below 80 percent keys hold fewer symbols, so more pairs meet; where signatures are too short it is a ValueError.
+
     Rows with equal shingle sets belong together; a row without shingles (null, empty or blank text) stands alone.
     A null doc_id counts after all others in a component and is kept where nothing else is there. Rows that share a
     doc_id are rows like any other, and kept together. Other columns are ignored; an empty table gives no rows.
     """
+    distance, chunks = distance_of(percent)
     rows = stage(signatures(docs, width), "signatures")
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("digest").alias("digest"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    keys = nodes.select("node", "n", F.explode(chunk_keys()).alias("key"))
+    keys = nodes.select("node", "n", F.explode(chunk_keys(distance=distance, chunks=chunks)).alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     keys = stage(keys.join(shared, "key"), "signature-keys")
 
