@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, suffixes, token_counts, toxicity
+from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, repair, suffixes, token_counts, toxicity, two_fit
 from tidewheel.llm.frames import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -95,3 +95,13 @@ def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pieces.ids_text().cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return two_fit.pack(table(spark, sf_dir, "documents"), WORDS, digest=True)
+
+
+@query
+def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
