@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, repair, suffixes, token_counts, toxicity, two_fit
+from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, repair, suffixes, token_counts, toxicity, trie, two_fit
 from tidewheel.llm.frames import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -105,3 +105,8 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_centroid_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
