@@ -6,14 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, repair, suffixes, token_counts, toxicity, trie, two_fit
+from tidewheel.llm import fingerprints, hamming, licenses, packing, pieces, pivots, quality, repair, suffixes, token_counts, toxicity, trie, twins, two_fit
 from tidewheel.llm.frames import table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_auction_repair": twins.AUCTION_REPAIR, "op13_centroid_trie": twins.CENTROID_TRIE}
 
 
 def query(fn):
