@@ -54,8 +54,7 @@ def packed(spark, sf):
 @add("scan_archive", "trips_ev", f"""SELECT ride_id, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS started_at, start_station_id, {r6("start_lat")} AS start_lat,
     {r6("start_lng")} AS start_lng, member_casual FROM trips_ev""")
 def scan_archive(spark, sf):
-    members = archives.list_members(archives.list_files(spark, packed(spark, sf)))
-    rows = archives.read_members(members).withColumns({"start_lat": F.col("start_lat").cast("double"), "start_lng": F.col("start_lng").cast("double")})
+    rows = archives.read_archives(archives.list_files(spark, packed(spark, sf))).withColumns({"start_lat": F.col("start_lat").cast("double"), "start_lng": F.col("start_lng").cast("double")})
     return rounded(rows.select(*ARCHIVED), "start_lat", "start_lng")
 
 
