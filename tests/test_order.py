@@ -84,6 +84,16 @@ def test_several_key_sets_match_pandas(spark):
         assert (out[f"{tag}_n"].astype(int).to_numpy() == groups.cumcount().to_numpy()).all()
 
 
+def test_sums_of_several_key_sets_beyond_a_long(spark):
+    rows = [(i, "a" if i % 3 else None, -(10**18) * 9 if i % 2 else 9 * 10**18 + i) for i in range(60)]
+    df = spark.createDataFrame(rows, "i long, k string, v long")
+    for value, times in ((F.col("v"), 1), (F.col("v").cast("decimal(30,0)") * 1000, 1000)):
+        out = order.running_by_keys(df, ["i"], {"all": [], "k": ["k"]}, {"s": value}).orderBy("i").collect()
+        for i, r in enumerate(out):
+            assert int(r["all_s"]) == times * sum(x for _, _, x in rows[:i])
+            assert int(r["k_s"]) == times * sum(x for _, k, x in rows[:i] if k == rows[i][1])
+
+
 def test_quantiles_match_numpy(spark):
     pdf = skewed()
     pdf["x"] = pdf["x"] + np.random.default_rng(2).random(len(pdf))

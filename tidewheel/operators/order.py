@@ -11,10 +11,13 @@ hot key to one task. Both are replaced by the same three steps:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType, StructField, StructType
 
 from tidewheel.session import stage
 
@@ -116,36 +119,100 @@ def running_totals(
     return out.drop("_mid", *group, *drop, *tail)
 
 
+#: Whole numbers are summed as two longs, the upper one counting steps of 2 ** _LOW, so that no total overflows.
+_LOW = 31
+
+
 def running_by_keys(
     df: DataFrame, order: Sequence[str | Column], key_sets: Mapping[str, Sequence[str]], sums: Mapping[str, Column]
 ) -> DataFrame:
     """Sums over earlier rows for several key sets under one order: for each key set ``tag`` and each
     ``name -> whole number`` the column ``<tag>_<name>`` (decimal, so no total overflows).
 
-    Rows are range-partitioned by the order and written, and move once more, to their range partition. Inside it
-    each key set is a window; what went before the partition comes as one extra row per key and partition, summed
-    from partial aggregates. A hot key is cut by the partitions like everything else. ``df`` is a scan or a staged
-    table, because rows that are equal in ``order`` are told apart by their scan position.
+    Rows are range-partitioned by the order and written, and move once more, to their range partition, where one sorted
+    pass adds up all key sets at once. What went before the partition comes as one extra row per key and partition, summed
+    from partial aggregates. A hot key is cut by the partitions like everything else. A null key is a group like any other,
+    a null number counts as nothing. ``df`` is a scan or a staged table, because rows that are equal in ``order`` are told
+    apart by their scan position.
     """
-    numbered = df.withColumn("_scan", F.monotonically_increasing_id()).withColumns({f"_s_{n}": c.cast("decimal(38,0)") for n, c in sums.items()})
-    staged = _range_sorted(numbered, [*order, "_scan"], "running").withColumn("_part", F.shiftright("_mid", 33))
+    halves = {}
+    for n, c in sums.items():
+        if isinstance(df.select(c).schema[0].dataType, IntegralType):
+            whole = F.coalesce(c, F.lit(0)).cast("long")
+            halves |= {f"_h_{n}": F.shiftright(whole, _LOW), f"_l_{n}": whole.bitwiseAND(F.lit((1 << _LOW) - 1))}
+        else:
+            whole = F.coalesce(c.cast("decimal(38,0)"), F.lit(0))
+            high = F.floor(whole / F.lit(1 << _LOW)).cast("long")
+            halves |= {f"_h_{n}": high, f"_l_{n}": (whole - high.cast("decimal(38,0)") * F.lit(1 << _LOW)).cast("long")}
+    numbered = df.withColumn("_scan", F.monotonically_increasing_id()).withColumns(halves)
+    staged = _range_sorted(numbered, [*order, "_scan"], "running").drop("_scan").withColumns({"_part": F.shiftright("_mid", 33), "_set": F.lit(-1)})
     rows = staged
-    for tag, keys in key_sets.items():
-        parts = staged.groupBy("_part", *keys).agg(*[F.sum(f"_s_{n}").alias(n) for n in sums])
+    for k, keys in enumerate(key_sets.values()):
+        parts = staged.groupBy("_part", *keys).agg(*[F.sum(h).alias(h) for h in halves])
         earlier = Window.partitionBy(*keys or [F.lit(1)]).orderBy("_part").rowsBetween(_FIRST, -1)
-        carried = parts.select("_part", *keys, F.lit(-1).cast("long").alias("_mid"), *[F.sum(n).over(earlier).cast("decimal(38,0)").alias(f"_c_{tag}_{n}") for n in sums])
-        rows = rows.unionByName(carried.where(F.col(f"_c_{tag}_{next(iter(sums))}").isNotNull()), allowMissingColumns=True)
-    # every window below is served by this one shuffle; a range partition is the most that a task holds
-    rows = rows.repartition("_part")
-    for tag, keys in key_sets.items():
-        group = Window.partitionBy("_part", *keys)
-        inside = group.orderBy("_mid").rowsBetween(_FIRST, -1)
-        rows = rows.withColumns({
-            f"{tag}_{n}": F.coalesce(F.sum(f"_s_{n}").over(inside), F.lit(0)).cast("decimal(38,0)") + F.coalesce(F.max(f"_c_{tag}_{n}").over(group), F.lit(0))
-            for n in sums
-        })
-    made = [f"_c_{t}_{n}" for t in key_sets for n in sums]
-    return rows.where("_mid >= 0").drop("_mid", "_part", "_scan", *made, *[f"_s_{n}" for n in sums])
+        carried = parts.select("_part", *keys, F.lit(-1).cast("long").alias("_mid"), F.lit(k).alias("_set"), *[F.sum(h).over(earlier).alias(h) for h in halves])
+        rows = rows.unionByName(carried.where(F.col(next(iter(halves))).isNotNull()), allowMissingColumns=True)
+    # a range partition is the most that a task works on, and it passes in batches
+    rows = rows.repartition("_part").sortWithinPartitions("_part", "_mid")
+    kept = [c for c in df.columns if c not in halves]
+    made = [f"_{tag}{h}" for tag in key_sets for h in halves]
+    schema = StructType([df.schema[c] for c in kept] + [StructField(c, LongType()) for c in made])
+    sets, names = [list(keys) for keys in key_sets.values()], list(halves)
+    scanned = rows.select(*kept, *names, "_part", "_mid", "_set").mapInArrow(lambda batches: _prefix_scan(batches, kept, sets, names, made), schema)
+    low = F.lit(1 << _LOW).cast("decimal(20,0)")
+    both = {f"{t}_{n}": (F.col(f"_{t}_h_{n}").cast("decimal(19,0)") * low + F.col(f"_{t}_l_{n}")).cast("decimal(38,0)") for t in key_sets for n in sums}
+    return scanned.select(*kept, *[c.alias(n) for n, c in both.items()])
+
+
+def _prefix_scan(batches: Iterator[pa.RecordBatch], kept: list[str], key_sets: list[list[str]], sums: list[str], made: list[str]) -> Iterator[pa.RecordBatch]:
+    """Adds to every row the sums over earlier rows of its range partition with the same keys. Rows come sorted by
+    (_part, _mid); rows with _set >= 0 come first in a partition and say what a key starts with."""
+    totals: list[dict[tuple, list[int]]] = [{} for _ in key_sets]
+    part = None
+    for batch in batches:
+        parts = batch.column("_part").to_numpy()
+        cuts = np.flatnonzero(np.diff(parts, prepend=parts[:1] - 1)).tolist() if len(parts) else []
+        for low, high in zip(cuts, [*cuts[1:], len(parts)], strict=True):
+            if parts[low] != part:
+                part, totals = parts[low], [{} for _ in key_sets]
+            piece = batch.slice(low, high - low)
+            which = piece.column("_set").to_numpy()
+            n_first = int(np.count_nonzero(which >= 0))  # they stand in front
+            for k, keys in enumerate(key_sets):
+                at = np.flatnonzero(which[:n_first] == k)
+                given = piece.take(pa.array(at))
+                names = zip(*(given.column(c).to_pylist() for c in keys), strict=True) if keys else [()] * len(at)
+                totals[k].update(zip(names, map(list, zip(*(given.column(c).to_pylist() for c in sums), strict=True)), strict=True))
+            rows = piece.slice(n_first)
+            if len(rows):
+                values = np.stack([rows.column(c).to_numpy() for c in sums])
+                found = [_before(rows, keys, values, totals[k]) for k, keys in enumerate(key_sets)]
+                columns = [rows.column(c) for c in kept] + [pa.array(x) for block in found for x in block]
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *made])
+
+
+def _before(rows: pa.RecordBatch, keys: list[str], values: np.ndarray, totals: dict[tuple, list[int]]) -> np.ndarray:
+    """For each of ``values`` the sum over earlier rows with the same keys, beginning with ``totals``, which are brought up
+    to date."""
+    code, names = np.zeros(len(rows), np.int64), [()]
+    for c in keys:
+        coded = rows.column(c).dictionary_encode()
+        index = coded.indices.fill_null(len(coded.dictionary)).to_numpy()
+        distinct, code = np.unique(code * (len(coded.dictionary) + 1) + index, return_inverse=True)
+        words = [*coded.dictionary.to_pylist(), None]
+        names = [(*names[x // len(words)], words[x % len(words)]) for x in distinct.tolist()]
+    by_key = np.argsort(code, kind="stable")
+    sizes = np.bincount(code, minlength=len(names))
+    ends = np.cumsum(sizes)
+    ordered = values[:, by_key]
+    through = np.cumsum(ordered, axis=1)
+    start = through[:, ends - sizes] - ordered[:, ends - sizes]  # what came before the key's first row
+    zero = [0] * len(values)
+    held = np.array([totals.get(name, zero) for name in names], np.int64).T
+    out = np.empty_like(values)
+    out[:, by_key] = through - ordered + np.repeat(held - start, sizes, axis=1)
+    totals.update(zip(names, (held + through[:, ends - 1] - start).T.tolist(), strict=True))
+    return out
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, **counted: Column) -> DataFrame:
