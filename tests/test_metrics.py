@@ -127,6 +127,20 @@ def test_blend_matches_a_direct_search(spark):
     assert best["accuracy"] == pytest.approx(top)
 
 
+def test_blend_counts_equal_a_sweep_of_each_blend(spark):
+    rng = np.random.default_rng(10)
+    s = np.round(rng.random((500, 3)) * 1.2 - 0.1, 3)
+    rows = [(*(None if rng.random() < 0.02 else float(x) for x in r), int(y) if y < 2 else None) for r, y in zip(s, rng.integers(0, 3, 500))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int").repartition(3)
+    columns = ["threshold", "tn", "fp", "fn", "tp", "f2"]
+    found = prepare.blend_sweep(df, ["a", "b", "c"], "y", units=3)
+    for i, j in ((0, 0), (1, 1), (3, 0)):
+        blend = (i / 3.0) * F.col("a") + (j / 3.0) * F.col("b") + ((3 - i - j) / 3.0) * F.col("c")
+        want = metrics.threshold_sweep(df.where("y is not null").withColumn("s", blend), "s", "y").select(*columns)
+        assert sorted(want.collect()) == sorted(found.where((F.col("wa") == i) & (F.col("wb") == j)).select(*columns).collect())
+    assert prepare.blend_sweep(df.where("false"), ["a", "b", "c"], "y").count() == 0
+
+
 def test_encoding_and_weights(spark):
     rows = [("a",)] * 6 + [("b",)] * 2 + [("c",)] * 5 + [("d",)]
     df = spark.createDataFrame(rows, "c string")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.operators.order import exact_quantiles, running_totals
+from tidewheel.session import shuffle_partitions
 
 
 def group_means(train: DataFrame, keys: Sequence[str], y: str) -> tuple[DataFrame, Column]:
@@ -91,15 +94,49 @@ def suspicious(score: Column, y: Column, cut: float) -> Column:
 
 
 def blend_sweep(rows: DataFrame, scores: Sequence[str], y: str, units: int = 20) -> DataFrame:
-    """Histogram of every weight triple in steps of 1/units: one row per triple with counts and rates for
-    each threshold. Each row is added to all triples on the spot, so what is shuffled is one row per triple and
-    hundredth, whatever the scores."""
-    from tidewheel.operators.metrics import threshold_sweep
-
-    a, b, c = scores
-    triples = F.array(*[F.struct(F.lit(i).alias("wa"), F.lit(j).alias("wb"), F.lit(units - i - j).alias("wc"))
-                        for i in range(units + 1) for j in range(units + 1 - i)])
-    spread = rows.select(a, b, c, F.col(y).alias("_y")).withColumn("w", F.explode(triples)).select(a, b, c, "_y", "w.wa", "w.wb", "w.wc")
-    u = float(units)
-    blended = (F.col("wa") / u) * F.col(a) + (F.col("wb") / u) * F.col(b) + (F.col("wc") / u) * F.col(c)
-    return threshold_sweep(spread.withColumn("_s", blended), "_s", "_y", ["wa", "wb", "wc"])
+    """Every weight triple in steps of 1/units with counts and rates for each threshold of the grid.
+
+    A task keeps one table of counts (triple x hundredth x class), to which batches of rows are added; rows are never
+    repeated. One row per task and triple is shuffled, and those of a triple are added as they pass. A row without one of
+    the scores lies below every threshold; a row without a label is not counted.
+    """
+    from tidewheel.operators.metrics import GRID, add_rates, hundredths
+
+    triples = np.array([(i, j, units - i - j) for i in range(units + 1) for j in range(units + 1 - i)])
+    n_bins = GRID[1] - GRID[0] + 2  # the first one is below the grid
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = triples / float(units)
+        table, seen = np.zeros((2, len(triples) * n_bins), np.int64), False
+        for batch in batches:
+            for at in range(0, len(batch), 2048):
+                piece = batch.slice(at, 2048)
+                a, b, c, label = (piece.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+                blended = w[:, :1] * a + w[:, 1:2] * b + w[:, 2:] * c
+                bins = np.clip(hundredths(blended), GRID[0] - 1, GRID[1]) - (GRID[0] - 1)
+                bins += (np.arange(len(triples)) * n_bins)[:, None]
+                for value in (0, 1):
+                    table[value] += np.bincount(bins[:, label == value].ravel(), minlength=table.shape[1])
+                seen = True
+        if seen:
+            each = list(table.reshape(2, len(triples), n_bins).transpose(1, 0, 2).reshape(len(triples), -1))
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(triples)), pa.int32()), pa.array(each, pa.list_(pa.int64()))], ["t", "counts"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            lists = batch.column("counts").flatten().to_numpy().reshape(len(batch), 2, n_bins)
+            for t, counts in zip(batch.column("t").to_pylist(), lists, strict=True):
+                found[t] = found[t] + counts if t in found else counts
+        grid = np.arange(GRID[0], GRID[1] + 1)
+        for t, counts in found.items():
+            above = counts[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:]  # at or above each threshold
+            (fp, tp), (negatives, positives) = above, counts.sum(axis=1)
+            weights = [pa.array([int(x)] * len(grid), pa.int32()) for x in triples[t]]
+            yield pa.RecordBatch.from_arrays([*weights, *map(pa.array, (grid / 100.0, negatives - fp, fp, positives - tp, tp))], ["wa", "wb", "wc", "threshold", "tn", "fp", "fn", "tp"])
+
+    narrow = rows.select(*[F.col(c).cast("double") for c in scores], F.col(y).cast("long").alias("_y")).where("_y is not null")
+    # four numbers a row are dealt out evenly, as each row costs a few hundred blends
+    counted = narrow.repartition(shuffle_partitions(rows.sparkSession)).mapInArrow(count, "t int, counts array<long>")
+    summed = counted.repartition("t").mapInArrow(add_up, "wa int, wb int, wc int, threshold double, tn long, fp long, fn long, tp long")
+    return add_rates(summed)
