@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tidewheel.operators import clean, grid
 from tidewheel.streaming import streams
 
@@ -30,6 +32,32 @@ def test_late_and_open_hours_are_counted(spark, tmp_path):
     assert {(r["time"].hour, r["trips"]) for r in done.collect()} == {(0, 3), (1, 1), (5, 1), (10, 1)}
 
 
+def test_ranges_of_batches_cover_everything_once():
+    for number in range(1500):
+        ranges = [range(streams.first_of_range(k), k + 1) for k in streams.cover(number)]
+        assert sorted(b for r in ranges for b in r) == list(range(number + 1)) and len(ranges) <= 10
+    assert len(streams.cover(199)) == 3
+
+
+def test_many_batches_leave_few_folders_and_may_be_repeated(spark, tmp_path):
+    folder = str(tmp_path / "sums")
+
+    def batch(number):
+        return spark.createDataFrame([("a", number), ("ab"[number % 2], 1)], "k string, n long").groupBy("k").agg(F.sum("n").alias("n"))
+
+    def want(number):
+        return sorted(map(tuple, spark.createDataFrame([r for k in range(number + 1) for r in (("a", k), ("ab"[k % 2], 1))], "k string, n long").groupBy("k").agg(F.sum("n")).collect()))
+
+    for number in range(24):
+        streams.put_sums(batch(number), number, folder, ["k"], ["n"])
+        if number % 7 == 3:
+            streams.put_sums(batch(number), number, folder, ["k"], ["n"])  # stopped before its commit, and run again
+            assert sorted(map(tuple, streams.current_sums(spark, folder, ["k"], ["n"]).collect())) == want(number)
+    assert sorted(map(tuple, streams.current_sums(spark, folder, ["k"], ["n"]).collect())) == want(23)
+    left = [p.name for p in (tmp_path / "sums").iterdir()]
+    assert len(left) <= 6 and {f"upto={k}" for k in streams.cover(23)} <= set(left)
+
+
 def reversed_batches(spark, folder, rows, n):
     for k in reversed(range(n)):
         put(spark, folder, rows[k * len(rows) // n : (k + 1) * len(rows) // n])
@@ -66,3 +94,24 @@ def test_repeated_ids_are_written_once(spark, tmp_path):
     put(spark, folder, [ride(2, 9), ride(3, 10)])
     done = streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at"], "t", out, log)
     assert sorted((r["ride_id"], r["started_at"].minute) for r in done.collect()) == [("1", 5), ("2", 7), ("3", 10)]
+
+
+def test_state_decides_and_stored_rows_are_not_read(spark, tmp_path):
+    folder, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    put(spark, folder, [ride(i, i) for i in range(50)] + [(None, *ride(1, 3)[1:])])
+    streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at"], "t", out, log)
+    for part in (tmp_path / "out").glob("*.parquet"):
+        part.write_bytes(b"not to be read")
+    put(spark, folder, [ride(7, 1), ride(99, 9), ride(99, 8), (None, *ride(1, 2)[1:])])
+    streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at"], "t", out, log)
+    new = [str(p) for p in (tmp_path / "out").glob("*.parquet") if p.read_bytes() != b"not to be read"]
+    rows = spark.read.parquet(*new).collect()
+    assert [(r["ride_id"], r["started_at"].minute) for r in rows] == [("99", 8)]
+
+
+def test_stream_dedupe_in_one_hot_key(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put(spark, folder, [ride(i if i % 3 else 0, i % 59) for i in range(600)])
+    out = streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at", "start_station_id"])
+    rows = {r["ride_id"]: r["started_at"].minute for r in out.collect()}
+    assert rows["0"] == 0 and len(rows) == 401

@@ -1,15 +1,16 @@
 """The batch rules as Structured Streaming jobs.
 
-Each job runs on what is available and stops. Plain results go to a Parquet sink in append mode, whose own log
-makes a repeated micro-batch harmless. Results that later rows may still change are kept as one folder per
-micro-batch, which a repeated micro-batch writes anew, and are brought together when they are read: no watermark
-decides what is counted, and no state is kept on the driver.
+Each job runs on what is available and stops. Results that nothing later changes go to a Parquet sink in append mode, whose
+own log makes a repeated micro-batch harmless; what has been seen of a key is keyed state. Counts that later rows may
+still change are kept as sums over ranges of micro-batches, which a repeated micro-batch writes anew, and are brought
+together when they are read. No watermark decides what is counted, and no state is kept on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from tidewheel.operators import clean, grid
 from tidewheel.session import staging_path
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 
 def open_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     """Files of a folder as a stream."""
@@ -39,8 +42,8 @@ def run(stream: DataFrame, label: str, path: str | None = None, checkpoint: str
 
 
 def run_batches(stream: DataFrame, label: str, write: Callable[[DataFrame, int, str], None], path: str | None = None, checkpoint: str | None = None) -> str:
-    """Process everything available batch by batch: ``write(batch, number, path)`` puts the batch's result below
-    ``path/batch=number``. Returns the path; calling again with the same path and checkpoint only adds what is new."""
+    """Process everything available batch by batch: ``write(batch, number, path)`` puts the batch's result below ``path``.
+    Returns the path; calling again with the same path and checkpoint only adds what is new."""
     spark = stream.sparkSession
     path = path or staging_path(spark, label)
     checkpoint = checkpoint or staging_path(spark, f"{label}-log")
@@ -49,22 +52,64 @@ def run_batches(stream: DataFrame, label: str, write: Callable[[DataFrame, int,
     return path
 
 
-def _put(df: DataFrame, number: int, path: str) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={number}")
+def first_of_range(number: int) -> int:
+    """Micro-batches are merged as a binary counter carries: what batch ``number`` leaves covers the batches from this one
+    on, as many as the greatest power of two that divides number + 1."""
+    return number - ((number + 1) & -(number + 1)) + 1
+
+
+def cover(number: int, first: int = 0) -> list[int]:
+    """The ranges (by their last batch) that together hold the batches ``first`` to ``number``: one for each bit of their
+    count at most, newest first."""
+    found = []
+    while number >= first:
+        found.append(number)
+        number = first_of_range(number) - 1
+    return found
+
+
+def _range_path(folder: str, number: int) -> str:
+    return f"{folder}/upto={number}"
+
+
+def put_sums(sums: DataFrame, number: int, folder: str, keys: Sequence[str], measures: Sequence[str]) -> None:
+    """Writes the sums of batch ``number``, merged with those of the earlier batches of its range. Every range is written by
+    one batch, from ranges that end earlier, so a repeated batch writes the same again. Ranges that lie inside one that
+    ended before the last batch are of no use to any batch that may be repeated, and are deleted."""
+    spark = sums.sparkSession
+    earlier = cover(number - 1, first_of_range(number))
+    if earlier:
+        sums = added_up(sums.unionByName(spark.read.schema(sums.schema).parquet(*[_range_path(folder, k) for k in earlier])), keys, measures)
+    sums.write.mode("overwrite").parquet(_range_path(folder, number))
+    for inner in cover(number - 2, first_of_range(number - 1)) if number else []:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_range_path(folder, inner))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def added_up(parts: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    kinds = dict(parts.dtypes)
+    return parts.groupBy(*keys).agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
+
+
+def current_sums(spark: SparkSession, folder: str, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """The sums over all batches; as many folders are read as the number of batches has bits set."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [int(s.getPath().getName().removeprefix("upto=")) for s in files.listStatus(path) if s.getPath().getName().startswith("upto=")]
+    whole = [k for k in there if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{_range_path(folder, k)}/_SUCCESS"))]
+    return added_up(spark.read.parquet(*[_range_path(folder, k) for k in cover(max(whole))]), keys, measures)
 
 
 def station_hours(trips: DataFrame, label: str = "station-hours", path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Departures per station and hour, open hours and late departures included. Each micro-batch leaves its partial
-    counts, one row per station and hour that it touches."""
-    measures = ["trips", "members", "electric"]
+    """Departures per station and hour, open hours and late departures included. Each micro-batch adds its partial counts,
+    one row per station and hour that it touches."""
+    keys, measures = ["start_station_id", "time"], ["trips", "members", "electric"]
 
     def write(batch: DataFrame, number: int, folder: str) -> None:
-        _put(grid.station_hour_counts(clean.departures(batch)), number, folder)
+        put_sums(grid.station_hour_counts(clean.departures(batch)), number, folder, keys, measures)
 
     folder = run_batches(trips, label, write, path, checkpoint)
-    parts = trips.sparkSession.read.parquet(folder)
-    kinds = dict(parts.dtypes)
-    return parts.groupBy("start_station_id", "time").agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
+    return current_sums(trips.sparkSession, folder, keys, measures)
 
 
 def checked_rows(trips: DataFrame) -> DataFrame:
@@ -85,19 +130,44 @@ def merged_audit(rows: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(trips: DataFrame, keys: Sequence[str], order: Sequence[str], label: str = "dedupe", path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """The first arrival of every key, however late: a micro-batch keeps the first row per key in ``order`` of the keys
-    that no earlier micro-batch has stored. Stored keys are read from the earlier batches' folders, so a repeated
-    micro-batch does not meet its own rows."""
-    spark, schema = trips.sparkSession, trips.schema
+def _first_rows(batches: Iterator[pa.RecordBatch], keys: list[str], order: list[str], at_once: int) -> Iterator[pa.RecordBatch]:
+    """The first row of every key in ``order`` (nulls first) among about ``at_once`` rows, or, with 0, among all."""
+    held: list[pa.RecordBatch] = []
+    waiting, grown = 0, 1 << 16
 
-    def write(batch: DataFrame, number: int, folder: str) -> None:
-        first = F.min_by(F.struct(*batch.columns), F.struct(*order))
-        one = batch.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(first.alias("_row")).select("_row.*")
-        if number:
-            stored = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())])).parquet(folder)
-            one = one.join(stored.where(F.col("batch") < number).select(*keys), list(keys), "left_anti")
-        _put(one, number, folder)
+    def firsts() -> pa.Table:
+        rows = pa.Table.from_batches(held)
+        seen = rows.select([*dict.fromkeys([*keys, *order])]).to_pandas().sort_values(order, kind="stable", na_position="first")
+        return rows.take(pa.array(seen.drop_duplicates(keys).index.sort_values()))
 
-    folder = run_batches(trips, label, write, path, checkpoint)
-    return spark.read.parquet(folder).select(*trips.columns)
+    for batch in batches:
+        held.append(batch)
+        waiting += len(batch)
+        if waiting >= (at_once or grown):
+            rows = firsts()
+            held, waiting = [], 0
+            if at_once:
+                yield from rows.to_batches()
+            else:
+                held, waiting = rows.to_batches(), len(rows)
+                grown = max(grown, 2 * waiting)  # work in proportion to the rows
+    if held:
+        yield from firsts().to_batches()
+
+
+def deduplicated(trips: DataFrame, keys: Sequence[str], order: Sequence[str], label: str = "dedupe", path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """The first arrival of every key, however late; of a micro-batch's rows the first in ``order`` (nulls first).
+
+    Whether a key has come is keyed state in RocksDB, kept and restored by the checkpoint, so a micro-batch costs what its
+    own rows cost, whatever has been stored. Copies are dropped among neighbouring rows before rows are shuffled, and again
+    where a key's rows of the micro-batch are together (a task holds one row per key). A null key is a key like any other.
+    """
+    spark, by, first = trips.sparkSession, list(keys), list(order)
+    thin = trips.mapInArrow(lambda batches: _first_rows(batches, by, first, 1 << 16), trips.schema)
+    one = thin.repartition(*by).mapInArrow(lambda batches: _first_rows(batches, by, first, 0), trips.schema)
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return run(one.dropDuplicates(by), label, path, checkpoint)
+    finally:
+        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
