@@ -106,6 +106,36 @@ def test_quantiles_match_numpy(spark):
         np.testing.assert_allclose(out.loc[key, ["a", "b", "c"]].astype(float), np.quantile(values, [0.25, 0.5, 0.975]))
 
 
+def test_buckets_never_fall_where_values_rise(spark):
+    rng = np.random.default_rng(7)
+    values = np.concatenate([rng.normal(0, 10.0 ** rng.integers(-300, 300, 3000)), rng.normal(0, 1e-6, 500), [0.0, -0.0, 1e308, -1e308, 5e-324, np.inf, -np.inf], 2.0 ** np.arange(-40, 40)])
+    rows = spark.createDataFrame([(float(v),) for v in np.sort(values)] + [(float("nan"),)], "v double").select("v", order.value_bucket(F.col("v")).alias("b")).collect()
+    buckets = [r["b"] for r in rows]
+    assert buckets == sorted(buckets)
+
+
+def test_quantiles_of_odd_values(spark):
+    rng = np.random.default_rng(8)
+    for values in ([3.0], [1.0, 1.0, 1.0], (rng.normal(0, 1, 400) * 10.0 ** rng.integers(-12, 12, 400)).tolist(), (1.0 + rng.random(300) * 1e-12).tolist(), [-5e-324, 0.0, 5e-324]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(3)
+        row = order.exact_quantiles(df, [], "x", {"a": 0.1, "b": 0.5, "c": 1.0}).first()
+        np.testing.assert_allclose([row["a"], row["b"], row["c"]], np.quantile(values, [0.1, 0.5, 1.0]), rtol=1e-15, atol=0)
+        assert row["n"] == len(values)
+    assert order.exact_quantiles(spark.createDataFrame([], "k string, x double"), ["k"], "x", {"a": 0.1}).count() == 0
+
+
+def test_only_values_near_a_quantile_are_shuffled(spark):
+    df = spark.range(20000).select((F.rand(3) * 1000).alias("x"))
+    seen = {}
+    real = order.running_totals
+    try:
+        order.running_totals = lambda cells, *a, **k: real(seen.setdefault("cells", cells), *a, **k)
+        order.exact_quantiles(df, [], "x", {"m": 0.5}).collect()
+    finally:
+        order.running_totals = real
+    assert seen["cells"].count() < 20000 / 50
+
+
 def test_average_ranks_match_pandas(spark):
     pdf = skewed()
     out = order.average_ranks(spark.createDataFrame(pdf), [], "x").toPandas().set_index("x")["avg_rank"]

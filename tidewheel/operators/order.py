@@ -229,21 +229,45 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return cells.withColumn("avg_rank", F.col("n_before") + (F.col("n") + 1) / F.lit(2.0))
 
 
+#: Buckets of values are this fine: steps of about 1 / _STEPS in relation to the value, evenly spaced below 1 / _SCALE.
+_STEPS, _SCALE = 512, float(1 << 20)
+
+
+def value_bucket(value: Column) -> Column:
+    """A number that never falls where the value rises (logarithms are semi-monotonic): at most some 750,000 of them, and a
+    few thousand for values within some orders of magnitude. NaN, which Spark sorts last, has the last one."""
+    v = value.cast("double")
+    size = F.floor(F.least(F.log1p(F.abs(v) * _SCALE), F.lit(750.0)) * _STEPS).cast("int")
+    return F.when(F.isnan(v), F.lit(1 << 30)).when(v < 0, -1 - size).otherwise(size)
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """Exact, linearly interpolated quantiles per key, plus the number of values as ``n``
     (unless a quantile has that name).
 
-    ``percentile`` keeps every distinct value of a group in one task's memory. Here values are
-    counted, ordered over all tasks, and only the two values around each position are kept.
+    ``percentile`` keeps every distinct value of a group in one task's memory, and ordering all values shuffles them. Here
+    values are counted in buckets first; only values in the buckets that hold a wanted position are counted one by one
+    and ordered, over all tasks, so the shuffles do not grow with the number of distinct values elsewhere.
     """
-    values = df.select(*keys, F.col(value).alias("_v"))
-    cells = running_totals(value_counts(values, keys, "_v"), keys, ["_v"], {"n": "n"})
-    aggs = [F.max("n_total").alias("_n")]
+    values = stage(df.select(*keys, F.col(value).alias("_v")).where("_v is not null"), "values").withColumn("_b", value_bucket(F.col("_v")))
+    group = Window.partitionBy(*keys or [F.lit(1)])
+    buckets = values.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    buckets = buckets.select(
+        *keys, "_b", "_c", F.sum("_c").over(group).alias("_n"), F.coalesce(F.sum("_c").over(group.orderBy("_b").rowsBetween(_FIRST, -1)), F.lit(0)).alias("_before"))
+    spots = {}
     for name, p in probs.items():
-        at = F.floor(F.lit(float(p)) * (F.col("n_total") - 1))
-        for tag, spot in (("lo", at), ("hi", F.least(at + 1, F.col("n_total") - 1))):
-            hit = (spot >= F.col("n_before")) & (spot < F.col("n_before") + F.col("n"))
-            aggs.append(F.max(F.when(hit, F.col("_v").cast("double"))).alias(f"_{tag}_{name}"))
+        at = F.floor(F.lit(float(p)) * (F.col("_n") - 1))
+        spots |= {f"_lo_{name}": at, f"_hi_{name}": F.least(at + 1, F.col("_n") - 1)}
+    holds = F.lit(False)
+    for spot in spots.values():
+        holds = holds | ((spot >= F.col("_before")) & (spot < F.col("_before") + F.col("_c")))
+    wanted = stage(buckets.where(holds).drop("_c"), "buckets")  # at most two for each quantile and key
+    near = value_counts(join_groups(values, wanted, [*keys, "_b"]), [*keys, "_b", "_n", "_before"], "_v")
+    cells = running_totals(near.withColumnRenamed("n", "_k"), [*keys, "_b"], ["_v"], {"_k": "_k"})
+    start = F.col("_before") + F.col("_k_before")
+    aggs = [F.max("_n").alias("_n")]
+    for name, spot in spots.items():
+        aggs.append(F.max(F.when((spot >= start) & (spot < start + F.col("_k")), F.col("_v").cast("double"))).alias(name))
     found = cells.groupBy(*keys).agg(*aggs)
     picks = [] if "n" in probs else [F.col("_n").alias("n")]
     for name, p in probs.items():
