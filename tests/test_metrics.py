@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -157,3 +159,44 @@ def test_impute_learns_on_train_only(spark):
     rows = spark.createDataFrame([(None, None), (100.0, "q")], "n double, k string")
     out = prepare.impute(rows, prepare.fill_values(train, medians=["n"], modes=["k"])).collect()
     assert (out[0]["n"], out[0]["k"], out[0]["n_missing"]) == (3.0, "x", 1) and out[1]["n"] == 100.0
+
+
+def test_bootstrap_with_distinct_and_with_one_score_and_with_one_class(spark):
+    rng = np.random.default_rng(12)
+    for scores in (rng.random(700), np.repeat(0.5, 60), np.round(rng.random(500), 1)):
+        y = (rng.random(len(scores)) < 0.4).astype(int)
+        df = spark.createDataFrame([(float(s), int(t), i, i * 7) for i, (s, t) in enumerate(zip(scores, y))], "s double, y int, a long, b long")
+        out = {r["rep"]: r for r in metrics.bootstrap_scores(df, "s", "y", F.col("a"), F.col("b"), 4, 0.3).collect()}
+        steps = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(12)]).round(12)
+        for rep in range(4):
+            x = (np.arange(len(y)) * 48271 + (np.arange(len(y)) * 7 + rep * 1_000_003) * 69621) % metrics.MODULUS
+            for _ in range(2):
+                x = ((x * x) % metrics.MODULUS * 48271 + x) % metrics.MODULUS
+            w = np.searchsorted(steps, x / float(metrics.MODULUS), side="right")
+            p, n = w * y, w * (1 - y)
+            pairs = sum((p[i] * n * ((scores[i] > scores) + (scores[i] == scores) / 2)).sum() for i in range(len(y)))
+            assert out[rep]["auc"] == pytest.approx(pairs / (p.sum() * n.sum()))
+            assert out[rep]["recall"] == pytest.approx(p[scores >= 0.3].sum() / p.sum())
+    one = metrics.bootstrap_scores(df.withColumn("y", F.lit(1)), "s", "y", F.col("a"), F.col("b"), 3, 0.3).collect()
+    assert [(r["auc"], r["specificity"]) for r in one] == [(None, None)] * 3 and all(r["recall"] is not None for r in one)
+
+
+def test_noise_corrections_undo_the_noise(spark):
+    rng = np.random.default_rng(13)
+    n, eps = 400_000, 0.15
+    true = rng.random(n) < 0.35
+    score = true + rng.normal(0, 1, n)
+    label = true ^ (rng.random(n) < eps)
+    cut = score > 0.4
+
+    def auc(t):
+        order = score.argsort().argsort()
+        return (order[t].sum() - t.sum() * (t.sum() - 1) / 2) / (t.sum() * (~t).sum())
+
+    given = spark.createDataFrame([(float(cut[label].mean()), float(cut[~label].mean()), float(auc(label)), float(label.mean()))], "r double, f double, a double, q double")
+    fixed = {**metrics.corrected_rates(F.col("r"), F.col("f"), F.lit(eps), F.col("q")), **metrics.corrected_auc(F.col("a"), F.lit(eps), F.col("q"))}
+    row = given.select(*[c.alias(k) for k, c in fixed.items()]).first()
+    assert row["recall"] == pytest.approx(cut[true].mean(), abs=0.01) and row["specificity"] == pytest.approx((~cut[~true]).mean(), abs=0.01)
+    assert row["accuracy"] == pytest.approx((cut == true).mean(), abs=0.01) and row["auc_true"] == pytest.approx(auc(true), abs=0.01)
+
+    assert row["auc_perfect"] == pytest.approx(((label & true).sum() * (~label & ~true).sum() + ((label & true).sum() * (~label & true).sum() + (label & ~true).sum() * (~label & ~true).sum()) / 2) / (label.sum() * (~label).sum()), abs=0.01)

@@ -95,7 +95,7 @@ def roc_auc(df: DataFrame, score: str, y: str, keys: Sequence[str] = ()) -> Data
 def roc_curve(df: DataFrame, score: str, y: str) -> DataFrame:
     """A point per distinct score, and the start at (0, 0)."""
     points = score_cells(df, score, y).select(
-        F.col(score).cast("double").alias("threshold"), (F.col("fp") / F.col("neg_total")).alias("fpr"), (F.col("tp") / F.col("pos_total")).alias("tpr"))
+        F.col(score).cast("double").alias("threshold"), F.try_divide("fp", "neg_total").alias("fpr"), F.try_divide("tp", "pos_total").alias("tpr"))
     return points.unionByName(df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], points.schema))
 
 
@@ -105,14 +105,14 @@ def average_precision(df: DataFrame, score: str, y: str, keys: Sequence[str] = (
 
 
 def weighted_scores(df: DataFrame, keys: Sequence[str], score: str, y: str, weight: str, cut: float) -> DataFrame:
-    """AUC, and recall and specificity at a cut, from weighted rows."""
+    """AUC, and recall and specificity at a cut, from weighted rows; null where a class is absent."""
     cells = score_cells(df, score, y, keys, F.col(weight))
     over = F.col(score) >= cut
     won = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     return cells.groupBy(*keys).agg(
-        (F.sum(won) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
-        (F.sum(F.when(over, F.col("pos")).otherwise(0)) / F.sum("pos")).alias("recall"),
-        (F.sum(F.when(~over, F.col("neg")).otherwise(0)) / F.sum("neg")).alias("specificity"),
+        F.try_divide(F.sum(won), F.sum("pos") * F.sum("neg")).alias("auc"),
+        F.try_divide(F.sum(F.when(over, F.col("pos")).otherwise(0)), F.sum("pos")).alias("recall"),
+        F.try_divide(F.sum(F.when(~over, F.col("neg")).otherwise(0)), F.sum("neg")).alias("specificity"),
     )
 
 
@@ -202,7 +202,7 @@ def bootstrap_scores(df: DataFrame, score: str, y: str, a: Column, b: Column, re
 
     Rows move once, to their range of scores. A task walks its range in order and keeps, for each replicate, sums over
     it; its first and last score are kept apart, as they may go on in the next range. What leaves a task are three rows
-    of arrays, however many rows and replicates there are. A row's weight in a replicate follows from the integers ``a``
+    of arrays, however many rows and replicates there are. Where a replicate lacks a class, what needs it is null. A row's weight in a replicate follows from the integers ``a``
     and ``b`` (see ``mixed_number``).
     """
     steps = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(12)]).round(12)
@@ -218,8 +218,19 @@ def bootstrap_scores(df: DataFrame, score: str, y: str, a: Column, b: Column, re
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        first, last = None, None  # (score, positives, negatives)
+        first, held = None, None  # (scores, positives, negatives): of the first score, and of the last one so far
         block = np.zeros((5, reps))  # positives, negatives, ordered pairs, positives at the cut, negatives below it
+
+        def settle(s: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> None:
+            """Adds scores that cannot go on any more; the first one of the range is kept apart."""
+            nonlocal first
+            if first is None and len(s):
+                first, s, pos, neg = (s[:1], pos[0], neg[0]), s[1:], pos[1:], neg[1:]
+            before = block[1] + neg.cumsum(axis=0) - neg
+            block[2] += (pos * (before + neg / 2)).sum(axis=0)
+            block[0] += pos.sum(axis=0)
+            block[1] += neg.sum(axis=0)
+
         for batch in batches:
             for at in range(0, len(batch), 8192):
                 piece = batch.slice(at, 8192)
@@ -228,25 +239,18 @@ def bootstrap_scores(df: DataFrame, score: str, y: str, a: Column, b: Column, re
                 pos, neg = w * t[:, None], w * (1 - t)[:, None]
                 block[3] += pos[s >= cut].sum(axis=0)
                 block[4] += neg[s < cut].sum(axis=0)
+                if held is not None:
+                    s, pos, neg = np.append(held[0], s), np.vstack([held[1], pos]), np.vstack([held[2], neg])
                 heads = np.flatnonzero(np.diff(s, prepend=np.nan) != 0)
-                pos, neg = np.add.reduceat(pos, heads), np.add.reduceat(neg, heads)
-                for value, p, n in zip(s[heads], pos, neg, strict=True):
-                    if first is not None and last is None and value == first[0]:
-                        first = (value, first[1] + p, first[2] + n)
-                    elif first is None:
-                        first = (value, p, n)
-                    elif last is not None and value == last[0]:
-                        last = (value, last[1] + p, last[2] + n)
-                    else:
-                        if last is not None:
-                            block[2] += last[1] * (block[1] + last[2] / 2)
-                            block[0] += last[1]
-                            block[1] += last[2]
-                        last = (value, p, n)
+                s, pos, neg = s[heads], np.add.reduceat(pos, heads), np.add.reduceat(neg, heads)
+                settle(s[:-1], pos[:-1], neg[:-1])
+                held = (s[-1:], pos[-1], neg[-1])
+        last = held if first is not None else None
+        first = first or held
         rows = [(part, 1, None, *block)]
         for place, edge in ((0, first), (2, last)):
             if edge is not None:
-                rows.append((part, place, float(edge[0]), edge[1], edge[2], *np.zeros((3, reps))))
+                rows.append((part, place, float(edge[0][0]), edge[1], edge[2], *np.zeros((3, reps))))
         kinds = [pa.int32(), pa.int32(), pa.float64(), *[pa.list_(pa.float64())] * 5]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "place", "score", *names])
 
@@ -261,34 +265,42 @@ def bootstrap_scores(df: DataFrame, score: str, y: str, a: Column, b: Column, re
     below = F.coalesce(F.sum("neg").over(Window.partitionBy("rep").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     inside = F.when(F.col("score").isNull(), F.col("pairs")).otherwise(F.col("pos") * F.col("neg") / 2)
     sums = whole.withColumn("_a", inside + F.col("pos") * below).groupBy("rep").agg(F.sum("_a").alias("_a"), *[F.sum(n).alias(n) for n in names])
-    return sums.select("rep", (F.col("_a") / (F.col("pos") * F.col("neg"))).alias("auc"), (F.col("hit") / F.col("pos")).alias("recall"), (F.col("spared") / F.col("neg")).alias("specificity"))
+    rates = {"auc": ("_a", F.col("pos") * F.col("neg")), "recall": ("hit", F.col("pos")), "specificity": ("spared", F.col("neg"))}
+    return sums.select("rep", *[F.try_divide(F.col(a), b).alias(n) for n, (a, b) in rates.items()])
 
 
 # --- label noise -------------------------------------------------------------------------------
 
 
-def noise_mix(eps: Column, q: Column) -> tuple[Column, Column, Column]:
-    """True positive share, and the share truly positive among rows labelled positive and negative, when a
-    label is flipped with probability eps either way."""
-    pi = (q - eps) / (1 - 2 * eps)
-    return pi, pi * (1 - eps) / q, pi * eps / (1 - q)
+def true_share(eps: Column, labelled: Column) -> Column:
+    """Share of rows that are truly positive, when a label is flipped with probability eps either way and the share
+    ``labelled`` carries a positive one: labelled = true * (1 - eps) + (1 - true) * eps."""
+    return (labelled - eps) / (1 - 2 * eps)
 
 
 def corrected_rates(recall: Column, fpr: Column, eps: Column, q: Column) -> dict[str, Column]:
-    """True recall, specificity and accuracy from measured ones: two linear equations."""
-    pi, a, b = noise_mix(eps, q)
-    det = a * (1 - b) - (1 - a) * b
-    true_recall = (recall * (1 - b) - fpr * (1 - a)) / det
-    true_fpr = (a * fpr - b * recall) / det
-    return {"recall": true_recall, "specificity": 1 - true_fpr, "accuracy": true_recall * pi + (1 - true_fpr) * (1 - pi)}
+    """True recall, specificity and accuracy from measured ones. In shares of all rows: of what is flagged, the truly
+    positive part keeps its label with 1 - eps and loses it with eps, the truly negative part the other way round."""
+    with_label, without = recall * q, fpr * (1 - q)
+    positive = ((1 - eps) * with_label - eps * without) / (1 - 2 * eps)
+    negative = ((1 - eps) * without - eps * with_label) / (1 - 2 * eps)
+    true = true_share(eps, q)
+    return {"recall": positive / true, "specificity": 1 - negative / (1 - true), "accuracy": positive + 1 - true - negative}
 
 
 def corrected_auc(auc: Column, eps: Column, q: Column) -> dict[str, Column]:
-    """True AUC, and what a perfect model would measure on these labels."""
-    _, a, b = noise_mix(eps, q)
-    slope = a * (1 - b) - (1 - a) * b
-    offset = 0.5 * (a * b + (1 - a) * (1 - b)) + (1 - a) * b
-    return {"auc_true": (auc - offset) / slope, "auc_perfect": slope + offset}
+    """True AUC, and what a perfect model would measure on these labels.
+
+    A pair of a labelled positive and a labelled negative row is truly so ordered where neither label is flipped, the other
+    way round where both are, and of one class (won half the time) where one is."""
+    true = true_share(eps, q)
+    mixed = true * (1 - true)
+    alike = eps * (1 - eps) * (true * true + (1 - true) * (1 - true)) / 2
+    pairs = q * (1 - q)
+    return {
+        "auc_true": (auc * pairs - alike - mixed * eps * eps) / (mixed * (1 - 2 * eps)),
+        "auc_perfect": (mixed * (1 - eps) * (1 - eps) + alike) / pairs,
+    }
 
 
 def noise_threshold(df: DataFrame, score: str, y: str, eps: float, target: float) -> DataFrame:
