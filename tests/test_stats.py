@@ -147,6 +147,39 @@ def test_absorbed_effects_equal_dummies(spark):
     assert robust["std_error"] == pytest.approx(np.sqrt(v[0, 0]), rel=1e-6) and robust["clusters"] == 25
 
 
+def test_a_hot_group_is_cut_and_rows_move_once(spark):
+    rng = np.random.default_rng(9)
+    n = 900
+    day = np.where(rng.random(n) < 0.6, 3, rng.integers(0, 12, n))
+    wet = rng.random(n).round(2)
+    y = rng.poisson(np.exp(1.0 + 0.1 * day + 0.5 * wet)).astype(float)
+    df = spark.createDataFrame([(float(v), float(w), None if d == 7 else int(d)) for v, w, d in zip(y, wet, day)], "y double, wet double, day long")
+    one = glm.fit_absorbed(df.coalesce(1), "y", [], ["wet"], "day")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = glm.fit_absorbed(df.repartition(5), "y", [], ["wet"], "day")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert cut.groups == one.groups == 12
+    np.testing.assert_allclose(cut.coefficients, one.coefficients, rtol=1e-9)
+    np.testing.assert_allclose(cut.clustered, one.clustered, rtol=1e-9)
+    x = np.column_stack([wet, *[(day == d).astype(float) for d in range(12)]])
+    beta = np.append(0.0, np.full(12, np.log(y.mean())))
+    for _ in range(40):
+        mu = np.exp(x @ beta)
+        beta = beta + np.linalg.solve(x.T @ (x * mu[:, None]), x.T @ (y - mu))
+    assert cut.coefficients[0] == pytest.approx(beta[0], abs=1e-9)
+
+
+def test_absorbed_fit_of_nothing_and_one_that_does_not_converge(spark):
+    empty = spark.createDataFrame([], "y double, wet double, hour string, day long")
+    fitted = glm.fit_absorbed(empty, "y", ["hour"], ["wet"], "day")
+    assert glm.absorbed_effects(spark, fitted, ["wet"], clustered=True).count() == 0
+    rows = spark.createDataFrame([(float(k), k / 7.0, k % 2) for k in range(20)], "y double, wet double, day long")
+    with pytest.raises(ArithmeticError):
+        glm.fit_absorbed(rows, "y", [], ["wet"], "day", rounds=2)
+
+
 def test_the_same_date_of_two_years_is_two_groups(spark, sf):
     rows = stats_book.city_hours(spark, sf)
     assert rows.select("day").distinct().count() == rows.select(F.to_date("time")).distinct().count()
