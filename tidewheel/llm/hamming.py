@@ -11,7 +11,8 @@ sets.
 No group is expanded into all its pairs:
 
 * documents with equal shingle sets are one node;
-* under each key every node is compared with one centre, the node whose keys are the most frequent;
+* under each key every node is compared with one centre, the one with the smallest number, which keys of the same nodes
+  share; further searches work on the components found so far, not on their nodes;
 * what is left are pairs within a cluster of nodes that keys tie together, in different components so far. A node's
   shingles that nobody else in the cluster has bound its similarity to all of them. Nodes outside the largest component
   that the bound does not settle meet all others in blocks of BLOCK: a pair of blocks is one product of incidence
@@ -153,7 +154,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             sets = [shingle_set(t, width).view(np.int64) for t in group]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return texts.mapInArrow(run, "node string, shingles array<long>")
+    return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,31 +179,32 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     """
     distance, chunks = distance_of(percent)
     rows = stage(signatures(docs, width), "signatures")
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("digest").alias("digest"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    keys = nodes.select("node", "n", F.explode(chunk_keys(distance=distance, chunks=chunks)).alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    keys = stage(keys.join(shared, "key"), "signature-keys")
-
-    # the centre of a key: the node whose keys hold the most nodes
-    weight = keys.groupBy("node").agg(F.sum("size").alias("weight"))
-    weighed = keys.join(weight, "node")
-    centres = weighed.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
-    star = keys.join(centres, "key").where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    one = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("digest").alias("digest"), F.first("sig").alias("sig"))
+    # short numbers that stay what they are, as the table is written
+    nodes = stage(one.select(F.monotonically_increasing_id().alias("id"), F.col("node").alias("set_digest"), "digest", "sig"), "nodes")
+    keys = nodes.select(F.col("id").alias("node"), F.explode(chunk_keys(distance=distance, chunks=chunks)).alias("key"))
+    # the centre of a key: its node with the smallest number, which is the same one for keys that hold the same nodes
+    shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    star = keys.join(shared, "key").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = stage(star, "star-pairs")
 
     # the texts of nodes that share a key are read once more
-    wanted = keys.select("node").distinct().join(nodes.select("node", "digest"), "node")
-    sets = stage(shingle_sets(docs, wanted, width), "shingle-sets")
+    met = star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))).distinct()
+    sets = stage(shingle_sets(docs, met.join(nodes.select("id", "digest"), "id").withColumnRenamed("id", "node"), width), "shingle-sets")
     links = stage(confirmed(star, sets, percent), "links")
-    found = components(links)
-
-    discard(keys)
-    more = stage(more_links(components(star), found, sets, percent), "links")
-    discard(sets)
+    found = stage(components(links), "found")
+    discard(links)
+
+    # what else shares keys: components tied together by pairs that are no links
+    between = contracted(star, found)
+    clusters = expanded(components(between), found)
+    more = stage(more_links(clusters, found, sets, percent), "links")
+    discard(sets, star)
     if not more.isEmpty():
-        found = components(links.unionByName(more))
+        found = expanded(components(contracted(more, found)), found, all_nodes=True)
 
-    members = rows.join(found, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    numbered = rows.join(nodes.select(F.col("set_digest").alias("node"), "id"), "node", "left")
+    members = numbered.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("root", "id"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     least = members.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(place).alias("least"))
     out = members.join(least, "group", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")))
@@ -211,6 +213,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "digest", F.coalesce(first, F.lit(False)).alias("first"))
 
 
+def contracted(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """``edges`` between the roots of components instead of their nodes; a node of no component is its own root."""
+    for end in ("a", "b"):
+        edges = edges.join(found.select(F.col("node").alias(end), F.col("root").alias("_r")), end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+    return edges.where("a <> b").distinct()
+
+
+def expanded(roots: DataFrame, found: DataFrame, all_nodes: bool = False) -> DataFrame:
+    """Components of contracted edges (``roots``) as components of nodes: all members of ``found`` follow their root. Nodes of
+    components that were tied to nothing are only given with ``all_nodes``."""
+    over = roots.select(F.col("node").alias("root"), F.col("root").alias("_over"))
+    inside = found.join(over, "root", "left" if all_nodes else "inner").select("node", F.coalesce("_over", "root").alias("root"))
+    alone = roots.join(found, "node", "left_anti")
+    return inside.unionByName(alone)
+
+
 def more_links(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (``a``, ``b``) between the components ``found`` within clusters; of the nodes of one component that a node is
     linked to, the smallest stands for all."""
@@ -237,7 +255,7 @@ def more_links(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent:
     left = blocks.where("outside").select("cluster", one.alias("i"), each("_n").alias("j"), F.lit(True).alias("outer"), "node", "group", "shingles")
     right = blocks.select("cluster", each("_k").alias("i"), other.alias("j"), F.lit(False).alias("outer"), "node", "group", "shingles")
     pairs = left.unionByName(right).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return pairs.mapInArrow(lambda batches: block_links(batches, percent), "a string, b string").distinct()
+    return pairs.mapInArrow(lambda batches: block_links(batches, percent), "a long, b long").distinct()
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -269,29 +287,29 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 def block_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (cluster, i, j); each such group holds a block of nodes outside and one of all nodes."""
 
-    def links(rows: list[tuple]) -> list[tuple[str, str]]:
+    def links(rows: list[tuple]) -> list[tuple[int, int]]:
         left, right = ([r for r in rows if r[3] is outer] for outer in (True, False))
         if not left or not right:
             return []
         both = common_counts([r[6] for r in left], [r[6] for r in right])
         n, m = (np.array([len(r[6]) for r in side])[:, None] for side in (left, right))
         near = both * 100 >= percent * (n + m.T - both)
-        out: dict[tuple[str, str], str] = {}
+        out: dict[tuple[int, int], int] = {}
         for i, j in zip(*np.nonzero(near), strict=True):
             (a, own), (b, group) = left[i][4:6], right[j][4:6]
             if own != group:
                 out[a, group] = min(b, out.get((a, group), b))
         return [(a, b) for (a, _), b in out.items()]
 
-    def batch_of(out: list[tuple[str, str]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.string()) for k in (0, 1)], ["a", "b"])
+    def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     held: list[tuple] = []
     for batch in batches:
         lists = batch.column("shingles")
         flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())
         sets = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        out: list[tuple[str, str]] = []
+        out: list[tuple[int, int]] = []
         for r in zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j", "outer", "node", "group")), sets, strict=True):
             if held and held[0][:3] != r[:3]:
                 out += links(held)
