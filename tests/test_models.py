@@ -31,9 +31,53 @@ def test_recent_months(spark):
 
 
 def test_permuted_columns_are_a_permutation(spark):
-    rows = spark.range(200).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b"), (F.col("id") * 3).alias("x"))
-    out = modeling.permuted(rows, ["a", "b"], ["x"], 0).toPandas()
-    assert sorted(out["_p_x"]) == sorted(out["x"]) and (out["_p_x"] != out["x"]).mean() > 0.9
+    rows = spark.createDataFrame([(i % 7, i, float(i)) for i in range(300)], "a long, b long, x double")
+    placed = modeling.positions(rows, ["a", "b"])
+    one, two = (modeling.permuted(placed, ["x"], repeat).toPandas() for repeat in (0, 1))
+    for out in (one, two):
+        assert sorted(out["_p_x"]) == sorted(out["x"]) and (out["_p_x"] == out["x"]).mean() < 0.1
+    assert (one.sort_values("b")["_p_x"].to_numpy() == two.sort_values("b")["_p_x"].to_numpy()).mean() < 0.1
+    assert modeling.permuted(modeling.positions(rows.where("false"), ["a", "b"]), ["x"], 0).count() == 0
+
+
+def test_keyed_bijection_uses_every_number_once():
+    for n in (1, 2, 3, 10, 17, 99, 100, 101, 5000, 65537):
+        for key in (1, 2, 12345):
+            out = modeling.keyed_bijection(np.arange(n), n, key)
+            assert np.array_equal(np.sort(out), np.arange(n))
+    many = modeling.keyed_bijection(np.arange(100_000), 100_000, 3)
+    assert abs(np.corrcoef(np.arange(100_000), many)[0, 1]) < 0.02 and (many == np.arange(100_000)).sum() < 20
+
+
+def test_candidates_are_drawn_from_their_ranges_and_repeatable():
+    space = {"a": modeling.Between(2, 5), "b": modeling.Between(1, 1000, log=True), "c": modeling.Between(0.1, 0.2, whole=False), "d": ["x", "y"]}
+    drawn = modeling.sampled(space, 200, 7)
+    assert drawn == modeling.sampled(space, 200, 7) != modeling.sampled(space, 200, 8)
+    assert {c["a"] for c in drawn} == {2, 3, 4, 5} and {c["d"] for c in drawn} == {"x", "y"}
+    assert all(1 <= c["b"] <= 1000 and 0.1 <= c["c"] <= 0.2 for c in drawn) and 0.3 < np.mean([c["b"] < 32 for c in drawn]) < 0.7
+    assert len(modeling.sampled({"a": modeling.Between(1, 3)}, 10, 1)) == 3
+    assert modeling.grid({"a": [1, 2], "b": [3]}) == [{"a": 1, "b": 3}, {"a": 2, "b": 3}]
+
+
+def test_halving_drops_candidates_and_equals_a_cross_validation(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(3)
+    x = rng.random((600, 2))
+    y = (x[:, 0] + 0.3 * rng.random(600) > 0.6).astype(float)
+    rows = spark.createDataFrame([(float(a), float(b), float(t), i % 3) for i, ((a, b), t) in enumerate(zip(x, y))], "a double, b double, y double, fold int")
+    learner, judge = DecisionTreeClassifier(labelCol="y", seed=1), BinaryClassificationEvaluator(labelCol="y")
+    stages = [VectorAssembler(inputCols=["a", "b"], outputCol="features")]
+    search = modeling.FoldSearch(rows, stages, learner, judge)
+    candidates = modeling.grid({"maxDepth": [1, 2, 3, 5]})
+    found = search.halving(candidates, [([0], 2), ([1, 2], None)])
+    assert sorted(len(s) for _, s in found) == [1, 1, 3, 3]
+    first = [s[0] for _, s in found]
+    assert {c["maxDepth"] for c, s in found if len(s) == 3} == {candidates[i]["maxDepth"] for i in sorted(range(4), key=lambda i: -first[i])[:2]}
+    direct = learner.copy({learner.maxDepth: 3}).fit(stages[0].transform(rows.where("fold <> 0"))).transform(stages[0].transform(rows.where("fold = 0")))
+    assert first[2] == pytest.approx(judge.evaluate(direct))
 
 
 def test_out_of_fold_scores_cover_every_row_once(spark):

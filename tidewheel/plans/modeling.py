@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-
+import math
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewheel.functions import features
 from tidewheel.operators import clean, history, joins, splits
@@ -159,13 +167,125 @@ def predict_demand(model: PipelineModel, rows: DataFrame, numbers: Sequence[str]
     return scored.withColumn("pred", F.greatest(F.lit(0.0), F.expm1("log_pred"))).select(*[F.col(c) for c in keep], "pred")
 
 
-def permuted(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], repeat: int) -> DataFrame:
-    """Rows with ``_p_<column>``: the columns of another row, by matching positions under two orders."""
-    base = row_index(rows, keys, "_a", spread_copies=False).drop("_a_n")
-    draw = splits.mixed_number(F.col(keys[0]), F.col(keys[1]) + repeat * 1_000_003)
-    other = row_index(rows.select(*keys, *[c for c in columns if c not in keys]).withColumn("_draw", draw), ["_draw", *keys], "_a", spread_copies=False)
-    other = other.select("_a", *[F.col(c).alias(f"_p_{c}") for c in columns])
-    return base.join(other, "_a").drop("_a")
+def keyed_bijection(x: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
+    """Each of 0 .. n-1 once, in an order that follows from ``key``. A number is split into row and column of a table with
+    room for n or little more, and each is shifted in turn by a hash of the other (a Feistel network); where that leads
+    to a place beyond n it is done again, which ends, as the step is one-to-one."""
+    wide = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    high = -(-n // wide) or 1
+
+    def mixed(v: np.ndarray, salt: int) -> np.ndarray:
+        h = (v.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return ((h ^ (h >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
+
+    def step(v: np.ndarray) -> np.ndarray:
+        row, column = v // wide, v % wide
+        for k in range(rounds):
+            salt = (key * 1_000_003 + 2 * k) % (1 << 62)
+            row = (row + mixed(column, salt)) % high
+            column = (column + mixed(row, salt + 1)) % wide
+        return row * wide + column
+
+    out = step(np.asarray(x, np.int64))
+    while (beyond := out >= n).any():
+        out[beyond] = step(out[beyond])
+    return out
+
+
+def positions(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with their place ``_a`` in one order, written once for all repeats of ``permuted``."""
+    return stage(row_index(rows, keys, "_a", spread_copies=False).drop("_a_n"), "positions")
+
+
+def permuted(placed: DataFrame, columns: Sequence[str], repeat: int) -> DataFrame:
+    """Rows of ``positions`` with ``_p_<column>``: the columns of another row, each row's used once. A row's partner is
+    computed from its place, so a repeat costs one join by place and no order of its own."""
+    n = placed.count()
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            other = keyed_bijection(batch.column("_a").to_numpy(), n, repeat + 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(other)], [*batch.schema.names, "_b"])
+
+    paired = placed.mapInArrow(partners, StructType([*placed.schema, StructField("_b", LongType())]))
+    other = placed.select(F.col("_a").alias("_b"), *[F.col(c).alias(f"_p_{c}") for c in columns])
+    return paired.join(other, "_b").drop("_a", "_b")
+
+
+@dataclass(frozen=True)
+class Between:
+    """A parameter's values from ``low`` to ``high``: evenly spread, or with ``log`` so in their logarithm; whole numbers or not."""
+
+    low: float
+    high: float
+    whole: bool = True
+    log: bool = False
+
+    def draw(self, rng: np.random.Generator) -> float | int:
+        ends = (math.log(self.low), math.log(self.high)) if self.log else (self.low, self.high)
+        if self.whole and not self.log:
+            return int(rng.integers(self.low, self.high + 1))
+        value = rng.uniform(*ends)
+        value = min(max(math.exp(value) if self.log else value, self.low), self.high)
+        return int(round(value)) if self.whole else float(value)
+
+
+Candidate = dict[str, object]
+
+
+def sampled(space: Mapping[str, Between | Sequence[object]], n: int, seed: int) -> list[Candidate]:
+    """``n`` different candidates (fewer if the space has no more), each parameter drawn from its range or list; the same ones
+    for the same seed."""
+    rng, found = np.random.default_rng(seed), []
+    for _ in range(50 * n):
+        one = {name: values.draw(rng) if isinstance(values, Between) else values[int(rng.integers(len(values)))] for name, values in space.items()}
+        if one not in found:
+            found.append(one)
+        if len(found) == n:
+            break
+    return found
+
+
+def grid(space: Mapping[str, Sequence[object]]) -> list[Candidate]:
+    """Every combination of the listed values."""
+    return [dict(zip(space, values, strict=True)) for values in product(*space.values())]
+
+
+class FoldSearch:
+    """Scores of candidates on given folds. The preparation of a fold is fitted on its training rows once, written, and
+    shared by all candidates and searches."""
+
+    def __init__(self, rows: DataFrame, stages: list, learner: Estimator, evaluator: Evaluator, fold: str = "fold"):
+        self.rows, self.stages, self.learner, self.evaluator, self.fold = rows, stages, learner, evaluator, fold
+        self.parts: dict[int, tuple[DataFrame, DataFrame]] = {}
+
+    def _parts(self, k: int) -> tuple[DataFrame, DataFrame]:
+        if k not in self.parts:
+            train, held = self.rows.where(F.col(self.fold) != k), self.rows.where(F.col(self.fold) == k)
+            prepared = Pipeline(stages=self.stages).fit(train)
+            keep = ["features", self.learner.getLabelCol()]
+            self.parts[k] = tuple(stage(prepared.transform(part).select(*keep), "fold") for part in (train, held))
+        return self.parts[k]
+
+    def score(self, candidate: Candidate, k: int) -> float:
+        train, held = self._parts(k)
+        settings = {self.learner.getParam(name): value for name, value in candidate.items()}
+        return float(self.evaluator.evaluate(self.learner.copy(settings).fit(train).transform(held)))
+
+    def halving(self, candidates: Sequence[Candidate], rungs: Sequence[tuple[Sequence[int], int | None]], parallelism: int = 4) -> list[tuple[Candidate, list[float]]]:
+        """Candidates with their scores by fold. Every rung adds folds and lets the given number of candidates with the best
+        mean so far go on (None: all); those that drop out keep the scores they have. Ties go to the earlier candidate."""
+        scores: list[list[float]] = [[] for _ in candidates]
+        alive = list(range(len(candidates)))
+        with ThreadPoolExecutor(parallelism) as pool:
+            for folds, survivors in rungs:
+                for k in folds:
+                    self._parts(k)
+                    for i, value in zip(alive, pool.map(lambda i, k=k: self.score(candidates[i], k), alive), strict=True):
+                        scores[i].append(value)
+                alive = sorted(alive, key=lambda i: (-float(np.mean(scores[i])), i))[:survivors]
+        return list(zip(candidates, scores, strict=True))
 
 
 def busiest_stations(spark: SparkSession, sf: str, months: int = 12) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from itertools import combinations
 
+import numpy as np
+
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
@@ -12,7 +14,6 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tidewheel.functions import calendar as cal
@@ -306,19 +307,22 @@ def cross_validate(spark, sf):
     return auc.join(ap, ["model", "fold"])
 
 
+SEARCH_GRID = {"maxDepth": [3, 6], "minInstancesPerNode": [1, 20]}
+SEARCH_SPACE = {"maxDepth": modeling.Between(2, 8), "minInstancesPerNode": modeling.Between(1, 100, log=True)}
+#: Random candidates, and the folds that each rung adds with how many candidates go on after it.
+N_RANDOM, RUNGS = 8, [([0], 4), ([1], 2), ([2, 3, 4], None)]
+
+
 @add("hyperparameter_search")
 def hyperparameter_search(spark, sf):
-    """Grid over given folds, sorted by score."""
-    rows = modeling.risk_frame(spark, sf)
+    """A grid on all given folds, and a random search that halves its candidates as folds are added, by score."""
     learner = DecisionTreeClassifier(labelCol="y", seed=42)
-    stages = modeling.tree_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS)
-    grid = ParamGridBuilder().addGrid(learner.maxDepth, [3, 6]).addGrid(learner.minInstancesPerNode, [1, 20]).build()
     # the preparation is part of what is fitted on the training folds
-    search = CrossValidator(estimator=Pipeline(stages=[*stages, learner]), estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol="y"),
-                            numFolds=5, foldCol="fold", parallelism=4)
-    found = search.fit(rows.select(*modeling.RISK_CATEGORIES, *modeling.RISK_NUMBERS, "y", "fold"))
-    rows = [(p[learner.maxDepth], p[learner.minInstancesPerNode], float(m), float(s)) for p, m, s in zip(grid, found.avgMetrics, found.stdMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, min_rows int, auc double, auc_std double").orderBy(F.desc("auc"))
+    search = modeling.FoldSearch(modeling.risk_frame(spark, sf), modeling.tree_stages(modeling.RISK_CATEGORIES, modeling.RISK_NUMBERS), learner, BinaryClassificationEvaluator(labelCol="y"))
+    found = [("grid", *r) for r in search.halving(modeling.grid(SEARCH_GRID), [(range(5), None)])]
+    found += [("random", *r) for r in search.halving(modeling.sampled(SEARCH_SPACE, N_RANDOM, 42), RUNGS)]
+    rows = [(method, c["maxDepth"], c["minInstancesPerNode"], len(s), float(np.mean(s)), float(np.std(s, ddof=1)) if len(s) > 1 else None) for method, c, s in found]
+    return spark.createDataFrame(rows, "method string, max_depth int, min_rows int, folds int, auc double, auc_std double").orderBy(F.desc("auc"))
 
 
 @add("stack_models")
@@ -368,9 +372,10 @@ def permutation_importance(spark, sf):
     test = stage(rows.where("split = 'test'").withColumn("hour_number", F.timestamp_diff("HOUR", F.lit("2000-01-01").cast("timestamp_ntz"), F.col("time"))), "test")
     made = [*modeling.DEMAND_CATEGORIES, *numbers]
     groups = {c: [c] for c in made} | {"weather": ["temperature_c", "precipitation_mm", "wind_kmh", "snow_depth_cm"]}
+    placed = modeling.positions(test, ["hour_number", "zone"])
     out = None
     for repeat in range(2):
-        pair = modeling.permuted(test.withColumn("_zone", F.col("zone")), ["hour_number", "_zone"], made, repeat)
+        pair = modeling.permuted(placed, made, repeat)
         variants = [F.struct(F.lit(name).alias("feature"), *[F.col(f"_p_{c}" if c in cols else c).cast("double" if c in numbers else "int").alias(c) for c in made]) for name, cols in {"(none)": [], **groups}.items()]
         wide = pair.select("trips", F.explode(F.array(*variants)).alias("v")).select("trips", "v.*")
         scored = modeling.predict_demand(model, wide)
