@@ -38,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one with the smallest id,
     a null id after all others, and of texts under that id the one with the smallest digest.
 
-    Documents without words are in no group and stay. Of rows of a group that share a doc_id and a text one stays. Rows
+    Documents without words are in no group and stay. Of rows of a group that share a doc_id and a text one stays, whichever way they were read. Rows
     are told apart by doc_id and text, so what is decided for one row says nothing about others under its id.
     """
     key = free_name(docs, "_digest")
@@ -48,8 +48,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     marked = docs.withColumn(key, text_digest("text"))
     same = marked["doc_id"].eqNullSafe(decided["_id"]) & (marked[key] == decided["_text"])
     once = marked.join(decided, same, "left_anti")
-    again = marked.join(decided.where("_first"), same, "left_semi").dropDuplicates(["doc_id", key])
-    return once.unionByName(again).drop(key)
+    # of rows that differ in other columns only, the one with the smallest hash of all columns
+    again = marked.join(decided.where("_first"), same, "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col(key).alias("_text"))
+    again = again.agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*")
+    return once.drop(key).unionByName(again)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
