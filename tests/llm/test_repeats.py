@@ -95,3 +95,31 @@ def test_copies_of_a_hot_passage_never_meet_in_one_bucket(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_unpacked", watched)
     found = suffixes.remove_repeats(frame(spark, rows).repartition(3), 20).collect()
     assert sorted((str(r.doc_id), r.n_bytes, list(r.spans), bytes(r.kept)) for r in found) == brute(rows, 20)
+
+
+def test_groups_that_are_cut_by_ranges_have_one_rank(spark):
+    """A hot pair, a hot first key with different second keys, single rows; over seven ranges that are not merged."""
+    rng = random.Random(5)
+    rows = [(7, 7, p) for p in range(400)] + [(9, rng.randrange(300), 400 + p) for p in range(400)] + [(1000 + p, 0, 800 + p) for p in range(50)] + [(-5, -5, 900), (-5, 3, 901)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(a, b, p, 0, 1 + p % 3, 1, 1) for a, b, p in rows], suffixes._SORTED).repartition(3)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        for by in ("size_a", "size_b"):
+            found = suffixes.ranked(df, by)
+            assert found.staged.select("part").distinct().count() > 3
+            size_a, size_b, least = {}, {}, {}
+            for a, b, p in rows:
+                size_a[a] = size_a.get(a, 0) + 1 + p % 3
+                size_b[a, b] = size_b.get((a, b), 0) + 1 + p % 3
+                least[a, b] = min(p, least.get((a, b), p))
+            wanted = [(p, size_a[a], size_b[a, b], least[a, b]) for a, b, p in rows if (size_a[a] if by == "size_a" else size_b[a, b]) > 1]
+            assert sorted((r.pos, r.size_a, r.size_b, r["rank"]) for r in found.collect()) == sorted(wanted)
+        texts = passages(6)
+        result = suffixes.remove_repeats(frame(spark, texts).repartition(3), 20).collect()
+        assert sorted((str(r.doc_id), r.n_bytes, list(r.spans), bytes(r.kept)) for r in result) == brute(texts, 20)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)

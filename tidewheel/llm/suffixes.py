@@ -5,10 +5,12 @@ A byte goes if a string of ``length`` bytes around it also starts anywhere else,
 1. *Positions.* Ranking every byte position would move many times the input, so suffixes are sorted from anchors only:
    positions whose hash of the next GRAM bytes is the least of some ``length - GRAM + 1`` neighbours. The least gram of a
    string of ``length`` bytes depends on the string alone, so copies of a string have that anchor at the same place.
-2. *Prefix doubling.* The first rank of an anchor is the name of the string up to the first anchor at least ``length / 4``
-   bytes on, that anchor's gram included. Then Spark brings equal pairs (rank at an anchor, rank at the anchor where that
-   string ends) together, and the smallest position among them is the new rank: the strings double. A string that is
-   unique is dropped; one of ``length`` bytes or more is a repeat for certain, and only its first copy goes on to speak
+2. *Prefix doubling.* Spark sorts (gram, name of the string from the anchor up to the first anchor at least ``length / 4``
+   bytes on, position) over range partitions, so a hot gram is cut like anything else; equal neighbours get the smallest
+   position among them as their rank. Then it sorts (rank at an anchor, rank at the anchor where that string ends,
+   position) again, and the strings double: a pair of ranks is a pair of positions, so nothing is left to chance here but
+   the first names. A group that is cut by the ranges is put together from one row per partition and side. A string that
+   is unique is dropped; one of ``length`` bytes or more is a repeat for certain, and only its first copy goes on to speak
    for its inside in step 3. Doubling ends past twice the length, so that the strings of neighbouring anchors overlap by it.
 3. *Edges.* A repeat may begin and end between anchors. Strings of ``length`` bytes are candidates where their least gram is
    repeated and no certain repeat speaks for them. They are grouped by their least gram (a 64-bit name) and compared by
@@ -27,7 +29,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -119,6 +122,9 @@ def _gram(length: int) -> int:
     return min(GRAM, max(1, length // 4))
 
 
+_ARRAYS = "n_bytes int, places array<int>, grams array<long>, nexts array<int>, names array<long>"
+
+
 def anchored(docs: DataFrame, length: int) -> DataFrame:
     """One row per distinct text of at least ``length`` bytes: its digest, copies, anchors, grams and first strings."""
     gram = _gram(length)
@@ -141,52 +147,115 @@ def anchored(docs: DataFrame, length: int) -> DataFrame:
             )
 
     rows = keyed(docs).where(F.octet_length("text") >= length).select("key", "text")
-    found = rows.mapInArrow(run, "key binary, n_bytes int, places array<int>, grams array<long>, nexts array<int>, names array<long>")
+    found = rows.mapInArrow(run, f"key binary, {_ARRAYS}")
     one = found.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("copies"), *[F.first(c).alias(c) for c in ("n_bytes", "places", "grams", "nexts", "names")])
     # numbers that stay what they are, as the table is written
-    return stage(one.withColumn("doc", F.monotonically_increasing_id()), "anchors")
+    return stage(one.mapInArrow(_numbered, f"doc long, key binary, copies int, {_ARRAYS}"), "anchors")
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``doc``, the position of a text's first anchor: partition number and anchors before it there. The positions of
+    the anchors, ``doc + i``, are all different and in the order of documents and places."""
+    at = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        n = batch.column("places").value_lengths().to_numpy().astype(np.int64) + 1
+        ends = np.cumsum(n) + at
+        yield pa.RecordBatch.from_arrays([pa.array(ends - n), *batch.columns], ["doc", *batch.schema.names])
+        at = int(ends[-1]) if len(ends) else at
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return narrow(docs).withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
 
 
-def repeated_grams(texts: DataFrame) -> DataFrame:
-    """``doc``, ``i`` and ``size`` of the anchors whose grams stand at ``size`` > 1 places."""
-    spots = texts.select("doc", "copies", F.posexplode("grams").alias("i", "gram"))
-    sizes = spots.groupBy("gram").agg(F.sum("copies").alias("size")).where("size > 1")
-    return spots.select("doc", "i", "gram").join(sizes, "gram").select("doc", "i", "size")
+_SORTED = "a long, b long, pos long, i int, copies int, step int, reach int"
+
+
+def ranked(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` (a, b, pos, i, copies, step, reach), sorted by (a, b, pos), with ``size_a`` and ``size_b``, the copies of all
+    rows that share a, or a and b, and ``rank``, the smallest position with this a and b. Only rows whose ``by`` (one of the
+    sizes) is more than one are kept. The result is a staged table's rows; it is read with ``.staged``.
+
+    The rows are sorted over range partitions and numbered inside each. A group may be cut by the ranges: the first and last
+    group of every partition are marked, and one row for each goes to the driver, which adds up those that belong together.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if len(b)]  # a range partition of narrow rows
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        a, b, pos, copies = (rows.column(c).to_numpy() for c in ("a", "b", "pos", "copies"))
+        new_a = np.diff(a, prepend=a[:1]) != 0
+        new_a[0] = True
+        new_b = new_a | (np.diff(b, prepend=b[:1]) != 0)
+
+        def grouped(new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            first, number = np.flatnonzero(new), np.cumsum(new) - 1
+            side = np.where(number == 0, 1, np.where(number == len(first) - 1, 2, 0)).astype(np.int8)
+            return first[number], np.add.reduceat(copies.astype(np.int64), first)[number], side
+
+        (_, size_a, side_a), (first, size_b, side_b) = grouped(new_a), grouped(new_b)
+        more = {"size_a": size_a, "size_b": size_b, "rank": pos[first], "side_a": side_a, "side_b": side_b, "part": np.full(len(a), TaskContext.get().partitionId(), np.int32)}
+        kept = (size_a > 1) | (side_a > 0) if by == "size_a" else (size_b > 1) | (side_b > 0)
+        for name, values in more.items():
+            rows = rows.append_column(name, pa.array(values))
+        yield from rows.filter(pa.array(kept)).combine_chunks().to_batches(max_chunksize=1 << 16)
+
+    in_order = rows.select("a", "b", "pos", "i", "copies", "step", "reach").repartitionByRange("a", "b", "pos").sortWithinPartitions("a", "b", "pos")
+    table = stage(in_order.mapInArrow(run, f"{_SORTED}, size_a long, size_b long, rank long, side_a byte, side_b byte, part int"), "ranks")
+    cut_a = table.where("side_a > 0").groupBy("part", "side_a").agg(F.first("a").alias("a"), F.first("size_a").alias("n"))
+    cut_b = table.where("side_b > 0").groupBy("part", "side_b").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.first("size_b").alias("n"), F.min("rank").alias("rank"))
+    # at most two rows a partition each
+    cuts = cut_a.withColumnRenamed("side_a", "side").unionByName(cut_b.withColumnRenamed("side_b", "side"), allowMissingColumns=True).collect()
+    total, least = {}, {}
+    for r in cuts:
+        total[r.a, r.b] = total.get((r.a, r.b), 0) + r.n
+        least[r.a, r.b] = min(r.rank or 0, least.get((r.a, r.b), r.rank or 0))
+    parts = max([r.part for r in cuts], default=0) + 1
+
+    def whole(column: str, side: str, values: dict, level: bool) -> Column:
+        """The value of a marked group by partition and side, from an array that Spark folds into a constant."""
+        at = [0] * (2 * parts)
+        for r in cuts:
+            if (r.b is not None) == level:
+                at[2 * r.part + r.side - 1] = values[r.a, r.b]
+        known = F.split(F.lit(",".join(map(str, at))), ",").cast("array<long>")
+        return F.when(F.col(side) > 0, F.get(known, 2 * F.col("part") + F.col(side) - 1)).otherwise(F.col(column)).alias(column)
+
+    sizes = [whole("size_a", "side_a", total, False), whole("size_b", "side_b", total, True), whole("rank", "side_b", least, True)]
+    out = table.select("pos", "i", "copies", "step", "reach", *sizes).where(F.col(by) > 1)
+    out.staged = table
+    return out
 
 
 def certain_repeats(texts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Prefix doubling over anchors: the strings between anchors that reach ``length`` bytes and are repeated, as ``doc``,
-    ``i`` and ``last`` (their first and last anchor) and ``first`` (whether no smaller position has the same string); and
-    the staged tables that they are read from."""
+    """Prefix doubling over anchors: one row per ``doc`` and ``i`` with ``size``, the number of places of the anchor's gram
+    if that is more than one, or with ``last`` and ``first`` for a repeated string between anchors i and last that reaches
+    ``length`` bytes (``first``: no smaller position has the same string); and the staged tables that they are read from."""
     gram = _gram(length)
-    strings = texts.select("doc", "copies", "places", F.posexplode(F.arrays_zip("nexts", "names")).alias("i", "s"))
-    strings = strings.select(
-        "doc", "i", "copies", F.col("s.nexts").alias("last"), F.get("places", F.col("i")).alias("place"),
-        (F.get("places", F.col("s.nexts")) + gram).alias("end"), F.col("s.names").alias("a"), F.lit(0).cast("long").alias("b"),
+    spots = texts.select("doc", "copies", "places", "nexts", "names", F.posexplode("grams").alias("i", "a"))
+    following = F.get("nexts", F.col("i"))  # the last anchors of a text have none
+    strings = spots.select(
+        "a", F.coalesce(F.get("names", F.col("i")), F.lit(0)).cast("long").alias("b"), (F.col("doc") + F.col("i")).alias("pos"), "i", "copies",
+        F.coalesce(following - F.col("i"), F.lit(0)).alias("step"),
+        F.coalesce(F.get("places", following) + gram - F.get("places", F.col("i")), F.lit(0)).alias("reach"),
     )
-    done, staged = None, []
+    rows = ranked(strings, "size_a")
+    doc, none = (F.col("pos") - F.col("i")).alias("doc"), F.lit(None)
+    found = rows.select(doc, "i", F.col("size_a").alias("size"), none.cast("int").alias("last"), none.cast("boolean").alias("first"))
+    staged = [rows.staged]
+    rows = rows.where("step > 0 and size_b > 1")
     while True:
-        ranks = strings.groupBy("a", "b").agg(F.sum("copies").alias("holders"), F.min(F.struct("doc", "i")).alias("rank")).where("holders > 1")
-        kept = stage(strings.join(ranks.drop("holders"), ["a", "b"]).drop("a", "b"), "ranks")
-        staged.append(kept)
-        span = F.col("end") - F.col("place")
-        first = (F.col("rank.doc") == F.col("doc")) & (F.col("rank.i") == F.col("i"))
-        whole = kept.where(span >= length).select("doc", "i", "last", first.alias("first"))
-        done = whole if done is None else done.unionByName(whole)
-        short = kept.where(span < 2 * length)
+        whole = rows.where(F.col("reach") >= length)
+        found = found.unionByName(whole.select(doc, "i", none.cast("long").alias("size"), (F.col("i") + F.col("step")).alias("last"), (F.col("rank") == F.col("pos")).alias("first")))
+        short = rows.where(F.col("reach") < 2 * length)
         if short.isEmpty():
-            return done, staged
-        name = F.xxhash64("rank.doc", "rank.i")
-        after = kept.select("doc", F.col("i").alias("last"), F.col("last").alias("_last"), F.col("end").alias("_end"), name.alias("b"))
-        strings = (
-            short.select("doc", "i", "copies", "last", "place", name.alias("a"))
-            .join(after, ["doc", "last"])
-            .select("doc", "i", "copies", F.col("_last").alias("last"), "place", F.col("_end").alias("end"), "a", "b")
-        )
+            return found, staged
+        after = rows.select((F.col("pos")).alias("meets"), F.col("step").alias("_step"), F.col("reach").alias("_reach"), F.col("rank").alias("b"))
+        pairs = short.select("pos", "i", "copies", "step", "reach", F.col("rank").alias("a"), (F.col("pos") + F.col("step")).alias("meets")).join(after, "meets")
+        rows = ranked(pairs.select("a", "b", "pos", "i", "copies", (F.col("step") + F.col("_step")).alias("step"), (F.col("reach") - gram + F.col("_reach")).alias("reach")), "size_b")
+        staged.append(rows.staged)
 
 
 def candidate_starts(n_bytes: int, places: np.ndarray, names: np.ndarray, sizes: np.ndarray, runs: list[tuple[int, int]], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -262,10 +331,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     neither touching nor overlapping)."""
     gram = _gram(length)
     texts = anchored(docs, length)
-    marks = repeated_grams(texts).groupBy("doc").agg(F.collect_list(F.struct("i", "size")).alias("marks"))
     certain, ranks = certain_repeats(texts, length)
-    runs = certain.groupBy("doc").agg(F.collect_list(F.struct("i", "last", "first")).alias("runs"))
-    known = texts.select("doc", "key", "n_bytes", "copies", "places", "grams").join(marks, "doc").join(runs, "doc", "left")
+    found = certain.groupBy("doc").agg(F.collect_list(F.struct("i", "size", "last", "first")).alias("found"))
+    found = found.select("doc", F.filter("found", lambda x: x["size"].isNotNull()).alias("marks"), F.filter("found", lambda x: x["size"].isNull()).alias("runs"))
+    known = texts.select("doc", "key", "n_bytes", "copies", "places", "grams").join(found, "doc")
     arrays = {"marked": "marks.i", "sizes": "marks.size", "runs_from": "runs.i", "runs_to": "runs.last", "runs_first": "runs.first"}
     known = stage(known.select("doc", "key", "n_bytes", "copies", "places", "grams", *[F.col(c).alias(n) for n, c in arrays.items()]), "known-runs")
     discard(texts, *ranks)
@@ -376,7 +445,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         return lists.map(one)
 
-    inside = known.where("runs_from is not null").select("doc", F.zip_with("runs_from", "runs_to", lambda a, b: F.array(F.get("places", a), F.get("places", b) + gram)).alias("s")).select("doc", F.flatten("s").alias("spans"))
+    inside = known.where("size(runs_from) > 0").select("doc", F.zip_with("runs_from", "runs_to", lambda a, b: F.array(F.get("places", a), F.get("places", b) + gram)).alias("s")).select("doc", F.flatten("s").alias("spans"))
     copied = known.where("copies > 1").select("doc", F.expr("array(0, n_bytes)").alias("spans"))
     every = parts.unionByName(inside).unionByName(copied)
     by_doc = every.groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans")).select("doc", joined("spans").alias("spans"))
