@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import calendar as cal
 from tidewheel.functions import features, geo
-from tidewheel.operators import clean, glm, history, joins, metrics, prepare
+from tidewheel.operators import boosting, clean, glm, history, joins, metrics, prepare
 from tidewheel.operators.order import exact_quantiles
 from tidewheel.plans import demand, modeling
 from tidewheel.plans import views as v
@@ -270,21 +270,19 @@ def fit_forest(spark, sf):
 
 @add("fit_boosting")
 def fit_boosting(spark, sf):
-    """Boosted trees on the logarithm of minutes and on minutes, squared and absolute loss."""
+    """Boosted trees on the logarithm of minutes and on minutes, squared and absolute loss; and on zone counts, Poisson loss."""
     train, test, _ = modeling.duration_parts(spark, sf)
-    numbers = DURATION_NUMBERS
-    train, test = modeling.as_double(train, numbers), modeling.as_double(test, numbers)
-    prepared = Pipeline(stages=modeling.tree_stages(features.DURATION_CATEGORIES, numbers)).fit(train)
-    keep = ["features", "log_minutes", "duration_minutes"]
-    ready, held = (stage(prepared.transform(part).select(*keep), "vectors") for part in (train, test))
-    ready.persist()  # three fits pass over it many times
+    codes = modeling.Codes(features.DURATION_CATEGORIES).fit(train)
+    train, test = codes.transform(train), codes.transform(test)
+    columns = [*DURATION_NUMBERS, *[f"_c_{c}" for c in features.DURATION_CATEGORIES]]
     parts = []
     for name, label, loss in (("log squared", "log_minutes", "squared"), ("squared", "duration_minutes", "squared"), ("absolute", "duration_minutes", "absolute")):
-        learner = GBTRegressor(labelCol=label, lossType=loss, maxIter=10, maxDepth=5, maxBins=64, seed=42, predictionCol="raw")
+        scored = boosting.fit_boosted(train, label, columns, loss).predict(test, "raw")
         raw = F.col("raw")
-        scored = learner.fit(ready).transform(held)
         parts.append((name, duration_scores(scored, features.inverse_log(raw) if label == "log_minutes" else raw)))
-    ready.unpersist()
+    rows = modeling.demand_frame(spark, sf)
+    counts = boosting.fit_boosted(rows.where("split = 'train'"), "trips", [*modeling.DEMAND_NUMBERS, *modeling.DEMAND_CATEGORIES], "poisson")
+    parts.append(("poisson", metrics.regression_metrics(counts.predict(rows.where("split = 'test'")), "trips", "pred")))
     return stacked(parts)
 
 
