@@ -1,7 +1,9 @@
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from pyspark.sql import functions as F
 from tests.llm.conftest import edited, frame, prose
@@ -141,6 +143,44 @@ def test_vectors_of_nothing(spark):
     assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def plain_sketch(text):
+    """Hashes of five words, one after the other with the hash before as seed, as a loop."""
+    words, hashes = re.findall(r"[^ \t\n\r\x0b\f]+", text), set()
+    for at in range(max(1, len(words) - 4)) if words else ():
+        seed = 42
+        for word in words[at : at + 5] if len(words) >= 5 else [" ".join(words)]:
+            seed = xxhash.xxh64_intdigest(word.encode(), seed=seed)
+        hashes.add(seed - (1 << 64) if seed >> 63 else seed)
+    low = [h for h in hashes if h < LAST]
+    return sorted(low if len(low) >= fingerprints.LEAST else hashes)
+
+
+LAST = -(1 << 63) + (1 << 64) // fingerprints.ONE_IN
+
+
+def plain_likeness(a, b):
+    if not all(len(s) < fingerprints.LEAST or max(s) >= LAST for s in (a, b)):
+        a, b = ([h for h in s if h < LAST] for s in (a, b))
+    return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+
+
+def test_short_texts_are_compared_whole(spark):
+    rng = random.Random(4)
+    texts = [prose(rng, n) for n in (6, 9, 20, 40, 70, 100, 400)] + ["", "one"]
+    texts += [t + " " + prose(rng, 3) for t in texts] + [" ".join(texts[5:7]), " ".join(texts[:3])]
+    df = spark.createDataFrame([(i, j, a, b) for i, a in enumerate(texts) for j, b in enumerate(texts)], "i int, j int, a string, b string")
+    df = df.select("i", "j", fingerprints.sketch(F.col("a")).alias("a"), fingerprints.sketch(F.col("b")).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    own = [plain_sketch(t) for t in texts]
+    assert len({len(s) for s in own}) > 6 and any(max(s, default=0) >= LAST for s in own) and any(s and max(s) < LAST for s in own)
+    for r in df.select("i", "j", fingerprints.likeness(a, b).alias("l"), fingerprints.containment(a, b).alias("c"), fingerprints.merge(a, b).alias("m")).collect():
+        x, y = own[r.i], own[r.j]
+        assert r.l == pytest.approx(plain_likeness(x, y)) and (r.c is None or 0 <= r.c <= 1)
+        assert [h for h in r.m if h < LAST] == sorted({h for h in x + y if h < LAST})
+        if r.i == r.j:
+            assert r.l == r.c == 1 and r.m == x
+
+
 def test_sketches_by_hand(spark):
     rng = random.Random(9)
     long = prose(rng, 4000)
@@ -149,6 +189,7 @@ def test_sketches_by_hand(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fingerprints.sketch(F.col("t")).alias("s"))
     found = {r.i: r.s for r in df.collect()}
     assert found[3] == found[4] == found[5] == [] and found[6] == found[7] and len(found[6]) == 1 and len(found[8]) == 1
+    assert all(found[i] == plain_sketch(t or "") for i, t in enumerate(texts))
     assert found[0] == sorted(set(found[0])) and len(found[0]) == pytest.approx(4000 / fingerprints.ONE_IN, rel=0.2)
     every = spark.createDataFrame([(texts[0],)], "t string").select(fingerprints.sketch(F.col("t"), one_in=1).alias("s")).first().s
     assert found[0] == [h for h in every if h < -(1 << 63) + (1 << 64) // fingerprints.ONE_IN]
@@ -172,6 +213,14 @@ def test_edited_texts(spark, docs, no_docs, messy):
         want += [(str(d), len(t), hashlib.sha256(new.encode()).hexdigest())] * times
     assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in found) == sorted(want)
     by_id = {d: t or "" for d, t in messy if d not in (None, 3, 4, 5)}
+    order = [t for _, _, t in distinct]
+    for k, (d, _, t) in enumerate(distinct):
+        half = len(t) // 2
+        after = order[(k + 1) % len(order)]
+        sketches = [plain_sketch(x) for x in (t, t[: len(t) - half] + after[:half], after)]
+        digits = ["".join(f"{h % (1 << 64):016X}" for h in s) for s in sketches]
+        rows = [r for r in found if r.doc_id == d and r.fingerprint == digits[0] and r.edited_fingerprint == digits[1]]
+        assert any(r.near_edited == pytest.approx(plain_likeness(*sketches[:2])) and r.near_next == pytest.approx(plain_likeness(sketches[0], sketches[2])) for r in rows)
     for r in found:
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         if r.doc_id in by_id:

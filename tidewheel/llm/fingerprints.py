@@ -1,14 +1,18 @@
 """Threshold-scaled sketches: every shingle hash below a fixed fraction of the hash range is kept.
 
 All sketches share one threshold, so they can be merged (the sketch of a union is the union of the sketches), and the
-part of a short document that lies in a long one can be estimated, which sketches of fixed size cannot do. A text whose
-hashes all lie above the threshold keeps its smallest one, so only a text without words has an empty sketch.
+part of a short document that lies in a long one can be estimated, which sketches of fixed size cannot do. Of a text with
+fewer than LEAST hashes below the threshold all hashes are kept: its sketch is whole. Two whole sketches are compared as
+they are, which is exact; where one of the two is not whole, only hashes below the threshold count. A sketch tells which
+it is: a whole one has fewer than LEAST hashes or one above the threshold. Only a text without words has an empty sketch.
 
 Everything here is SQL expressions; a text of any length is split once and hashed by position.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +23,19 @@ from tidewheel.session import stage
 WIDTH = 5
 #: One hash in so many is kept.
 ONE_IN = 8
+#: With fewer hashes below the threshold a sketch holds all of them.
+LEAST = 8
 _LOWEST = -(1 << 63)
 
 
+def _last(one_in: int) -> Column:
+    """The greatest hash below the threshold."""
+    return F.lit(_LOWEST + (1 << 64) // one_in - 1)
+
+
 def sketch(text: Column, width: int = WIDTH, one_in: int = ONE_IN) -> Column:
-    """Sorted distinct hashes (array<long>) of the shingles of ``width`` words that lie below the threshold.
+    """Sorted distinct hashes (array<long>) of the shingles of ``width`` words that lie below the threshold, or all of them
+    if fewer than LEAST do.
 
     A text of fewer words is one shingle. Null counts as empty.
     """
@@ -37,9 +49,8 @@ def sketch(text: Column, width: int = WIDTH, one_in: int = ONE_IN) -> Column:
         return F.when(n >= width, many).otherwise(few)
 
     def low(hashes: Column) -> Column:
-        last = F.lit(_LOWEST + (1 << 64) // one_in - 1)
-        kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= last)))
-        return F.when(F.size(kept) > 0, kept).otherwise(F.array(F.array_min(hashes)))
+        kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= _last(one_in))))
+        return F.transform(F.array(kept), lambda k: F.when(F.size(k) >= LEAST, k).otherwise(F.array_sort(F.array_distinct(hashes))))[0]
 
     # one-element arrays bind a value to a name, so that it is worked out once
     hashes = F.transform(F.array(words), of)
@@ -51,21 +62,43 @@ def text_of(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def merge(a: Column, b: Column) -> Column:
-    """The sketch of two documents together."""
-    return F.array_sort(F.array_union(a, b))
+def _together(a: Column, b: Column, one_in: int, of: Callable[[Column, Column], Column]) -> Column:
+    """``of`` both sketches, cut to the threshold unless both are whole."""
+    last = _last(one_in)
+
+    def whole(s: Column) -> Column:
+        return (F.size(s) < LEAST) | (F.get(s, F.size(s) - 1) > last)
+
+    def low(s: Column) -> Column:
+        return F.filter(s, lambda h: h <= last)
+
+    return F.when(whole(a) & whole(b), of(a, b)).otherwise(of(low(a), low(b)))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated part of a's shingles that b has; 1 for an empty a."""
-    return F.when(F.size(a) == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def merge(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
+    """The sketch of two documents together. Two whole sketches give a whole one."""
+    return _together(a, b, one_in, lambda x, y: F.array_sort(F.array_union(x, y)))
 
 
-def likeness(a: Column, b: Column) -> Column:
+def containment(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
+    """Estimated part of a's shingles that b has; 1 for an empty a, null where a is whole and has no hash below the
+    threshold while b is not whole, as nothing is known then."""
+
+    def part(x: Column, y: Column) -> Column:
+        return F.when(F.size(a) == 0, 1.0).when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x))
+
+    return _together(a, b, one_in, part)
+
+
+def likeness(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
     """Estimated shingles in both over shingles in either; 1 for two empty sketches."""
-    both = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - both
-    return F.when(either == 0, 1.0).otherwise(both / either)
+
+    def share(x: Column, y: Column) -> Column:
+        both = F.size(F.array_intersect(x, y))
+        either = F.size(x) + F.size(y) - both
+        return F.when(either == 0, 1.0).otherwise(both / either)
+
+    return _together(a, b, one_in, share)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
