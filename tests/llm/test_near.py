@@ -143,6 +143,31 @@ def test_vectors_of_nothing(spark):
     assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_planted_pairs_at_the_threshold_are_found(spark):
+    """64 dimensions, cosines of 0.9501: few pairs lie lower, so this is the least recall to expect."""
+    rng = np.random.default_rng(21)
+    x, turn = rng.normal(size=(1500, 64)), rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    near = 0.9501 * x + np.sqrt(1 - 0.9501**2) * turn
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(np.concatenate([x, near]))], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in pivots.near_vectors(df).collect()}
+    assert np.mean([found[1500 + k].component_id == k and found[k].n_links == 1 for k in range(1500)]) >= 0.98
+    assert sum(r.n_links for r in found.values()) <= 3000
+
+
+def test_a_pair_has_one_first_list_from_either_side():
+    rng = np.random.default_rng(2)
+    sets = pivots.pivot_sets(6, 3, 4)
+    a, b = (np.argsort(rng.normal(size=(300, 9)) + np.arange(9) / 3, axis=1)[:, :6] for _ in range(2))
+    first = pivots.entered_first(a, b, sets, 4)
+    names = [pivots.list_names(x, sets) for x in (a, b)]
+    wanted = [min(set(x) & set(y), default=np.iinfo(np.int64).max) for x, y in zip(*(n.tolist() for n in names), strict=True)]
+    assert first.tolist() == wanted == pivots.entered_first(b, a, sets, 4).tolist()
+    assert all(len(set(x)) == len(sets) for x in names[0].tolist()) and any(w < np.iinfo(np.int64).max for w in wanted)
+
+
 def plain_sketch(text):
     """Hashes of five words, one after the other with the hash before as seed, as a loop."""
     words, hashes = re.findall(r"[^ \t\n\r\x0b\f]+", text), set()
