@@ -26,6 +26,8 @@ from tidewheel.session import discard, shuffle_partitions, stage
 MISSING = 255
 BLOCK = 8192
 REWRITE = 32
+#: Sums of up to so many tasks go to the driver as they are.
+FEW = 16
 LOSSES = ("squared", "absolute", "poisson")
 #: Bits of a value that a pass of the search for medians settles.
 _DIGIT, _DIGITS = 12, 3
@@ -146,6 +148,7 @@ class _Blocks:
         self.table, self.model, self.since = table.persist(StorageLevel.MEMORY_AND_DISK), model, 0
         self.staged = table
         self.fan = max(1, int(shuffle_partitions(table.sparkSession) ** 0.5))
+        self.few = self.table.rdd.getNumPartitions() <= FEW
 
     def _read(self) -> Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
         model, since, width = self.model, self.since, len(self.model.edges)
@@ -175,7 +178,8 @@ class _Blocks:
                     out += np.frombuffer(part.as_buffer())
             yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["sums"])
 
-        parts = self.table.mapInArrow(run, "sums binary").repartition(self.fan).mapInArrow(merge, "sums binary").collect()  # as many as ``fan``
+        found = self.table.mapInArrow(run, "sums binary")
+        parts = (found if self.few else found.repartition(self.fan).mapInArrow(merge, "sums binary")).collect()  # as many as FEW or ``fan``
         return np.sum([np.frombuffer(r.sums) for r in parts], axis=0) if parts else np.zeros(size)
 
     def rewrite(self) -> None:
