@@ -74,7 +74,6 @@ def direct(model, rows, loss, rounds, depth, rate, l2, least):
 def test_equals_a_direct_implementation(spark, loss, monkeypatch):
     monkeypatch.setattr(boosting, "REWRITE", 2)
     monkeypatch.setattr(boosting, "BLOCK", 100)
-    monkeypatch.setattr(boosting, "FEW", 0 if loss == "absolute" else 16)
     rows = [(*r[:4], float(max(0, round(r[4]))) if loss == "poisson" else r[4], r[5]) for r in table()]
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     model = boosting.fit_boosted(df, "label", ["x0", "x1", "x2"], loss, rounds=3, depth=3, rate=0.3, bins=8, l2=1.0, least=20)
