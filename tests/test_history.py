@@ -1,8 +1,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tidewheel.operators import history
+from tidewheel.operators import history, order
 
 
 def frame(spark, rows):
@@ -49,3 +50,21 @@ def test_unseen_route_falls_back_to_the_global_mean(spark):
 def test_no_history_gives_nulls(spark):
     row = history.apply_history(frame(spark, [(9, "x", "y", 1.0)]), None).first()
     assert row["start_typical_minutes"] is None
+
+
+def test_ranges_grow_with_the_rows_and_doubles_are_the_decimals(spark, monkeypatch):
+    monkeypatch.setattr(order, "_RANGE_ROWS", 50)  # far more ranges than shuffle partitions
+    pinned = {}
+    monkeypatch.setattr(order, "_range_sorted", lambda df, cols, label, ranges=None, f=order._range_sorted: pinned.setdefault("staged", f(df, cols, label, ranges)))
+    rows = [(i, f"{i % 7}" if i % 11 else None, float((i * 37) % 101) * (1e13 if i % 2 else 1)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "i long, k string, x double")
+    sums = {"s": F.col("x").cast("decimal(38,0)"), "n": F.lit(1).cast("long")}
+    out = order.running_by_keys(df, ["i"], {"all": [], "k": ["k"]}, sums, "double").orderBy("i").collect()
+    sizes = [r["count"] for r in pinned["staged"].groupBy(F.shiftright("_mid", 33).alias("p")).count().collect()]
+    assert len(sizes) >= 30 and max(sizes) <= 200
+    seen, total = {}, [0, 0]
+    for (_, k, x), r in zip(rows, out, strict=True):
+        mine = seen.setdefault(k, [0, 0])
+        assert (r["all_s"], r["all_n"], r["k_s"], r["k_n"]) == (float(total[0]), total[1], float(mine[0]), mine[1])
+        for t in (mine, total):
+            t[0], t[1] = t[0] + int(x), t[1] + 1

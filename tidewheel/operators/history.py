@@ -38,13 +38,13 @@ def expanding_history(trips: DataFrame, target: str, order: Sequence[str], digit
     rows = trips.withColumns({"_start": _key("start_station_id"), "_end": _key("end_station_id")})
     key_sets = {"_all": [], "_route": ["_start", "_end"], "_start_": ["_start"], "_end_": ["_end"]}
     sums = {"sum": _whole(target, digits), "cnt": F.when(F.col(target).isNull(), 0).otherwise(1).cast("long")}
-    rows = running_by_keys(rows, order, key_sets, sums)
+    rows = running_by_keys(rows, order, key_sets, sums, "double")
 
     def minutes(tag: str) -> Column:
-        return F.col(f"{tag}_sum").cast("double") / F.lit(float(10**digits))
+        return F.col(f"{tag}_sum") / F.lit(float(10**digits))
 
     def count(tag: str) -> Column:
-        return F.col(f"{tag}_cnt").cast("double")
+        return F.col(f"{tag}_cnt")
 
     prior = F.when(count("_all") > 0, minutes("_all") / count("_all")).otherwise(F.lit(FIRST_PRIOR))
 
