@@ -74,6 +74,12 @@ def balanced_weights(train: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", F.sum("n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("n")))
 
 
+def with_balanced_weights(rows: DataFrame, train: DataFrame, label: str) -> DataFrame:
+    """``rows`` whose label occurs in ``train`` with the ``weight`` of their class. There is a row per class, which goes to
+    every task; shuffled by label, all rows of a class would be in one."""
+    return rows.join(F.broadcast(balanced_weights(train, label).select(label, "weight")), label)
+
+
 def scale(rows: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x - mean) / population deviation, both from one pass over the training part."""
     moments = train.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns]).alias("v")).scalar()
