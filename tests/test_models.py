@@ -209,3 +209,33 @@ def test_more_zones_cost_less(spark, sf):
     out = models_book.choose_k(spark, sf).orderBy("k").collect()
     costs = [r["cost"] for r in out]
     assert [r["k"] for r in out] == [3, 5, 10, 15] and costs == sorted(costs, reverse=True)
+
+
+def test_a_learner_reads_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(modeling, "FIT_ROWS", 100)
+    rows = modeling.stage(spark.range(2000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"), F.lit("other").alias("z")).coalesce(1), "parts")
+    seen = []
+
+    class Watched(type(modeling.logistic())):
+        def _fit(self, dataset):
+            seen.append((dataset.columns, dataset.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0]))
+            return super()._fit(dataset)
+
+    learner = Watched(labelCol="y", featuresCol="features", maxIter=2)
+    stages = [VectorAssembler(inputCols=["x"], outputCol="features")]
+    modeling.fit(rows, stages, learner)
+    modeling.out_of_fold(rows.withColumn("fold", (F.col("x") % 4).cast("int")), stages, {"m": learner}, range(2))
+    assert [columns for columns, _ in seen] == [["features", "y"]] * 3
+    assert max(n for _, n in seen) <= 110
+
+
+def test_weights_of_classes_do_not_shuffle_rows_by_class(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.createDataFrame([(float(i % 4 == 0), i) for i in range(40)], "y double, i long")
+        out = prepare.with_balanced_weights(rows, rows, "y")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r["y"]: r["weight"] for r in out.collect()} == {1.0: 2.0, 0.0: pytest.approx(2 / 3)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
