@@ -1,8 +1,11 @@
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidewheel.operators import clean, grid
+from tidewheel.plans import streams_book
+from tidewheel.plans import views as v
 from tidewheel.streaming import streams
 
 SCHEMA = "ride_id string, started_at timestamp_ntz, start_station_id string, start_lat double, start_lng double, member_casual string, rideable_type string, duration_minutes double"
@@ -115,3 +118,19 @@ def test_stream_dedupe_in_one_hot_key(spark, tmp_path):
     out = streams.deduplicated(opened(spark, folder), ["ride_id"], ["started_at", "start_station_id"])
     rows = {r["ride_id"]: r["started_at"].minute for r in out.collect()}
     assert rows["0"] == 0 and len(rows) == 401
+
+
+def test_first_rows_tell_null_from_nan:
+    batch = pa.RecordBatch.from_pydict({"k": pa.array([1.0, None, float("nan"), -0.0, 0.0, None, 1.0]), "t": pa.array([5, 7, 1, 3, 2, 6, None]), "n": pa.array(range(7))})
+    out = pa.Table.from_batches(streams._first_rows(iter([batch]), ["k"], ["t"], 0))
+    assert out.column("n").to_pylist() == [2, 4, 5, 6]
+    assert pa.Table.from_batches(streams._first_rows(iter([batch.slice(1, 3)]), ["k"], ["t"], 0)).column("n").to_pylist() == [1, 2, 3]
+
+
+def test_large_tables_arrive_in_more_files_and_as_many_batches(spark, sf, monkeypatch):
+    monkeypatch.setattr(streams_book._Streamed, "FILE_ROWS", 500)
+    kept = {}
+    monkeypatch.setattr(streams, "open_stream", lambda spark, folder, schema, glob="*.parquet", files_per_batch=None: kept.update(folder=folder, at_once=files_per_batch) or spark.read.parquet(folder))
+    v.trips_li(streams_book._Streamed(spark, "l_shipdate"), sf)
+    sizes = [r["count"] for r in spark.read.parquet(kept["folder"]).groupBy(F.input_file_name()).count().collect()]
+    assert kept["at_once"] == 3 and 10 <= len(sizes) <= 12 and sum(sizes) == v.trips_li(spark, sf).count() and max(sizes) < 1000

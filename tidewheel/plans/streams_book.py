@@ -19,7 +19,11 @@ add = BOOK.add
 class _Streamed:
     """Hands the view functions a stream instead of a table: ``read.parquet(<dir>/<name>.parquet)``.
 
-    With ``newest_first`` (a column) the table arrives in four files, later rows first, one file per micro-batch."""
+    With ``newest_first`` (a column) the table arrives in four micro-batches, later rows about first: a file each or, of large
+    tables, as many files as tasks of bounded size write, in parts that can be read side by side."""
+
+    #: Rows of a file at most, or so; bytes of a part that one task reads.
+    FILE_ROWS, PART_BYTES = 2_000_000, 8 << 20
 
     def __init__(self, spark, newest_first=None):
         self.spark, self.read, self.newest_first = spark, self, newest_first
@@ -30,8 +34,11 @@ class _Streamed:
         if not self.newest_first:
             return streams.open_stream(self.spark, folder, table.schema, name)
         arriving = staging_path(self.spark, "arriving")
-        table.repartitionByRange(4, F.col(self.newest_first).desc()).write.parquet(arriving)
-        return streams.open_stream(self.spark, arriving, table.schema, files_per_batch=1)
+        files = max(1, -(-table.count() // (4 * self.FILE_ROWS)))
+        # copies of one moment are told apart by a hash, so that a file's share does not depend on them
+        order = [F.col(self.newest_first).desc(), F.xxhash64(*table.columns)] if files > 1 else [F.col(self.newest_first).desc()]
+        table.repartitionByRange(4 * files, *order).write.option("parquet.block.size", self.PART_BYTES).parquet(arriving)
+        return streams.open_stream(self.spark, arriving, table.schema, files_per_batch=files)
 
 
 @add("stream_station_hour", "departures", """SELECT start_station_id, date_trunc('hour', started_at) AS time, CAST(count(*) AS BIGINT) AS trips,
