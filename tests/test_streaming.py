@@ -120,7 +120,7 @@ def test_stream_dedupe_in_one_hot_key(spark, tmp_path):
     assert rows["0"] == 0 and len(rows) == 401
 
 
-def test_first_rows_tell_null_from_nan:
+def test_first_rows_tell_null_from_nan():
     batch = pa.RecordBatch.from_pydict({"k": pa.array([1.0, None, float("nan"), -0.0, 0.0, None, 1.0]), "t": pa.array([5, 7, 1, 3, 2, 6, None]), "n": pa.array(range(7))})
     out = pa.Table.from_batches(streams._first_rows(iter([batch]), ["k"], ["t"], 0))
     assert out.column("n").to_pylist() == [2, 4, 5, 6]
