@@ -6,7 +6,7 @@ written and read again as the next stage's ``docs``. All but the last return the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import hamming, packing, quality, suffixes, toxicity
@@ -46,10 +46,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     decided = rows.agg(F.first("first").alias("_first"), F.count(F.lit(1)).alias("_rows")).where("not _first or _rows > 1")
     decided = stage(decided.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_text"), "_first"), "near-decisions")
     marked = docs.withColumn(key, text_digest("text"))
-    same = marked["doc_id"].eqNullSafe(decided["_id"]) & (marked[key] == decided["_text"])
-    once = marked.join(decided, same, "left_anti")
-    # of rows that differ in other columns only, the one with the smallest hash of all columns
-    again = marked.join(decided.where("_first"), same, "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col(key).alias("_text"))
+
+    def same(rows: DataFrame) -> Column:
+        return marked["doc_id"].eqNullSafe(rows["_id"]) & (marked[key] == rows["_text"])
+
+    once = marked.join(decided, same(decided), "left_anti")
+    # of rows that differ in other columns only, the one with the smallest hash of all columns; a table of their own, mostly
+    # small, spares all texts a second shuffle
+    several = stage(decided.where("_first"), "near-repeated-rows")
+    again = marked.join(several, same(several), "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col(key).alias("_text"))
     again = again.agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*")
     return once.drop(key).unionByName(again)
 

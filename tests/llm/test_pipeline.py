@@ -93,3 +93,22 @@ def test_messy_rows_lose_only_copies(spark):
     docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], DOC)
     out = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert (None, None) in out and (5, "you IDIOT!!! " * 4) in out and (None, rows[3][1]) not in out and (5, rows[5][1]) not in out
+
+
+def test_texts_move_once_where_no_row_is_repeated(spark):
+    """Decisions too large to broadcast: the join that drops copies shuffles the texts, and nothing else does."""
+    rng = random.Random(9)
+    texts = [prose(rng, 60) for _ in range(60)]
+    rows = list(enumerate(texts)) + [(100 + i, edited(rng, t, 1)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], DOC)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    try:
+        out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        plan = out._jdf.queryExecution().executedPlan().toString()  # before tasks have run, as it decides what is shuffled
+        assert sorted(r.doc_id for r in out.collect()) == list(range(60))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert sum("SortMergeJoin" in j and "LeftAnti" in j for j in joins) == 1
+    assert not any("SortMergeJoin" in j and "LeftSemi" in j for j in joins)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tests.llm.conftest import frame
 from tidewheel.llm import suffixes
@@ -123,3 +124,35 @@ def test_groups_that_are_cut_by_ranges_have_one_rank(spark):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
+
+
+def test_strings_double_inside_their_document_and_without_a_join(spark, monkeypatch):
+    """Rows of a document that cross batches, a hot rank, a document that ends in a batch of its own."""
+    rng = random.Random(3)
+    rows = []
+    for d in range(30):
+        kept = sorted(rng.sample(range(90), 60))
+        rows += [((d << 20) + i, i, 1 + d % 2, rng.randint(1, 3), rng.randint(60, 500), 0, 0, rng.randrange(4)) for i in kept]
+    df = spark.createDataFrame(rows, "pos long, i int, copies int, step int, reach int, size_a long, size_b long, rank long").repartition(5)
+    by_pos = {r[0]: r for r in rows}
+    want = []
+    for pos, i, copies, step, reach, _, _, rank in rows:
+        if reach < 400 and pos + step in by_pos:
+            other = by_pos[pos + step]
+            want.append((rank, other[7], pos, i, copies, step + other[3], reach - 32 + other[4]))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", "60", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            found = suffixes.doubled(df, 200, 32)
+            assert sorted(map(tuple, found.collect())) == sorted(want)
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert suffixes.doubled(df.where("pos < 0"), 200, 32).count() == 0
+
+    joins, real = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda self, other, *on: joins.append(on) or real(self, other, *on))
+    texts = passages(7)
+    suffixes.certain_repeats(suffixes.anchored(frame(spark, texts), 20), 20)
+    assert not joins  # copies meet by sorting only

@@ -9,7 +9,7 @@ A byte goes if a string of ``length`` bytes around it also starts anywhere else,
    bytes on, position) over range partitions, so a hot gram is cut like anything else; equal neighbours get the smallest
    position among them as their rank. Then it sorts (rank at an anchor, rank at the anchor where that string ends,
    position) again, and the strings double: a pair of ranks is a pair of positions, so nothing is left to chance here but
-   the first names. A group that is cut by the ranges is put together from one row per partition and side. A string that
+   the first names. Ranks are paired inside their document, without a join. A group that is cut by the ranges is put together from one row per partition and side. A string that
    is unique is dropped; one of ``length`` bytes or more is a repeat for certain, and only its first copy goes on to speak
    for its inside in step 3. Doubling ends past twice the length, so that the strings of neighbouring anchors overlap by it.
 3. *Edges.* A repeat may begin and end between anchors. Strings of ``length`` bytes are candidates where their least gram is
@@ -229,6 +229,45 @@ def ranked(rows: DataFrame, by: str) -> DataFrame:
     return out
 
 
+def doubled(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """The strings that are still short of twice the ``length``, each with the string that starts at its last anchor: a and b
+    are their ranks, step and reach those of both together. A string whose last anchor has no row is unique and goes.
+
+    Both anchors are in one document, so documents are dealt out whole and a row is looked up by position among its own
+    document's: each row is sent once and gives one row at most, however many copies its string has.
+    """
+
+    def whole(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts)
+        held = {c: rows.column(c).to_numpy() for c in ("pos", "i", "copies", "step", "reach", "rank")}
+        meets = held["pos"] + held["step"]
+        at = np.minimum(np.searchsorted(held["pos"], meets), len(meets) - 1)
+        kept = np.flatnonzero((held["pos"][at] == meets) & (held["reach"] < 2 * length))
+        at = at[kept]
+        a, pos, i, copies, step, reach = (held[c][kept] for c in ("rank", "pos", "i", "copies", "step", "reach"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (a, held["rank"][at], pos, i, copies, step + held["step"][at], reach - np.int32(gram) + held["reach"][at])],
+            ["a", "b", "pos", "i", "copies", "step", "reach"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            doc = batch.column("pos").to_numpy() - batch.column("i").to_numpy()
+            last = int(np.searchsorted(doc, doc[-1]))  # rows of the last document wait for the next batch
+            if last or (parts and doc[0] != parts[-1].column("pos")[0].as_py() - parts[-1].column("i")[0].as_py()):
+                yield from whole([*parts, batch.slice(0, last)])
+                parts = []
+            parts.append(batch.slice(last))
+        if parts:
+            yield from whole(parts)
+
+    by_doc = rows.select("pos", "i", "copies", "step", "reach", "rank").repartition(F.col("pos") - F.col("i")).sortWithinPartitions("pos")
+    return by_doc.mapInArrow(run, _SORTED)
+
+
 def certain_repeats(texts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
     """Prefix doubling over anchors: one row per ``doc`` and ``i`` with ``size``, the number of places of the anchor's gram
     if that is more than one, or with ``last`` and ``first`` for a repeated string between anchors i and last that reaches
@@ -252,9 +291,7 @@ def certain_repeats(texts: DataFrame, length: int) -> tuple[DataFrame, list[Data
         short = rows.where(F.col("reach") < 2 * length)
         if short.isEmpty():
             return found, staged
-        after = rows.select((F.col("pos")).alias("meets"), F.col("step").alias("_step"), F.col("reach").alias("_reach"), F.col("rank").alias("b"))
-        pairs = short.select("pos", "i", "copies", "step", "reach", F.col("rank").alias("a"), (F.col("pos") + F.col("step")).alias("meets")).join(after, "meets")
-        rows = ranked(pairs.select("a", "b", "pos", "i", "copies", (F.col("step") + F.col("_step")).alias("step"), (F.col("reach") - gram + F.col("_reach")).alias("reach")), "size_b")
+        rows = ranked(doubled(rows, length, gram), "size_b")
         staged.append(rows.staged)
 
 
