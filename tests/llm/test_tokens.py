@@ -32,6 +32,35 @@ def test_word_ids_equal_the_library(odd_texts, by_library):
         assert ids.tolist() == by_library(text), text
 
 
+def test_each_chunk_is_looked_up_once_for_a_group_of_texts(by_library, monkeypatch):
+    """Copies of a chunk are found by Arrow; the table of the worker sees each distinct chunk of a group, and encodes it once."""
+    from tidewheel.llm.tokens import WordTokens
+
+    tokens, seen, encoded = WordTokens(WORDS), [], []
+    places, by_parts = tokens.table._places, tokens.table.encode
+    monkeypatch.setattr(tokens.table, "_places", lambda chunks, n: seen.append(n) or places(chunks, n))
+    monkeypatch.setattr(tokens.table, "encode", lambda chunks: encoded.extend(chunks) or by_parts(chunks))
+    texts = ["a  word\tA word.\n", "", " \x1cword a", "word " * 500, "\xa0 a\u2028word\x0b"]
+    for _ in range(2):
+        assert [x.tolist() for x in tokens.ids(texts)] == [by_library(t) for t in texts]
+    assert max(seen) <= 9 and len(encoded) == len(set(encoded)) == seen[0]
+    assert [x.tolist() for x in tokens.ids([])] == []
+
+
+def test_a_word_table_that_starts_anew_or_fails_changes_nothing(odd_texts, by_library, monkeypatch):
+    from tidewheel.llm.tokens import WordTokens
+
+    tokens = WordTokens(WORDS)
+    tokens.table.limit, tokens.parts.limit = 40, 30
+    found = [x for a in range(0, len(odd_texts), 40) for x in tokens.ids(odd_texts[a : a + 40])]
+    assert [x.tolist() for x in found] == [by_library(t) for t in odd_texts]
+    with monkeypatch.context() as patch:
+        patch.setattr(tokens, "_ids", lambda text: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tokens.ids(["chunks that were never seen"])
+    assert tokens.ids(["chunks that were never seen"])[0].tolist() == by_library("chunks that were never seen")
+
+
 def test_pieces_equal_the_library(odd_texts):
     model = pieces.PieceModel(PIECES)
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)

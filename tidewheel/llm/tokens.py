@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public tokenizer of the ``tokenizers`` library, run inside Spark tasks.
 
 The vocabulary's pre-tokenizer never joins text across white space, so each distinct run of other characters is
-encoded once and its ids are looked up for every place where it stands.
+encoded once and its ids are looked up for every place where it stands. Texts are split at ASCII white space by Arrow; the
+tokenizer sees to any other.
 """
 
 from __future__ import annotations
@@ -10,16 +11,15 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidewheel.llm.frames import ChunkIds
 
 #: Stands between distinct chunks while they are encoded together; a token of its own between blanks.
 _BETWEEN = "\x01"
-#: White space to Python, but not to the tokenizer.
-_NOT_BLANK = "\x1c\x1d\x1e\x1f"
 #: Marks that stand around words; not those that begin a contraction or one of the vocabulary's special tokens.
 _MARKS = ".,;:!?#*$%&()[]{}-_=+/\"~^@"
-_BLANKS = str.maketrans("\t\n\r\x0b\x0c", "     ")
 
 
 class WordTokens:
@@ -35,7 +35,8 @@ class WordTokens:
         self.table = ChunkIds(self._by_parts, 1_000_000)
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)  # without offsets
+        return found.ids
 
     def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunks and how many each has. Chunks go to the library a thousand at a time."""
@@ -61,17 +62,11 @@ class WordTokens:
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
-        flat, ends = self.table.gather([chunks(t) for t in texts])
+        flat, ends = self.table.gather_lists(pc.ascii_split_whitespace(pa.array(texts, pa.large_string())))
         cuts = [0, *ends.tolist()]
         return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def chunks(text: str) -> list[str]:
-    if any(c in text for c in _NOT_BLANK):
-        return [c for c in text.translate(_BLANKS).split(" ") if c]
-    return text.split()
-
-
 def word_parts(chunk: str) -> list[str]:
     """A chunk of letters between marks, cut where the pre-tokenizer cuts it anyway; any other chunk is one part."""
     plain = chunk.isascii()
