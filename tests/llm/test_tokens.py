@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tidewheel.llm import packing, pieces, token_counts
+from tidewheel.llm import packing, pieces, token_counts, two_fit
 from tidewheel.llm.book import PIECES, WORDS
 
 ODD = ["a", " ", "  ", "▁", "\n", "\t", "é", "é", "日", "😀", "the", "Ing", "<s>", "</s>", "<0x0A>", "\x00", "　", "\xa0", "'s", "12", "<|endoftext|>", "ﬁ", "Σ", "İ", "\x1c", "\x85", ".", "'", "S", "|", "\x01", "Å"]
@@ -47,6 +47,21 @@ def test_each_chunk_is_looked_up_once_for_a_group_of_texts(by_library, monkeypat
     assert [x.tolist() for x in tokens.ids([])] == []
 
 
+def test_a_finished_task_leaves_no_tables_in_its_worker(docs):
+    from tidewheel.llm.tokens import word_tokens
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            tokens = word_tokens(WORDS)
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens.table.known) + len(tokens.parts.known)])], ["n"])
+
+    for made in (packing.pack(docs, WORDS, digest=True), token_counts.token_lengths(docs, WORDS), two_fit.pack(docs, WORDS, digest=True)):
+        assert made.count() > 0
+        assert sum(r.n for r in docs.select("doc_id").mapInArrow(held, "n long").collect()) == 0
+
+
 def test_a_word_table_that_starts_anew_or_fails_changes_nothing(odd_texts, by_library, monkeypatch):
     from tidewheel.llm.tokens import WordTokens
 

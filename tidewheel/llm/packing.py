@@ -165,6 +165,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, max_
             if packer.closed:
                 yield rows(packer.closed)
                 packer.closed = []
+        tokens.clear()
         last = packer.finish()
         if packer.closed or last:
             yield rows(packer.closed + last)

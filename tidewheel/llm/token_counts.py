@@ -20,6 +20,7 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
         tokens = word_tokens(path)
         for batch, texts in text_groups(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in tokens.ids(texts)], pa.int64())], ["doc_id", "n_tokens"])
+        tokens.clear()
 
     return narrow(docs).mapInArrow(run, "doc_id long, n_tokens long")
 

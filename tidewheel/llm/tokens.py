@@ -60,6 +60,12 @@ class WordTokens:
         flat, ends = self.parts.gather([word_parts(c) for c in chunks])
         return flat, np.diff(ends, prepend=0)
 
+    def clear(self) -> None:
+        """Empties the tables at the end of a task, so a worker that lives on holds no more than the tokenizer."""
+        self.table.clear()
+        self.parts.clear()
+        pa.default_memory_pool().release_unused()
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
         flat, ends = self.table.gather_lists(pc.ascii_split_whitespace(pa.array(texts, pa.large_string())))
@@ -83,5 +89,5 @@ def word_parts(chunk: str) -> list[str]:
 
 @lru_cache(maxsize=1)
 def word_tokens(path: str) -> WordTokens:
-    """One tokenizer and table for each Python worker."""
+    """One tokenizer for each Python worker; a task that is done clears its tables."""
     return WordTokens(path)

@@ -149,6 +149,7 @@ def cut_pieces(docs: DataFrame, path: str, end_id: int, window: int, digest: boo
                     rows.append((doc_id, piece, start, len(cut), crc(cut.astype("<u4").tobytes()) if digest else cut, len(ids), part, int(seen[len(cut)])))
                     seen[len(cut)] += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        tokens.clear()
 
     return narrow(docs).mapInArrow(run, schema)
 
