@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from tests.llm.conftest import frame
@@ -156,3 +157,43 @@ def test_strings_double_inside_their_document_and_without_a_join(spark, monkeypa
     texts = passages(7)
     suffixes.certain_repeats(suffixes.anchored(frame(spark, texts), 20), 20)
     assert not joins  # copies meet by sorting only
+
+
+def test_periodic_stretches_are_settled_inside_their_text(spark):
+    """Stretches of several periods and lengths, cut and joined at different places, equal and unequal before and after."""
+    rng = random.Random(21)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    before, after = noise(40), noise(40)
+    units = ["x", "no", "Is onhe. ", "a longer é unit, "]
+    rows = []
+    for d in range(80):
+        unit = units[d % 4]
+        stretch = (unit * 60)[rng.randrange(len(unit)) :][: rng.randint(10, 300)]
+        parts = [rng.choice([before, noise(rng.randint(0, 30))])[rng.randint(0, 9) :], stretch, rng.choice([after, noise(rng.randint(0, 30)), (rng.choice(units) * 50)[:200]])]
+        rows.append((d, "".join(parts)))
+    rows += [(200, noise(30) + "Is onhe. " * 7 + noise(9)), (201, noise(100) + ("only here " * 30)[:211] + noise(100)), (202, "0123456789" * 3 + "9"), (203, rows[0][1])]
+    for length in (20, 50):
+        found = suffixes.remove_repeats(frame(spark, rows).repartition(3), length).collect()
+        assert sorted((str(r.doc_id), r.n_bytes, list(r.spans), bytes(r.kept)) for r in found) == brute(rows, length)
+
+
+def test_rows_that_are_sorted_do_not_grow_with_the_periods_of_a_stretch(spark, monkeypatch):
+    rng, sent, real = random.Random(22), [], suffixes.ranked
+
+    def counted(rows, by):
+        sent.append((rows.count(), rows.agg(F.sum("copies")).first()[0]))
+        return real(rows, by)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    monkeypatch.setattr(suffixes, "ranked", counted)
+    for periods in (100, 400):
+        rows = [(d, noise(300) + "Is onhe. " * periods + noise(300)) for d in range(30)]
+        sent.clear()
+        suffixes.certain_repeats(suffixes.anchored(frame(spark, rows), 200), 200)
+        assert max(n for n, _ in sent) < 30 * 25  # a few hundred bytes of noise on both sides, four anchors of the stretch
+        assert sent[0][1] > 30 * (periods - 5)  # yet every place of the gram is counted

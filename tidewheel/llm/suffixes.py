@@ -12,6 +12,8 @@ A byte goes if a string of ``length`` bytes around it also starts anywhere else,
    the first names. Ranks are paired inside their document, without a join. A group that is cut by the ranges is put together from one row per partition and side. A string that
    is unique is dropped; one of ``length`` bytes or more is a repeat for certain, and only its first copy goes on to speak
    for its inside in step 3. Doubling ends past twice the length, so that the strings of neighbouring anchors overlap by it.
+   A text that repeats itself with a short period has an anchor in every period. Such a stretch repeats itself for certain, and
+   its first period speaks for the others, so a few of its anchors are sorted, with strings of twice the length at once.
 3. *Edges.* A repeat may begin and end between anchors. Strings of ``length`` bytes are candidates where their least gram is
    repeated and no certain repeat speaks for them. They are grouped by their least gram (a 64-bit name) and compared by
    48-bit hashes. A group of more than SPREAD places is split by place first, which settles the copies inside a part;
@@ -43,6 +45,8 @@ GRAM = 32
 TILE = 1 << 19
 #: Most occurrences of one anchor that are compared in one group.
 SPREAD = 4096
+#: Fewest anchors of a periodic stretch that is settled inside its text.
+DENSE = 8
 
 _U = np.uint64
 
@@ -106,23 +110,58 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(places), np.concatenate(names)
 
 
-def first_strings(raw: np.ndarray, places: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each anchor but the last ones: the number of the first anchor at least ``least`` bytes on, and the hash of the
-    string up to the end of that anchor's gram."""
+def stretches(raw: np.ndarray, places: np.ndarray, grams: np.ndarray, length: int, gram: int) -> list[tuple[int, int]]:
+    """First and last anchor of stretches of one period, in which every string of ``length`` bytes stands a period later or
+    earlier as well. Consecutive anchors with one gram and one distance suggest them; their bytes are compared."""
+    gaps = np.diff(places)
+    equal = grams[1:] == grams[:-1]
+    if np.count_nonzero(equal) < DENSE - 1:
+        return []
+    edge = np.flatnonzero(~equal[1:] | ~equal[:-1] | (gaps[1:] != gaps[:-1])) + 1
+    found = []
+    for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(gaps)], strict=True):
+        low, high, period = int(places[a]), int(places[b]) + gram, int(gaps[a])
+        if equal[a] and b - a + 1 >= DENSE and high - low >= 2 * period + length and np.array_equal(raw[low : high - period], raw[low + period : high]):
+            found.append((a, b))
+    return found
+
+
+def first_strings(raw: np.ndarray, places: np.ndarray, length: int, gram: int, settled: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each anchor but the last ones: the number of the first anchor at least ``length / 4`` bytes on, and the hash of the
+    string up to the end of that anchor's gram; and for how many places of its gram each anchor speaks.
+
+    Of a settled stretch four anchors speak: the first, the second for all that do not (without a string), the last one that is
+    ``length`` bytes from the end, the last. Their strings and those that end inside go to an anchor twice the length on.
+    """
     import xxhash
 
-    nexts = np.searchsorted(places, places + least)
+    nexts = np.searchsorted(places, places + max(1, length // 4))
     nexts = nexts[nexts < len(places)]
+    counts = np.ones(len(places), np.int32)
+    if settled:
+        far, inside = np.zeros(len(places), bool), np.zeros(len(places), bool)
+        for a, b in settled:
+            inside[a + 1 : b + 1] = True
+            far[a : b + 1] = True
+            counts[a + 1 : b] = 0
+            counts[a + 1] = b - a - 2
+            counts[np.searchsorted(places, places[b] + gram - length, side="right") - 1] = 1
+        far = far[: len(nexts)] | inside[nexts]
+        beyond = np.minimum(np.searchsorted(places, places[: len(nexts)] + 2 * length), len(places) - 1)
+        none = counts == 0
+        none[[a + 1 for a, _ in settled]] = True
+        nexts = np.where(none[: len(nexts)], np.arange(len(nexts)), np.where(far, beyond, nexts))
     view = raw.tobytes()
-    names = [xxhash.xxh3_64_intdigest(view[a : b + gram]) for a, b in zip(places.tolist(), places[nexts].tolist(), strict=False)]
-    return nexts, np.array(names, _U)
+    names = [xxhash.xxh3_64_intdigest(view[a : b + gram]) if b > a else 0 for a, b in zip(places.tolist(), places[nexts].tolist(), strict=False)]
+    return nexts, np.array(names, _U), counts
 
 
 def _gram(length: int) -> int:
     return min(GRAM, max(1, length // 4))
 
 
-_ARRAYS = "n_bytes int, places array<int>, grams array<long>, nexts array<int>, names array<long>"
+#: ``settled`` holds first and last anchors of stretches; ``counts`` is null where every anchor speaks for itself.
+_ARRAYS = "n_bytes int, places array<int>, grams array<long>, nexts array<int>, names array<long>, counts array<int>, settled array<int>"
 
 
 def anchored(docs: DataFrame, length: int) -> DataFrame:
@@ -133,22 +172,25 @@ def anchored(docs: DataFrame, length: int) -> DataFrame:
         for batch, texts in text_groups(batches):
             rows = [np.frombuffer(t.encode(), np.uint8) for t in texts]
             found = [anchors(r, length, gram) for r in rows]
-            strings = [first_strings(r, p, max(1, length // 4), gram) for r, (p, _) in zip(rows, found, strict=True)]
+            settled = [stretches(r, p, g, length, gram) for r, (p, g) in zip(rows, found, strict=True)]
+            strings = [first_strings(r, p, length, gram, s) for r, (p, _), s in zip(rows, found, settled, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     pa.array([len(r) for r in rows], pa.int32()),
                     pa.array([p.astype(np.int32) for p, _ in found], pa.list_(pa.int32())),
                     pa.array([g.view(np.int64) for _, g in found], pa.list_(pa.int64())),
-                    pa.array([n.astype(np.int32) for n, _ in strings], pa.list_(pa.int32())),
-                    pa.array([x.view(np.int64) for _, x in strings], pa.list_(pa.int64())),
+                    pa.array([n.astype(np.int32) for n, _, _ in strings], pa.list_(pa.int32())),
+                    pa.array([x.view(np.int64) for _, x, _ in strings], pa.list_(pa.int64())),
+                    pa.array([c if s else None for (_, _, c), s in zip(strings, settled, strict=True)], pa.list_(pa.int32())),
+                    pa.array([[i for pair in s for i in pair] for s in settled], pa.list_(pa.int32())),
                 ],
-                ["key", "n_bytes", "places", "grams", "nexts", "names"],
+                ["key", "n_bytes", "places", "grams", "nexts", "names", "counts", "settled"],
             )
 
     rows = keyed(docs).where(F.octet_length("text") >= length).select("key", "text")
     found = rows.mapInArrow(run, f"key binary, {_ARRAYS}")
-    one = found.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("copies"), *[F.first(c).alias(c) for c in ("n_bytes", "places", "grams", "nexts", "names")])
+    one = found.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("copies"), *[F.first(c).alias(c) for c in found.columns[1:]])
     # numbers that stay what they are, as the table is written
     return stage(one.mapInArrow(_numbered, f"doc long, key binary, copies int, {_ARRAYS}"), "anchors")
 
@@ -273,10 +315,15 @@ def certain_repeats(texts: DataFrame, length: int) -> tuple[DataFrame, list[Data
     if that is more than one, or with ``last`` and ``first`` for a repeated string between anchors i and last that reaches
     ``length`` bytes (``first``: no smaller position has the same string); and the staged tables that they are read from."""
     gram = _gram(length)
-    spots = texts.select("doc", "copies", "places", "nexts", "names", F.posexplode("grams").alias("i", "a"))
+    # a null list of counts: all anchors are sorted; otherwise those that speak for any
+    every = F.sequence(F.lit(0), F.size("grams") - 1)
+    speaking = F.when(F.col("counts").isNull(), every).otherwise(F.filter(every, lambda i: F.get("counts", i) > 0))
+    spots = texts.select("doc", "copies", "places", "nexts", "names", "grams", "counts", F.explode(speaking).alias("i"))
+    places = F.least(F.col("copies").cast("long") * F.coalesce(F.get("counts", F.col("i")), F.lit(1)), F.lit(2**31 - 1)).cast("int")
     following = F.get("nexts", F.col("i"))  # the last anchors of a text have none
     strings = spots.select(
-        "a", F.coalesce(F.get("names", F.col("i")), F.lit(0)).cast("long").alias("b"), (F.col("doc") + F.col("i")).alias("pos"), "i", "copies",
+        F.get("grams", F.col("i")).alias("a"), F.coalesce(F.get("names", F.col("i")), F.lit(0)).cast("long").alias("b"),
+        (F.col("doc") + F.col("i")).alias("pos"), "i", places.alias("copies"),
         F.coalesce(following - F.col("i"), F.lit(0)).alias("step"),
         F.coalesce(F.get("places", following) + gram - F.get("places", F.col("i")), F.lit(0)).alias("reach"),
     )
@@ -371,15 +418,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     certain, ranks = certain_repeats(texts, length)
     found = certain.groupBy("doc").agg(F.collect_list(F.struct("i", "size", "last", "first")).alias("found"))
     found = found.select("doc", F.filter("found", lambda x: x["size"].isNotNull()).alias("marks"), F.filter("found", lambda x: x["size"].isNull()).alias("runs"))
-    known = texts.select("doc", "key", "n_bytes", "copies", "places", "grams").join(found, "doc")
+    known = texts.select("doc", "key", "n_bytes", "copies", "places", "grams", "settled").join(found, "doc")
     arrays = {"marked": "marks.i", "sizes": "marks.size", "runs_from": "runs.i", "runs_to": "runs.last", "runs_first": "runs.first"}
-    known = stage(known.select("doc", "key", "n_bytes", "copies", "places", "grams", *[F.col(c).alias(n) for n, c in arrays.items()]), "known-runs")
+    known = stage(known.select("doc", "key", "n_bytes", "copies", "places", "grams", "settled", *[F.col(c).alias(n) for n, c in arrays.items()]), "known-runs")
     discard(texts, *ranks)
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, group in text_groups(batches):
             out = []
-            lists = {c: _slices(batch.column(c)) for c in ("places", "grams", *arrays)}
+            lists = {c: _slices(batch.column(c)) for c in ("places", "grams", "settled", *arrays)}
             for k, (doc, text) in enumerate(zip(batch.column("doc").to_pylist(), group, strict=True)):
                 row = {c: of(k) for c, of in lists.items()}
                 raw, places, grams = np.frombuffer(text.encode(), np.uint8), row["places"].astype(np.int64), row["grams"]
@@ -387,6 +434,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 size[row["marked"]] = row["sizes"]
                 others = ~row["runs_first"].astype(bool)
                 spoken = list(zip(row["runs_from"][others].tolist(), row["runs_to"][others].tolist(), strict=True))
+                for a, b in row["settled"].reshape(-1, 2).tolist():
+                    size[a : b + 1] = size[a]
+                    spoken.append((a + 1, b))  # a period earlier stands the same
                 starts, first = candidate_starts(len(raw), places, grams.view(_U), size, spoken, length, gram)
                 if not len(starts):
                     continue
@@ -470,7 +520,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # copies are combined before the shuffle
     one_each = keyed(docs).where(F.octet_length("text") >= length).groupBy("key").agg(F.first("text").alias("text")).join(known, "key")
-    found = one_each.select("doc", "places", "grams", *arrays, "text").mapInArrow(strings, "doc long, bucket long, start int, split long, hashes binary")
+    found = one_each.select("doc", "places", "grams", "settled", *arrays, "text").mapInArrow(strings, "doc long, bucket long, start int, split long, hashes binary")
     parts = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "doc long, spans array<int>, bucket long, docs binary, starts binary, hashes binary")
     parts = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare_parts, "doc long, spans array<int>")
 
@@ -484,7 +534,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     inside = known.where("size(runs_from) > 0").select("doc", F.zip_with("runs_from", "runs_to", lambda a, b: F.array(F.get("places", a), F.get("places", b) + gram)).alias("s")).select("doc", F.flatten("s").alias("spans"))
     copied = known.where("copies > 1").select("doc", F.expr("array(0, n_bytes)").alias("spans"))
-    every = parts.unionByName(inside).unionByName(copied)
+    periodic = known.where("size(settled) > 0").select("doc", F.transform("settled", lambda x, k: F.get("places", x) + F.when(k % 2 == 1, gram).otherwise(0)).alias("spans"))
+    every = parts.unionByName(inside).unionByName(copied).unionByName(periodic)
     by_doc = every.groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans")).select("doc", joined("spans").alias("spans"))
     spans = stage(by_doc.join(known.select("doc", "key"), "doc").select("key", "spans"), "repeated-spans")
     discard(known)
