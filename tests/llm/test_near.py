@@ -281,6 +281,25 @@ def test_links_outside_the_centre_are_found_in_blocks(spark, monkeypatch):
     assert found == {d: rows[group[i]][0] for i, (d, _) in enumerate(rows)}
 
 
+def test_keys_and_nodes_are_not_broadcast(spark, monkeypatch):
+    """Keys are many times the rows they are made from, which Spark's guess of their size leaves out; a table of this size
+    would always be broadcast."""
+    plans, written = {}, hamming.stage
+
+    def seen(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    monkeypatch.setattr(hamming, "stage", seen)
+    rng = random.Random(41)
+    text = prose(rng, 80)
+    out = hamming.near_duplicates(frame(spark, [(1, text), (2, edited(rng, text, 1)), (3, prose(rng, 80)), (4, None)]))
+    assert "SortMergeJoin" in plans["star-pairs"] and "Broadcast" not in plans["star-pairs"]
+    joins = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "node#" in line]
+    assert joins and all("SortMergeJoin" in j for j in joins)
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out.collect()) == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
+
+
 def test_near_copies_without_an_id(spark):
     """Sets that stand only in rows without an id, and many texts under one id."""
     rng = random.Random(31)

@@ -185,7 +185,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     keys = nodes.select(F.col("id").alias("node"), F.explode(chunk_keys(distance=distance, chunks=chunks)).alias("key"))
     # the centre of a key: its node with the smallest number, which is the same one for keys that hold the same nodes
     shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    star = keys.join(shared, "key").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    # a row of nodes becomes one for each key, of which Spark's guess of the size knows nothing, and arrays count as one number
+    # there: without the hints all keys, or all nodes, may be sent to the driver as a table small enough to broadcast
+    star = keys.join(shared.hint("merge"), "key").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = stage(star, "star-pairs")
 
     # the texts of nodes that share a key are read once more
@@ -203,7 +205,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     if not more.isEmpty():
         found = expanded(components(contracted(more, found)), found, all_nodes=True)
 
-    numbered = rows.join(nodes.select(F.col("set_digest").alias("node"), "id"), "node", "left")
+    numbered = rows.join(nodes.select(F.col("set_digest").alias("node"), "id").hint("merge"), "node", "left")
     members = numbered.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("root", "id"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     least = members.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(place).alias("least"))
