@@ -229,6 +229,65 @@ def test_a_learner_reads_parts_of_bounded_size(spark, monkeypatch):
     assert max(n for _, n in seen) <= 110
 
 
+def test_folds_are_dealt_out_once(spark, monkeypatch):
+    """However many folds, fits and candidates there are, rows are shuffled for learners once, and no fold is written."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = np.random.default_rng(17)
+    x = rng.normal(size=400)
+    made = [(float(a), "abc"[i % 3], float(a + 0.3 * rng.normal() > 0), i % 4) for i, a in enumerate(x)]
+    rows = modeling.stage(spark.createDataFrame(made, "x double, k string, y double, fold int"), "folds")
+    dealt, written = [], []
+    frame, stage = type(rows), modeling.stage
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (dealt.append(a), repartition(self, *a))[1])
+    monkeypatch.setattr(modeling, "stage", lambda df, label: (written.append(label), stage(df, label))[1])
+    tree = DecisionTreeClassifier(labelCol="y", seed=1)
+    oof = modeling.out_of_fold(rows, modeling.linear_stages(["k"], ["x"]), {"m": modeling.logistic(), "t": tree}, range(4))
+    assert oof.count() == 400 and oof.stat.corr("p_m", "x") > 0.8
+    assert len(dealt) == 1 and written == ["oof"]
+    with modeling.dealt(rows) as kept:
+        search = modeling.FoldSearch(kept, modeling.tree_stages(["k"], ["x"]), tree, BinaryClassificationEvaluator(labelCol="y"), even=True)
+        scores = [s for _, s in search.halving(modeling.grid({"maxDepth": [1, 3]}), [([0, 1], 1), ([2], None)])]
+        model = modeling.fit(kept.where("fold > 1"), modeling.linear_stages(["k"], ["x"]), modeling.logistic(), even=True)
+    assert sorted(map(len, scores)) == [2, 3] and all(0.8 < x <= 1 for s in scores for x in s)
+    assert model.transform(rows).count() == 400
+    assert len(dealt) == 2 and written == ["oof"]
+
+
+def test_one_hot_codes_follow_the_library(spark):
+    """Common, rare, null, unseen and oddly ordered values; one pass over the rows counts them all."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    values = ["b"] * 7 + ["\U0001f600"] * 7 + ["\uff5e"] * 7 + ["a"] * 9 + ["rare"] * 2 + [None] * 2
+    rows = spark.createDataFrame([(x, "one", i % 5) for i, x in enumerate(values)], "k string, whole string, n int")
+    asked = spark.createDataFrame([(x, y, z) for x in ["a", "b", "\U0001f600", "\uff5e", "rare", "new", None] for y in ["one", "two", None] for z in [0, 4, 9]], rows.schema)
+    columns = ["k", "whole", "n"]
+    index = StringIndexer(inputCols=columns, outputCols=[f"i_{c}" for c in columns], handleInvalid="keep", stringOrderType="frequencyDesc").fit(rows)
+    common = {"k": 4, "whole": 1, "n": 5}
+
+    def coded(df):
+        return index.transform(df).withColumns({f"c_{c}": F.least(F.col(f"i_{c}"), F.lit(float(common[c]))) for c in columns})
+
+    encoder = OneHotEncoder(inputCols=[f"c_{c}" for c in columns], outputCols=[f"o_{c}" for c in columns], handleInvalid="keep").fit(coded(rows))
+    found = modeling.OneHotCodes(columns, 5).fit(rows).transform(encoder.transform(coded(asked)))
+    for r in found.collect():
+        assert all(r[f"_o_{c}"] == r[f"o_{c}"] and r[f"_c_{c}"] == r[f"c_{c}"] for c in columns)
+    ordered = StringIndexer(inputCol="k", outputCol="i", handleInvalid="keep", stringOrderType="alphabetAsc").fit(rows)
+    codes = modeling.Codes(["k"]).fit(rows).transform(ordered.transform(asked)).collect()
+    assert all(r["_c_k"] == (-1 if r["i"] == len(ordered.labels) else r["i"]) for r in codes)
+
+
+def test_no_median_is_looked_for_where_no_number_lacks(spark):
+    rows = spark.createDataFrame([(1.0, None, float("nan")), (2.0, 5.0, 1.0)], "a double, b double, c double")
+    assert modeling.complete(rows, ["a", "b", "c"]) == ["a"] and modeling.complete(rows, []) == []
+    for whole, filled in ((["a"], [["b", "c"]]), (["a", "b", "c"], []), ([], [["a", "b", "c"]])):
+        for stages in (modeling.linear_stages([], ["a", "b", "c"], whole=whole), modeling.tree_stages([], ["a", "b", "c"], whole=whole)):
+            assert [x.getInputCols() for x in stages[:-1]] == filled
+            assert stages[-1].getInputCols() == [c if c in whole else f"_f_{c}" for c in "abc"]
+
+
 def test_weights_of_classes_do_not_shuffle_rows_by_class(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
